@@ -101,10 +101,10 @@ def canonical_region(
     region: Column, state: Column, states: Mapping[str, str] = fixed.STATE_TO_REGION
 ) -> Column:
     """``standard_region`` with known regions brought to one spelling (``SUDESTE`` -> ``Sudeste``)."""
-    spelled = standard_region(region, state, states)
     known = {name.lower(): name for name in states.values()}
     pairs = [F.lit(part) for item in known.items() for part in item]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), normalise(spelled)), spelled)
+    one_spelling = F.try_element_at(F.create_map(*pairs), normalise(region))
+    return F.coalesce(one_spelling, standard_region(region, state, states))
 
 
 def ai_flag_of(text: Column) -> Column:

@@ -31,9 +31,9 @@ def cut_histogram(
     df: DataFrame, cuts: Mapping[str, Sequence[str]] = PAY_CUTS, edition: str = "ano",
     lower: str = LOWER, upper: str = UPPER, value: str = VALUE,
 ) -> DataFrame:
-    """Band histogram of every cut, from one scan with GROUPING SETS.
+    """Band histogram of every cut over the respondents with a value, from one scan.
 
-    Each task combines its rows before the shuffle to (cells of all cuts x bands), a few thousand
+    GROUPING SETS read the table once. Each task combines its rows before the shuffle to (cells of all cuts x bands), a few thousand
     rows however many respondents it read. Grouping by all dimensions at once first would shrink
     nothing, since the full crossing has about as many cells as a task has rows.
     """
@@ -44,7 +44,8 @@ def cut_histogram(
     grouped = (
         df.select(*columns)
         .groupingSets([[*always, *names] for names in present.values()], *columns)
-        .agg(F.grouping_id().alias("conjunto"), F.count(F.lit(1)).alias(COUNT))
+        .agg(F.grouping_id().alias("conjunto"), F.count(value).alias(COUNT))
+        .where(F.col(COUNT) > 0)
     )
 
     # grouping_id has one bit per column, the first column highest; 1 = not in the grouping set.
@@ -75,8 +76,7 @@ def multi_cut(
     digits: int | None = None, exact_interpolation: bool = False,
 ) -> DataFrame:
     """Pay statistics of every cut: (ano, recorte, dimensao_1, dimensao_2) -> figures."""
-    answered = df.where(F.col(VALUE).isNotNull())
     return statistics_of_histogram(
-        cut_histogram(answered, cuts, edition), CUT_KEYS, digits,
+        cut_histogram(df, cuts, edition), CUT_KEYS, digits,
         exact_interpolation=exact_interpolation,
     )

@@ -22,10 +22,19 @@ COUNT = "na_faixa"
 
 
 def band_histogram(
-    df: DataFrame, keys: Sequence[str], lower: str = LOWER, upper: str = UPPER, *extra: str
+    df: DataFrame, keys: Sequence[str], lower: str = LOWER, upper: str = UPPER, *extra: str,
+    counted: Column | None = None,
 ) -> DataFrame:
-    """Respondents per group and band. NULL is a group of its own in every key."""
-    return df.groupBy(*keys, lower, upper, *extra).agg(F.count(F.lit(1)).alias(COUNT))
+    """Respondents per group and band. NULL is a group of its own in every key.
+
+    ``counted`` restricts the respondents. The condition sits inside the count and not in a filter
+    before it: the optimizer would push such a filter below the projection that derives its
+    columns, and derive them twice.
+    """
+    cells = df.groupBy(*keys, lower, upper, *extra)
+    if counted is None:
+        return cells.agg(F.count(F.lit(1)).alias(COUNT))
+    return cells.agg(F.count_if(counted).alias(COUNT)).where(F.col(COUNT) > 0)
 
 
 def with_band_position(
@@ -108,14 +117,18 @@ def interpolated_quantile_agg(p: float, value: str = VALUE) -> Column:
 
 def banded_statistics(
     df: DataFrame, keys: Sequence[str], digits: int | None = None, value: str = VALUE,
-    lower: str = LOWER, upper: str = UPPER,
+    lower: str = LOWER, upper: str = UPPER, counted: Column | None = None,
 ) -> DataFrame:
     """Count, mean, quartiles and interpolated median of every group, from one histogram.
 
     One pass over the respondents and no join, so a group whose key is NULL keeps its median. The
     quartiles are exact, because the histogram holds every value with its frequency.
     """
-    histogram = band_histogram(df.where(F.col(value).isNotNull()), keys, lower, upper, value)
+    answered = F.col(value).isNotNull()
+    histogram = band_histogram(
+        df, keys, lower, upper, value,
+        counted=answered if counted is None else answered & counted,
+    )
     return statistics_of_histogram(histogram, keys, digits, value, lower, upper)
 
 

@@ -35,33 +35,29 @@ def header_frame(spark: SparkSession, headers: Mapping[int, Sequence[str]]) -> D
     return spark.createDataFrame(rows, "ano int, posicao int, cabecalho string")
 
 
-def header_code(header: Column) -> Column:
-    """Question code as written; ``""`` when the header fits neither format."""
-    text = strip_spaces(header)
-    from_tuple = F.regexp_extract(text, TUPLE_HEADER, 2)
-    return strip_spaces(
-        F.when(text.rlike(TUPLE_HEADER), from_tuple)
-        .when(text.rlike(FLAT_HEADER), F.regexp_extract(text, FLAT_HEADER, 1))
-        .otherwise(F.lit(""))
-    )
-
-
-def header_label(header: Column) -> Column:
-    """Question label; the whole header when it fits neither format."""
-    text = strip_spaces(header)
-    return strip_spaces(
-        F.when(text.rlike(TUPLE_HEADER), F.regexp_extract(text, TUPLE_HEADER, 4))
-        .when(text.rlike(FLAT_HEADER), F.regexp_extract(text, FLAT_HEADER, 2))
-        .otherwise(text)
-    )
+def parse_headers(headers: DataFrame) -> DataFrame:
+    """Add ``codigo`` (as written), ``codigo_questao`` (dotted) and ``rotulo`` to a header frame.
 
+    A header that fits neither format has an empty code and is its own label.
+    """
+    text = F.col("texto_do_cabecalho")
+    in_tuple, in_flat = text.rlike(TUPLE_HEADER), text.rlike(FLAT_HEADER)
+
+    def part(of_tuple: int, of_flat: int, otherwise: Column) -> Column:
+        return (
+            F.when(in_tuple, F.regexp_extract(text, TUPLE_HEADER, of_tuple))
+            .when(in_flat, F.regexp_extract(text, FLAT_HEADER, of_flat))
+            .otherwise(otherwise)
+        )
 
-def parse_headers(headers: DataFrame) -> DataFrame:
-    """Add ``codigo`` (as written), ``codigo_questao`` (dotted) and ``rotulo`` to a header frame."""
-    header = F.coalesce(F.col("cabecalho"), F.lit(""))
-    return headers.withColumn("codigo", header_code(header)).withColumns(
-        {"codigo_questao": normalise_code(F.col("codigo")), "rotulo": header_label(header)}
+    stripped = strip_spaces(F.coalesce(F.col("cabecalho"), F.lit("")))
+    split = headers.withColumn("texto_do_cabecalho", stripped).withColumns(
+        {"codigo": part(2, 1, F.lit("")), "rotulo": part(4, 2, text)}
     )
+    clean = split.withColumns(
+        {name: strip_spaces(F.col(name)) for name in ("codigo", "rotulo")}
+    ).drop("texto_do_cabecalho")
+    return clean.withColumn("codigo_questao", normalise_code(F.col("codigo")))
 
 
 def header_index(headers: DataFrame) -> DataFrame:

@@ -84,7 +84,7 @@ def ai_impact(
 ) -> DataFrame:
     """``impacto_ia``: pay of AI users and non-users by seniority. An association, not a cause."""
     figures = banded_statistics(
-        respondents.where(F.col("usa_ia").isNotNull()), ["ano", "senioridade", "usa_ia"], digits
+        respondents, ["ano", "senioridade", "usa_ia"], digits, counted=F.col("usa_ia").isNotNull()
     ).select(
         "ano", "senioridade", "usa_ia", "respondentes", "salario_medio",
         "salario_mediano_interpolado",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from surveyloom.functions import categories as cat
 from surveyloom.functions import fixed_values as fixed
 from surveyloom.functions.bands import midpoint, with_band_limits
-from surveyloom.functions.text import normalise, to_integer
+from surveyloom.functions.text import normalise_columns, to_integer
 from surveyloom.operators.answers import melt_answers
 
 BINARY_FIELDS = ("satisfacao_empresa", "atua_como_gestor")
@@ -46,8 +46,8 @@ def respondents(
     text is normalised once, in a projection of its own; the rules read that column.
     """
     given = set(edition.columns)
-    clean = edition.withColumns(
-        {f"{name}_normal": normalise(F.col(name)) for name in _MATCHED if name in given}
+    clean = normalise_columns(
+        edition, {f"{name}_normal": name for name in _MATCHED if name in given}
     )
     if "faixa_salarial" in given:
         clean = with_band_limits(clean, "faixa_salarial_normal")

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -20,9 +24,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {SETTING} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="surveyloom-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="surveyloom-")
+    return _local_folders[application]
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
@@ -30,12 +35,12 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     Cuts the lineage, survives the loss of executors, and stops several consumers from computing
     the same thing again.
     """
     path = new_table_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -31,8 +31,13 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def _orders(spark: SparkSession, sf: str, name: str, value: Column) -> DataFrame:
-    return table(spark, sf, "orders").select("o_orderkey", value.alias(name))
+def _orders(
+    spark: SparkSession, sf: str, name: str, raw: Column, rule: Callable[[Column], Column]
+) -> DataFrame:
+    """A rule over raw text of each order. The text is a column of its own, so that it is built
+    once however often the rule reads it."""
+    texts = table(spark, sf, "orders").select("o_orderkey", raw.alias("texto"))
+    return texts.select("o_orderkey", rule(F.col("texto")).alias(name))
 
 
 # Scalar functions
@@ -61,7 +66,7 @@ def missing_tokens(spark, sf):
         F.col("o_orderkey"), 10, "NaN", "None", "null", "<NA>", "NaT", " na ", "-", "--", None,
         "Resposta",
     )
-    return _orders(spark, sf, "texto", text.normalise(raw))
+    return _orders(spark, sf, "texto", raw, text.normalise)
 
 
 @query
@@ -74,9 +79,8 @@ def code_normalise(spark, sf):
         .when(key % 4 == 1, F.concat_ws("_", F.concat(F.lit(" p"), size), letter, number))
         .when(key % 4 == 2, F.concat(F.lit("."), size, F.lit(".."), letter, F.lit(".")))
     )
-    return table(spark, sf, "part").select(
-        "p_partkey", text.normalise_code(raw).alias("codigo")
-    )
+    texts = table(spark, sf, "part").select("p_partkey", raw.alias("texto"))
+    return texts.select("p_partkey", text.normalise_code(F.col("texto")).alias("codigo"))
 
 
 @query
@@ -87,7 +91,7 @@ def text_to_integer(spark, sf):
         .when(order % 9 == 1, F.concat(age, F.lit(".0")))
         .otherwise(F.concat(F.lit(" "), age, F.lit(" ")))
     )
-    return _orders(spark, sf, "idade", text.to_integer(raw))
+    return _orders(spark, sf, "idade", raw, text.to_integer)
 
 
 @query
@@ -109,14 +113,14 @@ def band_numbers(spark, sf):
 @query
 def band_limits(spark, sf):
     raw = star.band_text(F.col("o_totalprice"))
-    normal = _orders(spark, sf, "faixa", text.normalise(raw))
+    normal = _orders(spark, sf, "faixa", raw, text.normalise)
     return bands.with_band_limits(normal, "faixa").drop("faixa")
 
 
 @query
 def band_midpoint(spark, sf):
     raw = star.band_text(F.col("o_totalprice"))
-    return _orders(spark, sf, "salario_mensal_estimado", bands.band_midpoint(raw))
+    return _orders(spark, sf, "salario_mensal_estimado", raw, bands.band_midpoint)
 
 
 def _seniority_text() -> Column:
@@ -133,19 +137,24 @@ def _manager_text() -> Column:
 
 @query
 def std_seniority(spark, sf):
-    return _orders(spark, sf, "senioridade", cat.standard_seniority(_seniority_text()))
+    return _orders(spark, sf, "senioridade", _seniority_text(), cat.standard_seniority)
 
 
 @query
 def fill_manager(spark, sf):
-    level = cat.standard_seniority(_seniority_text())
-    return _orders(spark, sf, "senioridade", cat.fill_manager(level, _manager_text()))
+    raw = table(spark, sf, "orders").select(
+        "o_orderkey", _seniority_text().alias("nivel"), _manager_text().alias("gestor")
+    )
+    level = raw.withColumn("nivel", cat.standard_seniority(F.col("nivel")))
+    return level.select(
+        "o_orderkey", cat.fill_manager(F.col("nivel"), F.col("gestor")).alias("senioridade")
+    )
 
 
 @query
 def std_work_model(spark, sf):
     raw = star.work_model_text(F.col("o_orderstatus"), F.col("o_custkey"))
-    return _orders(spark, sf, "forma_trabalho", cat.standard_work_model(raw))
+    return _orders(spark, sf, "forma_trabalho", raw, cat.standard_work_model)
 
 
 @query
@@ -154,29 +163,27 @@ def std_gender(spark, sf):
         F.col("o_custkey"), 8, "Masculino", "Feminino", " MULHER", "homem",
         "Prefiro não informar", "Não-binário", None, "Feminino (cis)",
     )
-    return _orders(spark, sf, "genero", cat.standard_gender(raw))
+    return _orders(spark, sf, "genero", raw, cat.standard_gender)
 
 
 @query
 def to_binary(spark, sf):
-    return _orders(spark, sf, "atua_como_gestor", cat.to_binary(_manager_text()))
+    return _orders(spark, sf, "atua_como_gestor", _manager_text(), cat.to_binary)
 
 
 @query
 def flag_use(spark, sf):
-    return _orders(spark, sf, "usa_ia", cat.flag_use(star.ai_text(F.col("o_orderkey"))))
+    return _orders(spark, sf, "usa_ia", star.ai_text(F.col("o_orderkey")), cat.flag_use)
 
 
 @query
 def classify_use(spark, sf):
-    return _orders(
-        spark, sf, "tipo_uso_ia", cat.classify_use(star.ai_text(F.col("o_orderkey")))
-    )
+    return _orders(spark, sf, "tipo_uso_ia", star.ai_text(F.col("o_orderkey")), cat.classify_use)
 
 
 @query
 def std_region(spark, sf):
-    return star.survey_respondents(spark, sf).select("id_respondente", "regiao")
+    return star.derived_respondents(spark, sf).select("id_respondente", "regiao")
 
 
 @query
@@ -184,16 +191,18 @@ def region_of_state(spark, sf):
     customer, nation = table(spark, sf, "customer"), table(spark, sf, "nation")
     state = F.get(F.array(*[F.lit(f" {s.lower()}") for s in star.STATES]), F.col("n_nationkey"))
     state = F.when(F.col("n_nationkey") % 6 != 0, state)
-    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
-        "c_custkey", cat.region_of_state(state).alias("regiao")
+    located = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
+        "c_custkey", state.alias("uf")
     )
+    return located.select("c_custkey", cat.region_of_state(F.col("uf")).alias("regiao"))
 
 
 @query
 def canonical_region(spark, sf):
     raw = star.by_remainder(F.col("c_custkey"), 3, " SUDESTE", "centro-OESTE ", "Exterior")
-    return table(spark, sf, "customer").select(
-        "c_custkey", cat.canonical_region(raw, F.lit(None)).alias("regiao")
+    texts = table(spark, sf, "customer").select("c_custkey", raw.alias("texto"))
+    return texts.select(
+        "c_custkey", cat.canonical_region(F.col("texto"), F.lit(None)).alias("regiao")
     )
 
 
@@ -219,7 +228,7 @@ def melt_multi(spark, sf):
 
 @query
 def silver_respondents(spark, sf):
-    return star.survey_respondents(spark, sf).select(
+    return star.derived_respondents(spark, sf).select(
         "ano", "id_respondente", "idade", "genero", "regiao", "nivel_ensino", "setor_empresa",
         "cargo", "senioridade", "tempo_experiencia_dados", "forma_trabalho", "atua_como_gestor",
         "usa_ia", "tipo_uso_ia", "faixa_inferior", "faixa_superior", "salario_mensal_estimado",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.operators.answers import answer_lists, melt_answers
 from surveyloom.plans.silver import respondents
+from surveyloom.sources.workspace import written
 
 EDITIONS = (1995, 1996, 1997, 1998, 1999, 2000, 2001)
 
@@ -182,10 +183,27 @@ def raw_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def survey_respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derived_respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical respondents, derived from the raw answers in the same plan."""
     return respondents(raw_survey(spark, sf_dir))
 
 
+_silver: dict[tuple[str, str], DataFrame] = {}
+
+
+def survey_respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver table of respondents, written once per application and data folder.
+
+    Gold tables and reports read a stored, columnar silver table partitioned by edition, as in the
+    pipeline: each touches the few columns it needs, and a filter on a derived label reaches the
+    scan as a pushed-down comparison instead of repeating the derivation.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _silver:
+        _silver[key] = written(derived_respondents(spark, sf_dir), "respondentes", ["ano"])
+    return _silver[key]
+
+
 def order_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The multi-answer texts alone: they need no join."""
     order, customer = F.col("o_orderkey"), F.col("o_custkey")
