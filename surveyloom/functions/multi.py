@@ -50,14 +50,18 @@ def _nested_split(text: Column) -> Column:
     return F.split(marked, _MARK)
 
 
-def split_top_level(value: Column) -> Column:
-    """Items of a multi-answer text, stripped, without empty ones; no answer gives ``[]``."""
+def split_pieces(value: Column) -> Column:
+    """Text between top-level commas, neither stripped nor cleared of blanks."""
     # The mark cannot be typed into a form; blank it so that it never splits an item.
     text = F.translate(value.cast("string"), _MARK, " ")
-    pieces = (
+    return (
         F.when(is_missing(value), F.array().cast("array<string>"))
         .when(~text.rlike(_ANY_BRACKET), F.split(text, ","))
         .when(text.rlike(_SIMPLE_BRACKETS), F.split(text, _TOP_LEVEL_COMMA))
         .otherwise(_nested_split(text))
     )
-    return F.filter(F.transform(pieces, strip_spaces), lambda item: item != "")
+
+
+def split_top_level(value: Column) -> Column:
+    """Items of a multi-answer text, stripped, without empty ones; no answer gives ``[]``."""
+    return F.filter(F.transform(split_pieces(value), strip_spaces), lambda item: item != "")

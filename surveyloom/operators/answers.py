@@ -7,31 +7,41 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from surveyloom.functions.multi import split_top_level
+from surveyloom.functions.multi import split_pieces, split_top_level
+from surveyloom.functions.text import strip_spaces
 
 
-def answer_lists(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
-    """One row per respondent and answered question: ``(keys, categoria, itens)``.
+def answer_texts(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
+    """One row per respondent and question with a text: ``(keys, categoria, resposta)``.
 
     ``columns`` maps a category to the column that holds its text. All categories come out of one
     scan; each row carries its own answers, so nothing is shuffled.
     """
-    lists = F.array(
+    pairs = F.array(
         *[
-            F.struct(
-                F.lit(category).alias("categoria"),
-                split_top_level(F.col(f"`{column}`")).alias("itens"),
-            )
+            F.struct(F.lit(category).alias("categoria"), F.col(f"`{column}`").alias("resposta"))
             for category, column in columns.items()
         ]
     )
-    return df.select(*keys, F.inline(lists)).where(F.size("itens") > 0)
+    return df.select(*keys, F.inline(pairs)).where(F.col("resposta").isNotNull())
+
+
+def answer_lists(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
+    """One row per respondent and answered question: ``(keys, categoria, itens)``."""
+    return (
+        answer_texts(df, keys, columns)
+        .select(*keys, "categoria", split_top_level(F.col("resposta")).alias("itens"))
+        .where(F.size("itens") > 0)
+    )
 
 
 def melt_answers(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
     """Long table ``(keys, categoria, tecnologia)`` with one row per item named."""
-    return answer_lists(df, keys, columns).select(
-        *keys, "categoria", F.explode("itens").alias("tecnologia")
+    pieces = answer_texts(df, keys, columns).select(
+        *keys, "categoria", F.explode(split_pieces(F.col("resposta"))).alias("item")
+    )
+    return pieces.select(*keys, "categoria", strip_spaces(F.col("item")).alias("tecnologia")).where(
+        F.col("tecnologia") != ""
     )
 
 
@@ -95,9 +105,10 @@ def adoption_of_lists(lists: DataFrame, respondents: DataFrame) -> DataFrame:
     aggregate count adopters and answers.
     """
     per_item = (
-        lists.select(
+        lists.select("ano", "categoria", "itens", F.array_distinct("itens").alias("distintos"))
+        .select(
             "ano", "categoria", F.size("itens").alias("mencoes"),
-            F.posexplode(F.array_distinct("itens")).alias("ordem", "tecnologia"),
+            F.posexplode("distintos").alias("ordem", "tecnologia"),
         )
         .groupBy("ano", "categoria", "tecnologia")
         .agg(

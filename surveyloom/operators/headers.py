@@ -61,12 +61,17 @@ def parse_headers(headers: DataFrame) -> DataFrame:
 
 
 def header_index(headers: DataFrame) -> DataFrame:
-    """First header of each code and edition: a question precedes the columns derived from it."""
+    """First header of each code and edition: a question precedes the columns derived from it.
+
+    Headers without a code drop out of the aggregate, not of its input, where the filter would
+    repeat the parsing.
+    """
+    coded = F.when(F.col("codigo_questao") != "", F.col("cabecalho"))
     return (
         parse_headers(headers)
-        .where(F.col("codigo_questao") != "")
         .groupBy("ano", "codigo_questao")
-        .agg(F.min_by("cabecalho", "posicao").alias("cabecalho"))
+        .agg(F.min_by(coded, "posicao").alias("cabecalho"))
+        .where(F.col("cabecalho").isNotNull())
     )
 
 
