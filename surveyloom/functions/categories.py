@@ -81,10 +81,15 @@ def to_binary(value: Column) -> Column:
     return binary_of(normalise(value))
 
 
+def _literal_map(entries: Mapping[str, str]) -> Column:
+    """A constant map, folded once by the optimizer."""
+    text = "\x1e".join(f"{key}\x1f{value}" for key, value in entries.items())
+    return F.str_to_map(F.lit(text), F.lit("\x1e"), F.lit("\x1f"))
+
+
 def region_of_state(state: Column, states: Mapping[str, str] = fixed.STATE_TO_REGION) -> Column:
     """Region of a state code; unknown and blank codes give the not-informed label."""
-    pairs = [F.lit(part) for item in states.items() for part in item]
-    region = F.try_element_at(F.create_map(*pairs), F.upper(normalise(state)))
+    region = F.try_element_at(_literal_map(states), F.upper(normalise(state)))
     return F.coalesce(region, F.lit(fixed.NOT_INFORMED))
 
 
@@ -102,8 +107,7 @@ def canonical_region(
 ) -> Column:
     """``standard_region`` with known regions brought to one spelling (``SUDESTE`` -> ``Sudeste``)."""
     known = {name.lower(): name for name in states.values()}
-    pairs = [F.lit(part) for item in known.items() for part in item]
-    one_spelling = F.try_element_at(F.create_map(*pairs), normalise(region))
+    one_spelling = F.try_element_at(_literal_map(known), normalise(region))
     return F.coalesce(one_spelling, standard_region(region, state, states))
 
 
@@ -122,23 +126,23 @@ def flag_use(value: Column) -> Column:
     return ai_flag_of(normalise(value))
 
 
-def use_labels_of(text: Column) -> Column:
-    """Kinds of use as an array, in fixed order."""
+def use_type_of(text: Column) -> Column:
     found = []
     for fragments, label in fixed.AI_USE_RULES:
         hit = F.lit(False)
         for fragment in fragments:
             hit = hit | text.contains(fragment)
         found.append(F.when(hit, F.lit(label)))
-    return F.when(
-        text.contains(fixed.AI_NOT_USED_PHRASE), F.array(F.lit(fixed.AI_USE_NONE))
-    ).otherwise(F.array_compact(F.array(*found)))
-
-
-def use_type_of(text: Column) -> Column:
-    return F.nullif(F.array_join(use_labels_of(text), "|"), F.lit(""))
+    unused = text.contains(fixed.AI_NOT_USED_PHRASE)
+    kinds = F.when(unused, F.lit(fixed.AI_USE_NONE)).otherwise(F.concat_ws("|", *found))
+    return F.nullif(kinds, F.lit(""))
 
 
 def classify_use(value: Column) -> Column:
     """Kinds of generative-AI use, pipe-joined (``Paga|Gratuita``); NULL when none is named."""
     return use_type_of(normalise(value))
+
+
+def use_kinds(value: Column) -> Column:
+    """``classify_use`` as an array; NULL when no kind is named."""
+    return F.split(classify_use(value), r"\|")

@@ -87,17 +87,17 @@ def _ranges(chars: list[str], gap: int = 48) -> str:
     return f"[^\\x00-\\u{points[0] - 1:04x}](?<=[{inside}])"
 
 
-_NOT_PLAIN = r"[^ -~]"
+_CONTROL_SPACE = r"[\t-\r\x1c-\x1f]"
 _MAY_EXPAND = _ranges([c for c, _ in _EXPANDING])
-# Expansions as lines of a dictionary behind a mark that is no character.
-_DICTIONARY = "\uffff\n" + "\n".join(c + plain for c, plain in _EXPANDING) + "\n"
-_LOOK_UP = rf"(?s)({_MAY_EXPAND})(?=.*\uffff.*\n\1([^\n]*)\n)"
+# Expansions as entries of a dictionary, set apart by a code point that is no character.
+_DICTIONARY = "\uffff" + "\uffff".join(c + plain for c, plain in _EXPANDING) + "\uffff"
+_LOOK_UP = rf"(?s)({_MAY_EXPAND})(?=.*\uffff\1([^\uffff]*)\uffff)"
 
 
 def fold_accents(text: Column) -> Column:
     """Compatibility-decompose, drop combining marks (``Sênior`` -> ``Senior``), unify white space.
 
-    Rows of printable ASCII pass through. Ligatures and fractions become several characters, which ``translate``
+    ASCII rows pass through. Ligatures and fractions become several characters, which ``translate``
     cannot do: on the rare rows that may hold one, each is looked up in a dictionary appended to
     the text for the duration of the replacement.
     """
@@ -105,7 +105,11 @@ def fold_accents(text: Column) -> Column:
     expanded = F.when(
         text.rlike(_MAY_EXPAND), F.regexp_replace(looked_up, r"(?s)\uffff.*\z", "")
     ).otherwise(text)
-    return F.when(text.rlike(_NOT_PLAIN), F.translate(expanded, _FROM, _TO)).otherwise(text)
+    # More bytes than characters: not ASCII. Told without decoding the text.
+    wide = F.octet_length(text) > F.length(text)
+    return F.when(
+        wide | text.rlike(_CONTROL_SPACE), F.translate(expanded, _FROM, _TO)
+    ).otherwise(text)
 
 
 def strip_spaces(text: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from surveyloom.functions.fixed_values import MIN_RESPONDENTS
 from surveyloom.operators import headers as hd
 from surveyloom.plans import gold, silver
+from surveyloom.session import configure
 from surveyloom.sources import bronze, sinks
 from surveyloom.sources.mapping import SurveyMapping, read_mapping
 
@@ -42,6 +43,7 @@ def bronze_to_silver(
     ``encoding="auto"`` falls back to Latin-1 for editions that are not UTF-8. With ``strict`` a
     missing critical field stops the job before anything is written.
     """
+    configure(spark)
     mapping = mapping or read_mapping(spark)
     raw = {
         year: bronze.read_survey_csv(

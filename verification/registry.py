@@ -63,7 +63,7 @@ def snake_text(spark, sf):
 @query
 def missing_tokens(spark, sf):
     raw = star.by_remainder(
-        F.col("o_orderkey"), 10, "NaN", "None", "null", "<NA>", "NaT", " na ", "-", "--", None,
+        "o_orderkey", 10, "NaN", "None", "null", "<NA>", "NaT", " na ", "-", "--", None,
         "Resposta",
     )
     return _orders(spark, sf, "texto", raw, text.normalise)
@@ -123,27 +123,15 @@ def band_midpoint(spark, sf):
     return _orders(spark, sf, "salario_mensal_estimado", raw, bands.band_midpoint)
 
 
-def _seniority_text() -> Column:
-    return star.seniority_text(
-        F.col("o_orderpriority"), F.col("o_orderkey"), F.col("o_custkey")
-    )
-
-
-def _manager_text() -> Column:
-    return star.by_remainder(
-        F.col("o_orderkey"), 7, "1", "0", "TRUE", "FALSE", "Sim, sou gestor", "Não", ""
-    )
-
-
 @query
 def std_seniority(spark, sf):
-    return _orders(spark, sf, "senioridade", _seniority_text(), cat.standard_seniority)
+    return _orders(spark, sf, "senioridade", F.expr(star.SENIORITY_TEXT), cat.standard_seniority)
 
 
 @query
 def fill_manager(spark, sf):
     raw = table(spark, sf, "orders").select(
-        "o_orderkey", _seniority_text().alias("nivel"), _manager_text().alias("gestor")
+        "o_orderkey", F.expr(star.SENIORITY_TEXT).alias("nivel"), F.expr(star.MANAGER_TEXT).alias("gestor")
     )
     level = raw.withColumn("nivel", cat.standard_seniority(F.col("nivel")))
     return level.select(
@@ -153,32 +141,28 @@ def fill_manager(spark, sf):
 
 @query
 def std_work_model(spark, sf):
-    raw = star.work_model_text(F.col("o_orderstatus"), F.col("o_custkey"))
+    raw = F.expr(star.WORK_MODEL_TEXT)
     return _orders(spark, sf, "forma_trabalho", raw, cat.standard_work_model)
 
 
 @query
 def std_gender(spark, sf):
-    raw = star.by_remainder(
-        F.col("o_custkey"), 8, "Masculino", "Feminino", " MULHER", "homem",
-        "Prefiro não informar", "Não-binário", None, "Feminino (cis)",
-    )
-    return _orders(spark, sf, "genero", raw, cat.standard_gender)
+    return _orders(spark, sf, "genero", F.expr(star.GENDER_TEXT), cat.standard_gender)
 
 
 @query
 def to_binary(spark, sf):
-    return _orders(spark, sf, "atua_como_gestor", _manager_text(), cat.to_binary)
+    return _orders(spark, sf, "atua_como_gestor", F.expr(star.MANAGER_TEXT), cat.to_binary)
 
 
 @query
 def flag_use(spark, sf):
-    return _orders(spark, sf, "usa_ia", star.ai_text(F.col("o_orderkey")), cat.flag_use)
+    return _orders(spark, sf, "usa_ia", F.expr(star.AI_TEXT), cat.flag_use)
 
 
 @query
 def classify_use(spark, sf):
-    return _orders(spark, sf, "tipo_uso_ia", star.ai_text(F.col("o_orderkey")), cat.classify_use)
+    return _orders(spark, sf, "tipo_uso_ia", F.expr(star.AI_TEXT), cat.classify_use)
 
 
 @query
@@ -189,8 +173,7 @@ def std_region(spark, sf):
 @query
 def region_of_state(spark, sf):
     customer, nation = table(spark, sf, "customer"), table(spark, sf, "nation")
-    state = F.get(F.array(*[F.lit(f" {s.lower()}") for s in star.STATES]), F.col("n_nationkey"))
-    state = F.when(F.col("n_nationkey") % 6 != 0, state)
+    state = F.expr(star.RAW_TEXTS["uf_moradia"])
     located = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
         "c_custkey", state.alias("uf")
     )
@@ -199,7 +182,8 @@ def region_of_state(spark, sf):
 
 @query
 def canonical_region(spark, sf):
-    raw = star.by_remainder(F.col("c_custkey"), 3, " SUDESTE", "centro-OESTE ", "Exterior")
+    raw = star.by_remainder(
+        "c_custkey", 3, " SUDESTE", "centro-OESTE ", "Exterior")
     texts = table(spark, sf, "customer").select("c_custkey", raw.alias("texto"))
     return texts.select(
         "c_custkey", cat.canonical_region(F.col("texto"), F.lit(None)).alias("regiao")
@@ -221,7 +205,7 @@ def split_multi(spark, sf):
 
 @query
 def melt_multi(spark, sf):
-    return star.survey_answers(spark, sf).groupBy(
+    return star.derived_answers(spark, sf).groupBy(
         "ano", "id_respondente", "categoria", "tecnologia"
     ).agg(F.count(F.lit(1)).alias("mencoes"))
 

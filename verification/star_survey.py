@@ -6,6 +6,8 @@ from columns of the order and its customer; nothing is sampled or cut.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,12 +34,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def by_remainder(number: Column, modulus: int, *choices: str | None) -> Column:
-    """Text picked by the remainder of a number; None is NULL."""
-    chain = F.when(F.lit(False), F.lit(None).cast("string"))
-    for rest, text in enumerate(choices):
-        chain = chain.when(number % modulus == rest, F.lit(text).cast("string"))
-    return chain
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Share out a scan with fewer splits than cores before costly work on each row.
+
+    A single small file is one split, hence one task. A large table has more splits than cores and
+    passes through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def quoted(text: str | None) -> str:
+    """SQL literal of a text; None is NULL."""
+    return "CAST(NULL AS STRING)" if text is None else "'" + text.replace("'", "\\'") + "'"
+
+
+def by_remainder(number: str, modulus: int, *choices: str | None) -> Column:
+    """Text picked by the remainder of a number, which is given as SQL."""
+    return F.expr(remainder_sql(number, modulus, *choices))
+
+
+def remainder_sql(number: str, modulus: int, *choices: str | None) -> str:
+    whens = " ".join(f"WHEN {rest} THEN {quoted(x)}" for rest, x in enumerate(choices))
+    return f"(CASE ({number}) % {modulus} {whens} END)"
 
 
 def orders_with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +64,7 @@ def orders_with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    orders = table(spark, sf_dir, "orders")
+    orders = spread_scan(table(spark, sf_dir, "orders"))
     return (
         orders.join(customer, orders.o_custkey == customer.c_custkey)
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -70,116 +89,102 @@ def band_text(price: Column) -> Column:
     )
 
 
-def seniority_text(priority: Column, order: Column, customer: Column) -> Column:
-    level = F.substring(priority, 1, 1)
-    return (
-        F.when(level == "1", F.lit("Júnior"))
-        .when(level == "2", F.lit(" PLENO"))
-        .when(level == "3", F.lit("Sênior"))
-        .when(level == "4", by_remainder(order, 3, "", None, "nan"))
-        .otherwise(
-            by_remainder(customer, 3, "Especialista/Staff+", "Gerente de dados", "Analista")
-        )
-    )
+SENIORITY_TEXT = f"""CASE left(o_orderpriority, 1) WHEN '1' THEN 'Júnior' WHEN '2' THEN ' PLENO'
+  WHEN '3' THEN 'Sênior' WHEN '4' THEN {remainder_sql("o_orderkey", 3, "", None, "nan")}
+  ELSE {remainder_sql("o_custkey", 3, "Especialista/Staff+", "Gerente de dados", "Analista")} END"""
 
+WORK_MODEL_TEXT = f"""CASE o_orderstatus WHEN 'F' THEN 'Modelo 100% remoto'
+  WHEN 'O' THEN 'Modelo híbrido com dias fixos de trabalho presencial'
+  ELSE {remainder_sql("o_custkey", 4, None, "Home  Office", "100% presencial", "Nômade")} END"""
 
-def work_model_text(status: Column, customer: Column) -> Column:
-    return (
-        F.when(status == "F", F.lit("Modelo 100% remoto"))
-        .when(status == "O", F.lit("Modelo híbrido com dias fixos de trabalho presencial"))
-        .otherwise(by_remainder(customer, 4, None, "Home  Office", "100% presencial", "Nômade"))
-    )
+MANAGER_TEXT = remainder_sql(
+    "o_orderkey", 7, "1", "0", "TRUE", "FALSE", "Sim, sou gestor", "Não", ""
+)
 
+GENDER_TEXT = remainder_sql(
+    "o_custkey", 8, "Masculino", "Feminino", " MULHER", "homem", "Prefiro não informar",
+    "Não-binário", None, "Feminino (cis)",
+)
 
-def ai_text(order: Column) -> Column:
-    return by_remainder(
-        order, 11, None, NOT_USED, FREE, PAID, CODE, f"{PAID}, {CODE}", f"{FREE}, {PAID}",
-        "Utilizo outra coisa", "Talvez", NOT_USED.upper(), "A empresa fornece o Copilot",
-    )
+AI_TEXT = remainder_sql(
+    "o_orderkey", 11, None, NOT_USED, FREE, PAID, CODE, f"{PAID}, {CODE}", f"{FREE}, {PAID}",
+    "Utilizo outra coisa", "Talvez", NOT_USED.upper(), "A empresa fornece o Copilot",
+)
 
 
-def _items(*conditions: tuple[Column, str]) -> Column:
-    return F.concat_ws(", ", *[F.when(condition, F.lit(item)) for condition, item in conditions])
+def _items(*conditions: tuple[str, str]) -> str:
+    whens = ", ".join(f"CASE WHEN {when} THEN {quoted(item)} END" for when, item in conditions)
+    return f"concat_ws(', ', {whens})"
 
 
-def answer_texts(order: Column, customer: Column, year: Column) -> dict[str, Column]:
-    """Multi-answer texts: slashes, bracketed commas, nested and stray brackets, empty items."""
-    choices = ("SQL", "Python", "R", "SAS/Stata")
-    preferred = by_remainder(order, 4, *choices)
-    second = by_remainder(order + 1, 4, *choices)
-    third = F.when(order % 2 == 0, by_remainder(order + 2, 4, *choices))
-    bank = _items(
-        (customer % 2 == 0, "PostgreSQL"),
-        (customer % 3 == 0, "f((a,b),c)"),
-        (customer % 5 == 0, "Oracle) DB"),
-        (customer % 7 == 0, "Firebird [2.5, 3.0]"),
-    )
-    cloud = _items(
-        (order % 2 == 0, "Azure (Microsoft)"),
-        (order % 3 == 0, "Amazon Web Services (AWS)"),
-        (order % 5 == 0, "Google Cloud (GCP, Firebase)"),
-        (order % 7 == 0, "Servidores On Premise/Não utilizamos Cloud"),
-        (order % 10 == 0, "Azure (Microsoft)"),
-    )
-    return {
-        # Multiple choice since 1998, single choice before.
-        "linguagem_preferida": F.when(year < 1998, preferred).otherwise(
-            F.concat_ws(", ", preferred, second, third)
-        ),
-        "banco_dados": bank,
-        "cloud_uso": F.when(order % 13 == 0, F.concat(cloud, F.lit(", ,"))).otherwise(cloud),
-        # Not asked before 1997.
-        "ferramenta_bi": F.when(
-            year >= 1997,
-            _items(((order + customer) % 3 < 2, "Power BI"), (customer % 4 == 0, "Tableau")),
-        ),
-    }
+def _preferred(number: str) -> str:
+    return remainder_sql(number, 4, "SQL", "Python", "R", "SAS/Stata")
+
+
+_CLOUD = _items(
+    ("o_orderkey % 2 = 0", "Azure (Microsoft)"),
+    ("o_orderkey % 3 = 0", "Amazon Web Services (AWS)"),
+    ("o_orderkey % 5 = 0", "Google Cloud (GCP, Firebase)"),
+    ("o_orderkey % 7 = 0", "Servidores On Premise/Não utilizamos Cloud"),
+    ("o_orderkey % 10 = 0", "Azure (Microsoft)"),
+)
+# Multi-answer texts: slashes, bracketed commas, nested and stray brackets, empty items.
+ANSWER_TEXTS = {
+    # Multiple choice since 1998, single choice before.
+    "linguagem_preferida": f"""CASE WHEN year(o_orderdate) < 1998 THEN {_preferred("o_orderkey")}
+      ELSE concat_ws(', ', {_preferred("o_orderkey")}, {_preferred("o_orderkey + 1")},
+        CASE WHEN o_orderkey % 2 = 0 THEN {_preferred("o_orderkey + 2")} END) END""",
+    "banco_dados": _items(
+        ("o_custkey % 2 = 0", "PostgreSQL"),
+        ("o_custkey % 3 = 0", "f((a,b),c)"),
+        ("o_custkey % 5 = 0", "Oracle) DB"),
+        ("o_custkey % 7 = 0", "Firebird [2.5, 3.0]"),
+    ),
+    "cloud_uso": f"concat({_CLOUD}, CASE WHEN o_orderkey % 13 = 0 THEN ', ,' ELSE '' END)",
+    # Not asked before 1997.
+    "ferramenta_bi": f"""CASE WHEN year(o_orderdate) >= 1997 THEN {_items(
+        ("(o_orderkey + o_custkey) % 3 < 2", "Power BI"), ("o_custkey % 4 = 0", "Tableau")
+    )} END""",
+}
+
+
+def _answer_columns() -> list[Column]:
+    return [F.expr(sql).alias(name) for name, sql in ANSWER_TEXTS.items()]
+
+
+_STATE_LIST = "array(" + ", ".join(quoted(x.lower()) for x in STATES) + ")"
+_AGE = "CAST(20 + o_custkey % 40 AS STRING)"
+_YEARS = "CAST(floor(c_acctbal / 2000) AS BIGINT)"
+RAW_TEXTS = {
+    "idade": f"""CASE o_orderkey % 9 WHEN 0 THEN 'n/d' WHEN 1 THEN concat({_AGE}, '.0')
+      WHEN 2 THEN concat('  ', {_AGE}, ' ') ELSE {_AGE} END""",
+    "genero": GENDER_TEXT,
+    "uf_moradia": f"CASE WHEN n_nationkey % 6 = 0 THEN '' ELSE {_STATE_LIST}[n_nationkey] END",
+    "regiao": """CASE WHEN o_orderkey % 4 = 0 THEN ' ' WHEN o_orderkey % 8 = 1 THEN NULL
+      ELSE concat(' ', r_name) END""",
+    "nivel_ensino": remainder_sql(
+        "o_orderkey", 5, "Graduação/Bacharelado", "Pós-graduação", "Mestrado",
+        "Doutorado ou Phd", None,
+    ),
+    "setor_empresa": "CASE WHEN n_nationkey % 7 <> 6 THEN concat('Setor ', n_nationkey % 7) END",
+    "cargo": "CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN c_mktsegment END",
+    "senioridade": SENIORITY_TEXT,
+    "tempo_experiencia_dados": f"""CASE WHEN c_acctbal >= 0
+      THEN concat('de ', {_YEARS}, ' a ', {_YEARS} + 1, ' anos') END""",
+    "forma_trabalho": WORK_MODEL_TEXT,
+    "atua_como_gestor": MANAGER_TEXT,
+    "uso_ia_pessoal": AI_TEXT,
+}
 
 
 def raw_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw answers under canonical names; every answer is text or NULL."""
-    order, customer, nation = F.col("o_orderkey"), F.col("o_custkey"), F.col("n_nationkey")
-    year = F.year("o_orderdate")
-    age = (20 + customer % 40).cast("string")
-    state = F.get(F.array(*[F.lit(s) for s in STATES]), nation)
-    years = F.floor(F.col("c_acctbal") / 2000)
     return orders_with_customer(spark, sf_dir).select(
-        year.alias("ano"),
-        order.cast("string").alias("id_respondente"),
-        F.when(order % 9 == 0, F.lit("n/d"))
-        .when(order % 9 == 1, F.concat(age, F.lit(".0")))
-        .when(order % 9 == 2, F.concat(F.lit("  "), age, F.lit(" ")))
-        .otherwise(age)
-        .alias("idade"),
-        by_remainder(
-            customer, 8, "Masculino", "Feminino", " MULHER", "homem", "Prefiro não informar",
-            "Não-binário", None, "Feminino (cis)",
-        ).alias("genero"),
-        F.when(nation % 6 == 0, F.lit("")).otherwise(F.lower(state)).alias("uf_moradia"),
-        F.when(order % 4 == 0, F.lit(" "))
-        .when(order % 8 == 1, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit(" "), F.col("r_name")))
-        .alias("regiao"),
-        by_remainder(
-            order, 5, "Graduação/Bacharelado", "Pós-graduação", "Mestrado", "Doutorado ou Phd",
-            None,
-        ).alias("nivel_ensino"),
-        F.when(nation % 7 != 6, F.concat(F.lit("Setor "), (nation % 7).cast("string"))).alias(
-            "setor_empresa"
-        ),
-        F.nullif("c_mktsegment", F.lit("HOUSEHOLD")).alias("cargo"),
-        seniority_text(F.col("o_orderpriority"), order, customer).alias("senioridade"),
+        F.expr("year(o_orderdate)").alias("ano"),
+        F.expr("CAST(o_orderkey AS STRING)").alias("id_respondente"),
+        *[F.expr(sql).alias(name) for name, sql in RAW_TEXTS.items()],
         band_text(F.col("o_totalprice")).alias("faixa_salarial"),
-        F.when(
-            F.col("c_acctbal") >= 0,
-            F.concat(F.lit("de "), years, F.lit(" a "), years + 1, F.lit(" anos")),
-        ).alias("tempo_experiencia_dados"),
-        work_model_text(F.col("o_orderstatus"), customer).alias("forma_trabalho"),
-        by_remainder(order, 7, "1", "0", "TRUE", "FALSE", "Sim, sou gestor", "Não", "").alias(
-            "atua_como_gestor"
-        ),
-        ai_text(order).alias("uso_ia_pessoal"),
-        *[text.alias(name) for name, text in answer_texts(order, customer, year).items()],
+        *_answer_columns(),
     )
 
 
@@ -188,30 +193,34 @@ def derived_respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return respondents(raw_survey(spark, sf_dir))
 
 
-_silver: dict[tuple[str, str], DataFrame] = {}
+_silver: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def survey_respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The silver table of respondents, written once per application and data folder.
+def stored(
+    name: str, build: Callable[[SparkSession, str], DataFrame], spark: SparkSession, sf_dir: str
+) -> DataFrame:
+    """A silver table, written once per application and data folder, partitioned by edition.
 
-    Gold tables and reports read a stored, columnar silver table partitioned by edition, as in the
-    pipeline: each touches the few columns it needs, and a filter on a derived label reaches the
-    scan as a pushed-down comparison instead of repeating the derivation.
+    Gold tables and reports read stored, columnar silver, as in the pipeline: each touches the few
+    columns it needs, and a filter on a derived label reaches the scan as a pushed-down comparison
+    instead of repeating the derivation.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _silver:
-        _silver[key] = written(derived_respondents(spark, sf_dir), "respondentes", ["ano"])
+        _silver[key] = written(build(spark, sf_dir), name, ["ano"])
     return _silver[key]
 
 
+def survey_respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored("respondentes", derived_respondents, spark, sf_dir)
+
+
 def order_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The multi-answer texts alone: they need no join."""
-    order, customer = F.col("o_orderkey"), F.col("o_custkey")
-    year = F.year("o_orderdate")
-    return table(spark, sf_dir, "orders").select(
-        year.alias("ano"),
-        order.cast("string").alias("id_respondente"),
-        *[text.alias(name) for name, text in answer_texts(order, customer, year).items()],
+    return spread_scan(table(spark, sf_dir, "orders")).select(
+        F.expr("year(o_orderdate)").alias("ano"),
+        F.expr("CAST(o_orderkey AS STRING)").alias("id_respondente"),
+        *_answer_columns(),
     )
 
 
@@ -219,15 +228,24 @@ _KEYS = ("ano", "id_respondente")
 _SAME = {name: name for name in ANSWER_COLUMNS}
 
 
-def survey_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long table of the answers given in the orders."""
+def derived_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long table of the answers given in the orders, split from the raw texts."""
     return melt_answers(order_answers(spark, sf_dir), _KEYS, _SAME)
 
 
-def survey_answer_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derived_answer_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order and question with the list of items named."""
     return answer_lists(order_answers(spark, sf_dir), _KEYS, _SAME)
 
 
+def survey_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored("tecnologias", derived_answers, spark, sf_dir)
+
+
+def survey_answer_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored("respostas", derived_answer_lists, spark, sf_dir)
+
+
 def edition_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edition and key of every respondent, without the joins of the full view."""
     return table(spark, sf_dir, "orders").select(
@@ -279,7 +297,7 @@ def supplier_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("*", year.alias("ano"))
         .select(
             "ano",
-            by_remainder(F.col("s_suppkey"), 3, "campos", "ia", "tecnologias").alias("grupo"),
+            by_remainder("s_suppkey", 3, "campos", "ia", "tecnologias").alias("grupo"),
             F.col("s_name").alias("campo"),
             F.when(rest == 0, F.lit(None).cast("string"))
             .when(rest == 1, F.lit("9.z"))
