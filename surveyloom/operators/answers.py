@@ -83,17 +83,29 @@ def adoption(items: DataFrame, respondents: DataFrame) -> DataFrame:
     shuffles, so a person or item that fills a third of the table does not fill one task.
     """
     person = ["ano", "categoria", "id_respondente"]
+    question = Window.partitionBy("ano", "categoria")
     once = items.groupBy(*person, "tecnologia").agg(F.count(F.lit(1)).alias("mencoes"))
-    per_item = once.groupBy("ano", "categoria", "tecnologia").agg(
-        F.count(F.lit(1)).alias("respondentes")
+    per_item = (
+        once.groupBy("ano", "categoria", "tecnologia")
+        .agg(F.count(F.lit(1)).alias("respondentes"), F.sum("mencoes").alias("mencoes"))
+        .select(
+            "ano", "categoria", "tecnologia", "respondentes",
+            F.sum("mencoes").over(question).alias("total_mencoes"),
+        )
     )
+    # Both branches read the mentions and the join is null-safe, which adds no filter to one side:
+    # so both need exactly the same ``once``, and Spark computes and shuffles it a single time.
     base = (
         once.groupBy(*person)
         .agg(F.sum("mencoes").alias("mencoes"))
         .groupBy("ano", "categoria")
-        .agg(F.count(F.lit(1)).alias("base_resposta"), F.sum("mencoes").alias("total_mencoes"))
+        .agg(F.count_if(F.col("mencoes") > 0).alias("base_resposta"))
+        .withColumnsRenamed({"ano": "ano_base", "categoria": "categoria_base"})
+    )
+    same_question = F.col("ano").eqNullSafe(F.col("ano_base")) & F.col("categoria").eqNullSafe(
+        F.col("categoria_base")
     )
-    counted = per_item.join(base, ["ano", "categoria"], "left")
+    counted = per_item.join(base, same_question, "left").drop("ano_base", "categoria_base")
     return _adoption_columns(counted, edition_totals(respondents))
 
 
