@@ -105,7 +105,7 @@ def standard_region(
 def canonical_region(
     region: Column, state: Column, states: Mapping[str, str] = fixed.STATE_TO_REGION
 ) -> Column:
-    """``standard_region`` with known regions brought to one spelling (``SUDESTE`` -> ``Sudeste``)."""
+    """``standard_region`` with one spelling per known region (``SUDESTE`` -> ``Sudeste``)."""
     known = {name.lower(): name for name in states.values()}
     one_spelling = F.try_element_at(_literal_map(known), normalise(region))
     return F.coalesce(one_spelling, standard_region(region, state, states))

@@ -131,8 +131,10 @@ def normalise_columns(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     The same result as ``normalise``, in three projections, so that each step can look at the
     previous result before it does any work.
     """
-    sources = {new: F.coalesce(F.col(old).cast("string"), F.lit("")) for new, old in columns.items()}
-    folded = df.withColumns({new: fold_accents(text) for new, text in sources.items()})
+    def source(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+    folded = df.withColumns({new: fold_accents(source(old)) for new, old in columns.items()})
 
     def single_spaced(text: Column) -> Column:
         runs = text.contains("  ")

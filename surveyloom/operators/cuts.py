@@ -33,9 +33,10 @@ def cut_histogram(
 ) -> DataFrame:
     """Band histogram of every cut over the respondents with a value, from one scan.
 
-    GROUPING SETS read the table once. Each task combines its rows before the shuffle to (cells of all cuts x bands), a few thousand
-    rows however many respondents it read. Grouping by all dimensions at once first would shrink
-    nothing, since the full crossing has about as many cells as a task has rows.
+    GROUPING SETS read the table once. Each task combines its rows before the shuffle to (cells of
+    all cuts x bands), a few thousand rows however many respondents it read. Grouping by all
+    dimensions at once first would shrink nothing, since the full crossing has about as many cells
+    as a task has rows.
     """
     present = usable_cuts(df, cuts)
     dims = list(dict.fromkeys(d for names in present.values() for d in names))

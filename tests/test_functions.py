@@ -150,7 +150,8 @@ def test_ai_use(apply):
         "Gratuita", "Paga", "Assistente de codigo", "Nenhuma", "Paga|Assistente de codigo",
         None, None, None, None,
     ]
-    assert apply(categories.use_kinds, [f"{PAID}, {FREE}", "Talvez"]) == [["Paga", "Gratuita"], None]
+    kinds = apply(categories.use_kinds, [f"{PAID}, {FREE}", "Talvez"])
+    assert kinds == [["Paga", "Gratuita"], None]
 
 
 def test_split_cases(apply):
