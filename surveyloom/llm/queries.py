@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from surveyloom.llm import chat_format, license_scan
 from surveyloom.llm.bpe_automaton import encoding_digests
 from surveyloom.llm.quality_classifier import score_documents
 from surveyloom.llm.quality_rules import apply_rules
+from surveyloom.llm.simhash import near_duplicates
 from surveyloom.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,22 +28,41 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(_table(spark, sf_dir, "documents"))
 
 
+def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat_format.with_specimen(_table(spark, sf_dir, "conversations"))
+    return chat_format.conversation_digests(turns)
+
+
 def op7_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(_table(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_quality_classifier,
         op2_quality_rules,
+        op4_simhash_dedup,
         op5_token_counts,
+        op6_chat_format,
         op7_bpe_automaton,
+        op8_license_scan,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_chat_format": chat_format.ORACLE,
+    "op8_license_scan": license_scan.oracle(),
+}
