@@ -6,13 +6,15 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 #: Rows handed to a batch function at once; texts of this many documents fit a worker's memory.
 ROWS = 256
 
 
 def map_batches(
-    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: str
+    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]],
+    schema: str | StructType,
 ) -> DataFrame:
     """Apply a batch function to slices of at most ``ROWS`` rows of every partition.
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from surveyloom.llm import chat_format, license_scan
 from surveyloom.llm.bpe_automaton import encoding_digests
+from surveyloom.llm.pii_crf import find_personal_data
 from surveyloom.llm.quality_classifier import score_documents
 from surveyloom.llm.quality_rules import apply_rules
 from surveyloom.llm.simhash import near_duplicates
@@ -28,6 +29,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(_table(spark, sf_dir, "documents"))
 
 
+def op3_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         op1_quality_classifier,
         op2_quality_rules,
+        op3_pii_crf,
         op4_simhash_dedup,
         op5_token_counts,
         op6_chat_format,
