@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from surveyloom.llm import chat_format, license_scan
 from surveyloom.llm.bpe_automaton import encoding_digests
+from surveyloom.llm.decontaminate import find_leaks
+from surveyloom.llm.html_extract import extract_text
 from surveyloom.llm.pii_crf import find_personal_data
 from surveyloom.llm.quality_classifier import score_documents
 from surveyloom.llm.quality_rules import apply_rules
@@ -54,6 +56,14 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -65,6 +75,8 @@ QUERIES: dict[str, Query] = {
         op6_chat_format,
         op7_bpe_automaton,
         op8_license_scan,
+        op9_benchmark_decontamination,
+        op10_html_extraction,
     )
 }
 

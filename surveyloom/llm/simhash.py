@@ -274,3 +274,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return hashed.join(classes, F.col("fp") == F.col("class_fp"), "left").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id names their component, with all their columns.
+
+    Rows that repeat an id are the same document and one of them stays. Rows without an id cannot
+    be told from their copies by it, and stay.
+    """
+    named = near_duplicates(docs).where(F.col("doc_id") == F.col("component_id"))
+    kept = written(named.select(F.col("doc_id").alias("kept_id")).distinct(), "kept-ids")
+    with_id = docs.where(F.col("doc_id").isNotNull())
+    # The join deals rows by id already, so dropping repeats takes no further shuffle.
+    one = with_id.join(kept, with_id["doc_id"] == kept["kept_id"], "left_semi")
+    return one.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
