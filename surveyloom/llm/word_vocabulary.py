@@ -49,8 +49,8 @@ class WordVocabulary:
     def __init__(self, content: str) -> None:
         file = json.loads(content)
         model = file["model"]
-        cut = file["pre_tokenizer"]["pretokenizers"][0]
-        if model["type"] != "BPE" or cut["pattern"] != {"Regex": FILE_PATTERN}:
+        cut = (file["pre_tokenizer"].get("pretokenizers") or [{}])[0]
+        if model["type"] != "BPE" or cut.get("pattern") != {"Regex": FILE_PATTERN}:
             raise ValueError("not a word-level byte-pair vocabulary")
         self.suffix: str = model["end_of_word_suffix"]
         self.ids: dict[str, int] = model["vocab"]
