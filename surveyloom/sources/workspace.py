@@ -2,32 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
-
-
-_local_folders: dict[str, str] = {}
+FALLBACK = "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder the cluster names in ``spark.checkpoint.dir``.
+    """Folder that all executors share: the one in ``spark.checkpoint.dir``, else the warehouse's.
 
-    Every executor must reach it, so a local temporary folder stands in only for a local master.
+    Both are configuration, so the place never depends on the machine or the kind of master.
     """
     folder = spark.conf.get(SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {SETTING} to a folder all executors share")
-    application = spark.sparkContext.applicationId
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="surveyloom-")
-    return _local_folders[application]
+    return f"{spark.conf.get(FALLBACK).rstrip('/')}/_intermediate"
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
@@ -39,8 +31,19 @@ def written(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataF
     """Write a frame to the shared folder and read it back.
 
     Cuts the lineage, survives the loss of executors, and stops several consumers from computing
-    the same thing again.
+    the same thing again. Rows are dealt by the partition columns first, so that each partition is
+    a few files rather than one for each task; adaptive execution splits the large ones.
     """
     path = new_table_path(df.sparkSession, name)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a table that this library wrote below the shared folder; nothing else is touched."""
+    if not path.startswith(f"{shared_folder(spark)}/"):
+        raise ValueError(f"{path} is not below the shared folder")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
