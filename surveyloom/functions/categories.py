@@ -55,14 +55,23 @@ def standard_work_model(value: Column) -> Column:
     return work_model_of(normalise(value))
 
 
+def _named(
+    text: Column, rules: Iterable[tuple[tuple[str, ...], tuple[str, ...], object]]
+) -> Column:
+    """Value of the rule one of whose beginnings or whole words the text has; NULL without one."""
+    chain = F.when(F.lit(False), F.lit(None))
+    for beginnings, words, value in rules:
+        hit = text.isin(*words)
+        for beginning in beginnings:
+            hit = hit | text.startswith(beginning)
+        chain = chain.when(hit, F.lit(value))
+    return chain
+
+
 def gender_of(text: Column) -> Column:
-    return (
-        F.when(text == "", F.lit(fixed.NOT_INFORMED))
-        .when(text.startswith("masculino") | (text == "homem"), F.lit("Masculino"))
-        .when(text.startswith("feminino") | (text == "mulher"), F.lit("Feminino"))
-        .when(text.contains("prefiro nao informar"), F.lit(fixed.NOT_INFORMED))
-        .otherwise(F.lit(fixed.OTHER))
-    )
+    withheld = (text == "") | text.contains(fixed.GENDER_WITHHELD)
+    other = F.when(withheld, F.lit(fixed.NOT_INFORMED)).otherwise(F.lit(fixed.OTHER))
+    return F.coalesce(_named(text, fixed.GENDER_RULES), other)
 
 
 def standard_gender(value: Column) -> Column:
@@ -70,10 +79,7 @@ def standard_gender(value: Column) -> Column:
 
 
 def binary_of(text: Column) -> Column:
-    return (
-        F.when(text.startswith("sim") | text.isin("1", "1.0", "true", "verdadeiro"), F.lit(1))
-        .when(text.startswith("nao") | text.isin("0", "0.0", "false", "falso"), F.lit(0))
-    )
+    return _named(text, fixed.BINARY_RULES)
 
 
 def to_binary(value: Column) -> Column:
@@ -83,8 +89,7 @@ def to_binary(value: Column) -> Column:
 
 def _literal_map(entries: Mapping[str, str]) -> Column:
     """A constant map, folded once by the optimizer."""
-    text = "\x1e".join(f"{key}\x1f{value}" for key, value in entries.items())
-    return F.str_to_map(F.lit(text), F.lit("\x1e"), F.lit("\x1f"))
+    return F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])
 
 
 def region_of_state(state: Column, states: Mapping[str, str] = fixed.STATE_TO_REGION) -> Column:

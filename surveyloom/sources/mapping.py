@@ -2,7 +2,7 @@
 
 The file is JSON with one object per field group (``campos``, ``binarios``, ``tecnologias``,
 ``ia``), each ``{field: {"codigos": {"2023": "2.h", ...}}}`` where a null code means "not asked",
-plus ``regiao_por_uf``, ``edicoes`` and ``campos_criticos``.
+plus optionally ``regiao_por_uf`` (the known states otherwise), ``edicoes`` and ``campos_criticos``.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surveyloom.functions.fixed_values import STATE_TO_REGION
+
 GROUPS = ("campos", "binarios", "tecnologias", "ia")
 DEFAULT_FILE = Path(__file__).with_name("mapping.json")
 
@@ -60,6 +62,6 @@ def read_mapping(spark: SparkSession, path: str | None = None) -> SurveyMapping:
     return SurveyMapping(
         fields=mapping_fields(text),
         editions=tuple(int(e["ano"]) for e in config.get("edicoes", ())),
-        states=config.get("regiao_por_uf", {}),
+        states=config.get("regiao_por_uf") or STATE_TO_REGION,
         critical=tuple(config.get("campos_criticos", ())),
     )

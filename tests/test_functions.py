@@ -2,8 +2,10 @@
 
 import random
 import re
+import time
 import unicodedata
 
+import pytest
 from pyspark.sql import functions as F
 
 from surveyloom.functions import bands, categories, text
@@ -193,3 +195,21 @@ def test_split_undoes_join(apply):
     names = ["SQL", "SAS/Stata", "Google Cloud (GCP, x)", "f((a,b),c)", "[x,y] z"]
     lists = [rng.choices(names, k=rng.randint(1, 6)) for _ in range(100)]
     assert apply(split_top_level, [", ".join(items) for items in lists]) == lists
+
+
+@pytest.mark.parametrize("letter", ["ľ", "ł", "…", "½", "é"])
+def test_folding_takes_linear_time(spark, letter):
+    def seconds(n):
+        df = spark.createDataFrame([(letter * n,)], "t string")
+        plain = df.select(F.length(text.normalise(F.col("t"))))
+        plain.collect()
+        start = time.perf_counter()
+        plain.collect()
+        return time.perf_counter() - start
+
+    assert seconds(160_000) < 8 * max(seconds(20_000), 0.25)
+
+
+def test_type_suffixes_are_no_numbers(apply):
+    values = ["34d", "34f", "34.0", " 7 ", "n/d", "NaN", "1e2", "-3", "", None]
+    assert apply(text.to_integer, values) == [None, None, 34, 7, None, None, 100, -3, None, None]
