@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.functions.multi import split_pieces, split_top_level
 from surveyloom.functions.text import strip_spaces
+from surveyloom.operators.shares import rate
 
 
 def answer_texts(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
@@ -60,9 +61,7 @@ def _adoption_columns(counted: DataFrame, totals: DataFrame) -> DataFrame:
             "itens_por_respondente",
             F.round(F.col("total_mencoes") / F.col("base_resposta"), 2),
         )
-        .withColumn(
-            "taxa_adocao", F.round(100 * F.col("respondentes") / F.col("base_resposta"), 2)
-        )
+        .withColumn("taxa_adocao", rate(F.col("respondentes"), F.col("base_resposta")))
         .withColumn("posicao", _rank_within_category())
         .select(
             "ano", "categoria", "tecnologia", "respondentes", "base_resposta",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,14 +13,19 @@ from surveyloom.operators.grouped import (
     COUNT, LOWER, UPPER, VALUE, statistics_of_histogram,
 )
 
+log = logging.getLogger(__name__)
+
 CUT_KEYS = ("ano", "recorte", "dimensao_1", "dimensao_2")
 
 
 def usable_cuts(
     df: DataFrame, cuts: Mapping[str, Sequence[str]] = PAY_CUTS
 ) -> dict[str, tuple[str, ...]]:
-    """The cuts whose dimensions all exist in the table."""
+    """The cuts whose dimensions all exist in the table; the others are named in the log."""
     present = {name: tuple(dims) for name, dims in cuts.items() if set(dims) <= set(df.columns)}
+    absent = sorted(set(cuts) - set(present))
+    if absent:
+        log.warning("cuts left out, since the table lacks a dimension: %s", ", ".join(absent))
     if any(len(dims) not in (1, 2) for dims in present.values()):
         raise ValueError("a cut has one or two dimensions")
     if len({frozenset(dims) for dims in present.values()}) < len(present):

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,13 +38,21 @@ def sample_flag(df: DataFrame, minimum: int = MIN_RESPONDENTS) -> DataFrame:
     return df.withColumn("amostra_suficiente", F.col("respondentes") >= F.lit(minimum))
 
 
-def sufficient_or_all(df: DataFrame, within: Sequence[str] = ()) -> DataFrame:
-    """Keep rows with a sufficient sample; where a cut has none at all, keep all of its rows."""
-    scope = Window.partitionBy(*within)
+def sufficient_or_all(df: DataFrame, within: Sequence[str] = ("recorte",)) -> DataFrame:
+    """Keep rows with a sufficient sample; where a cut has none at all, keep all of its rows.
+
+    Whether a cut has one comes from a small aggregate that is joined back: no task has to hold the
+    rows of a cut together.
+    """
+    names = {c: f"_{c}_do_corte" for c in within}
+    any_of = df.groupBy(*[F.col(c).alias(n) for c, n in names.items()]).agg(
+        F.bool_or("amostra_suficiente").alias("_algum_suficiente")
+    )
+    same = reduce(and_, [df[c].eqNullSafe(any_of[n]) for c, n in names.items()])
     return (
-        df.withColumn("algum_suficiente", F.bool_or("amostra_suficiente").over(scope))
-        .where(F.col("amostra_suficiente") | ~F.col("algum_suficiente"))
-        .drop("algum_suficiente")
+        df.join(any_of, same)
+        .where(F.col("amostra_suficiente") | ~F.col("_algum_suficiente"))
+        .drop("_algum_suficiente", *names.values())
     )
 
 

@@ -37,7 +37,7 @@ def mean_by(df: DataFrame, index: str, columns: str, labels: Sequence, value: st
 
 
 def _pay_rows(pay: DataFrame, cut: str) -> DataFrame:
-    return sufficient_or_all(pay.where(F.col("recorte") == cut))
+    return sufficient_or_all(pay.where(F.col("recorte") == cut), ["recorte"])
 
 
 def _latest_pay(pay: DataFrame, cut: str, keep: Column) -> DataFrame:

@@ -1,7 +1,7 @@
 """Silver to gold: one aggregate table per question. Column names follow the published schema.
 
 Every table is one aggregation of the respondents (or answers); whatever comes after works on the
-aggregated rows. ``digits`` rounds pay and age, None keeps them as computed.
+aggregated rows. ``digits`` rounds pay (and age to one place), None keeps both as computed.
 """
 
 from __future__ import annotations
@@ -17,6 +17,9 @@ from surveyloom.operators.cuts import multi_cut
 from surveyloom.operators.grouped import banded_statistics, counts_and_statistics
 from surveyloom.operators.shares import rate, rounded, sample_flag, share_of
 
+# Decimal places of a published mean age.
+AGE_DIGITS = 1
+
 # Order of the rows of each table when it is written.
 GOLD_ORDER = {
     "perfil_mercado": ("ano", "-respondentes"),
@@ -29,16 +32,11 @@ GOLD_ORDER = {
 }
 
 
-def ordered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Sort by several keys; a leading minus means descending."""
-    return df.orderBy(*[F.col(k[1:]).desc() if k.startswith("-") else F.col(k).asc() for k in keys])
-
-
 def profile(respondents: DataFrame, digits: int | None = None) -> DataFrame:
     """``perfil_mercado``: head count, mean age and share of the year by role and seniority."""
     counted = respondents.groupBy("ano", "cargo", "senioridade").agg(
         F.count(F.lit(1)).alias("respondentes"),
-        rounded(F.avg("idade"), digits).alias("idade_media"),
+        rounded(F.avg("idade"), None if digits is None else AGE_DIGITS).alias("idade_media"),
     )
     return share_of(counted, ["ano"])
 
@@ -82,7 +80,7 @@ def ai_adoption(respondents: DataFrame) -> DataFrame:
 def ai_impact(
     respondents: DataFrame, minimum: int = fixed.MIN_RESPONDENTS, digits: int | None = None
 ) -> DataFrame:
-    """``impacto_ia``: pay of AI users and non-users by seniority. An association, not a cause."""
+    """``impacto_ia``: pay of AI users and non-users by seniority; it shows what goes together."""
     figures = banded_statistics(
         respondents, ["ano", "senioridade", "usa_ia"], digits, counted=F.col("usa_ia").isNotNull()
     ).select(

@@ -11,11 +11,13 @@ from surveyloom.functions.fixed_values import MIN_RESPONDENTS
 from surveyloom.operators import headers as hd
 from surveyloom.plans import gold, silver
 from surveyloom.session import configure
-from surveyloom.sources import bronze, sinks
+from surveyloom.sources import bronze, sinks, workspace
 from surveyloom.sources.mapping import SurveyMapping, read_mapping
 
 log = logging.getLogger(__name__)
 
+ANSWERS = "id_respondente string, categoria string, tecnologia string, ano int"
+
 
 def resolved_columns(plan: DataFrame) -> dict[int, dict[str, str]]:
     """``{edition: {canonical field: header}}``; the plan has one row per field and edition."""
@@ -40,16 +42,14 @@ def bronze_to_silver(
 ) -> dict[str, int]:
     """Read one raw folder per edition and write both silver tables; returns rows written.
 
-    ``encoding="auto"`` falls back to Latin-1 for editions that are not UTF-8. With ``strict`` a
+    ``encoding="auto"`` falls back to Latin-1 for files that are not UTF-8. With ``strict`` a
     missing critical field stops the job before anything is written.
     """
     configure(spark)
     mapping = mapping or read_mapping(spark)
     raw = {
-        year: bronze.read_survey_csv(
-            spark, path,
-            bronze.detect_encoding(spark, path) if encoding == "auto" else encoding,
-        )
+        year: bronze.read_survey_csv_any(spark, path) if encoding == "auto"
+        else bronze.read_survey_csv(spark, path, encoding)
         for year, path in paths.items()
     }
     found, plan = plan_editions(spark, raw, mapping)
@@ -58,8 +58,10 @@ def bronze_to_silver(
     if strict:
         hd.require_critical(plan, mapping.critical)
     columns = resolved_columns(plan)
+    landed = {year: workspace.new_table_path(spark, f"edicao-{year}") for year in raw}
     editions = {
-        year: bronze.land_edition(df, columns.get(year, {}), year) for year, df in raw.items()
+        year: bronze.land_edition(df, columns.get(year, {}), year, landed[year])
+        for year, df in raw.items()
     }
     written = {
         "respondentes": sinks.write_table(
@@ -68,10 +70,11 @@ def bronze_to_silver(
         )
     }
     items = [t for t in map(silver.technologies, editions.values()) if t is not None]
-    if items:
-        written["tecnologias"] = sinks.write_table(
-            silver.align_union(items), f"{silver_base}/tecnologias"
-        )
+    # Where no edition asked such a question the table is there, and empty.
+    technologies = silver.align_union(items) if items else spark.createDataFrame([], ANSWERS)
+    written["tecnologias"] = sinks.write_table(technologies, f"{silver_base}/tecnologias")
+    for path in landed.values():
+        workspace.delete(spark, path)
     return written
 
 
@@ -80,9 +83,10 @@ def silver_to_gold(
     digits: int | None = None,
 ) -> dict[str, int]:
     """Compute and write the seven gold tables; returns rows written per table."""
+    configure(spark)
     respondents = sinks.read_table(spark, f"{silver_base}/respondentes")
-    items = sinks.read_table(spark, f"{silver_base}/tecnologias")
+    items = spark.read.schema(ANSWERS).parquet(f"{silver_base}/tecnologias")
     return {
-        name: sinks.write_table(gold.ordered(df, gold.GOLD_ORDER[name]), f"{gold_base}/{name}")
+        name: sinks.write_table(sinks.sorted_by(df, gold.GOLD_ORDER[name]), f"{gold_base}/{name}")
         for name, df in gold.all_tables(respondents, items, minimum, digits).items()
     }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,18 +14,40 @@ from surveyloom.sources.workspace import new_table_path
 FALLBACK_ENCODING = "ISO-8859-1"
 
 
-def detect_encoding(spark: SparkSession, path: str) -> str:
-    """UTF-8 when every line of the files is valid UTF-8, else Latin-1.
+def detect_encodings(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files by encoding: UTF-8 where every line of a file is valid UTF-8, else Latin-1.
 
-    Reads the text once more; pass the encoding to ``read_survey_csv`` where it is known.
+    Reads the text once more; pass the encoding to ``read_survey_csv`` where it is known. One row
+    for each file comes back, as from any listing of a folder.
     """
-    broken = spark.read.text(path).where(~F.is_valid_utf8("value"))
-    return "UTF-8" if broken.isEmpty() else FALLBACK_ENCODING
+    valid = F.bool_and(F.is_valid_utf8("value"))
+    files = spark.read.text(path).groupBy("_metadata.file_path").agg(valid.alias("utf8"))
+    out: dict[str, list[str]] = {}
+    for row in files.orderBy("file_path").collect():
+        out.setdefault("UTF-8" if row["utf8"] else FALLBACK_ENCODING, []).append(row["file_path"])
+    return out
 
 
-def read_survey_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+def read_survey_csv_any(spark: SparkSession, path: str) -> DataFrame:
+    """``read_survey_csv`` of a folder whose files may differ in encoding.
+
+    Columns are matched by their headers; files of different encodings must have the same ones.
+    """
+    parts = [
+        read_survey_csv(spark, files, encoding)
+        for encoding, files in detect_encodings(spark, path).items()
+    ]
+    return reduce(DataFrame.unionByName, parts) if parts else read_survey_csv(spark, path)
+
+
+def read_survey_csv(
+    spark: SparkSession, path: str | list[str], encoding: str = "UTF-8"
+) -> DataFrame:
     """All columns as text; quoted fields may hold commas, quotes and line breaks.
 
+    The header of every file is checked: files with other columns, or the same ones in another
+    order, make the read fail instead of mixing answers up.
+
     A file with line breaks inside fields cannot be split, so parallelism comes from the number
     of files: land an edition as many files rather than one.
     """
@@ -35,6 +58,7 @@ def read_survey_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") ->
         .option("encoding", encoding)
         .option("mode", "PERMISSIVE")
         .option("inferSchema", False)
+        .option("enforceSchema", False)
         .csv(path)
     )
 

@@ -32,12 +32,32 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def export_csv(df: DataFrame, path: str, separator: str = ",") -> None:
-    """CSV with a header: one file for a small table such as a gold one, several for a large one."""
-    writer = df.hint("rebalance").write.mode("overwrite")
+def sorted_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Sort by several keys; a leading minus means descending."""
+    return df.orderBy(*[F.col(k[1:]).desc() if k.startswith("-") else F.col(k).asc() for k in keys])
+
+
+def export_csv(
+    df: DataFrame, path: str, separator: str = ",", order: Sequence[str] = ()
+) -> None:
+    """CSV with a header, in the order of the frame or sorted by ``order``.
+
+    A sort ends in a shuffle whose partitions adaptive execution merges, so a small table such as a
+    gold one comes out as one file and a large one as several, in order.
+    """
+    writer = (sorted_by(df, order) if order else df).write.mode("overwrite")
     writer.option("header", True).option("sep", separator).csv(path)
 
 
+def export_all(
+    tables: Mapping[str, DataFrame], base: str, order: Mapping[str, Sequence[str]],
+    separator: str = ",",
+) -> None:
+    """Every table as CSV in a folder of its name, sorted as ``order`` says."""
+    for name, df in tables.items():
+        export_csv(df, f"{base}/{name}", separator, order.get(name, ()))
+
+
 def publish(
     spark: SparkSession, database: str, name: str, schema_of: DataFrame, location: str,
     partition_by: Sequence[str] = ("ano",),
@@ -55,6 +75,15 @@ def publish(
         register_partitions(spark, f"`{database}`.`{name}`")
 
 
+def publish_all(
+    spark: SparkSession, database: str, tables: Mapping[str, DataFrame], base: str,
+    prefix: str = "", partition_by: Sequence[str] = ("ano",),
+) -> None:
+    """Register every table, written below ``base`` in a folder of its name."""
+    for name, df in tables.items():
+        publish(spark, database, f"{prefix}{name}", df, f"{base}/{name}", partition_by)
+
+
 def register_partitions(spark: SparkSession, table: str) -> None:
     """Let the catalog find partitions that were added to the folder."""
     spark.sql(f"MSCK REPAIR TABLE {table}")

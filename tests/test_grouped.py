@@ -156,7 +156,7 @@ def test_sample_filter_falls_back_to_all(spark):
     df = spark.createDataFrame([("a", True, 1), ("a", False, 2), ("b", False, 3)],
                                "c string, amostra_suficiente boolean, x int")
     assert sorted(r["x"] for r in shares.sufficient_or_all(df, ["c"]).collect()) == [1, 3]
-    only = shares.sufficient_or_all(df.where("c = 'b'"))
+    only = shares.sufficient_or_all(df.where("c = 'b'"), ["c"])
     assert [r["x"] for r in only.collect()] == [3]
 
 

@@ -2,10 +2,11 @@
 
 import pytest
 from pyspark.sql import functions as F
-from survey_files import FLAT_2025, TUPLE, write_all
+from survey_files import FLAT_2025, ROWS_2023, TUPLE, write_all, write_edition
 
 from surveyloom.operators import headers as hd
 from surveyloom.plans import pipeline, reports
+from surveyloom.plans.gold import GOLD_ORDER
 from surveyloom.sources import bronze, sinks
 from surveyloom.sources.mapping import read_mapping
 
@@ -78,8 +79,8 @@ def test_missing_critical_field_stops_the_job(spark):
 
 
 def test_sources(spark, stored, folders):
-    assert bronze.detect_encoding(spark, stored["paths"][2024]) == "ISO-8859-1"
-    assert bronze.detect_encoding(spark, stored["paths"][2023]) == "UTF-8"
+    assert list(bronze.detect_encodings(spark, stored["paths"][2024])) == ["ISO-8859-1"]
+    assert list(bronze.detect_encodings(spark, stored["paths"][2023])) == ["UTF-8"]
     raw = bronze.read_survey_csv(spark, stored["paths"][2023])
     assert raw.columns == list(TUPLE.values()) and raw.count() == 3
     found = bronze.locate_edition(spark, str(folders / "bronze" / "edicao_2024"), 2024)
@@ -146,7 +147,7 @@ def test_latest_edition_prunes_partitions(spark, stored):
 def test_exports_views_and_catalog(spark, stored, tmp_path):
     profile = sinks.read_table(spark, f"{stored['gold']}/perfil_mercado")
     target = tmp_path / "csv"
-    sinks.export_csv(profile, str(target))
+    sinks.export_csv(profile, str(target), order=GOLD_ORDER["perfil_mercado"])
     assert len(list(target.glob("*.csv"))) == 1
     assert spark.read.option("header", True).csv(str(target)).count() == profile.count()
 
@@ -170,3 +171,43 @@ def test_exports_views_and_catalog(spark, stored, tmp_path):
                   f"{stored['gold']}/perfil_mercado")
     assert spark.table("pesquisa.gold_perfil_mercado").count() == profile.count()
     assert len(spark.sql("SHOW PARTITIONS pesquisa.gold_perfil_mercado").collect()) == 3
+
+
+def test_export_keeps_the_order_of_a_sorted_frame(spark, tmp_path):
+    many = spark.range(20_000).select((F.col("id") * 7919 % 20_011).alias("n")).repartition(8)
+    sinks.export_csv(many, str(tmp_path / "n"), order=["-n"])
+    files = sorted((tmp_path / "n").glob("*.csv"))
+    found = [int(x) for f in files for x in f.read_text().split()[1:]]
+    assert found == sorted(found, reverse=True) and len(found) == 20_000
+
+
+def test_all_tables_are_exported_and_published_in_one_call(spark, stored, tmp_path):
+    tables = {name: sinks.read_table(spark, f"{stored['gold']}/{name}") for name in GOLD_ORDER}
+    sinks.export_all(tables, str(tmp_path), GOLD_ORDER)
+    sinks.publish_all(spark, "tudo", tables, stored["gold"], "gold_")
+    for name, table in tables.items():
+        back = spark.read.option("header", True).csv(str(tmp_path / name))
+        assert back.count() == table.count() == spark.table(f"tudo.gold_{name}").count()
+
+
+def test_files_with_other_columns_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("y,x\n3,4\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        bronze.read_survey_csv(spark, str(tmp_path)).collect()
+
+
+def test_each_file_has_its_own_encoding(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("x\nSão\n".encode())
+    (tmp_path / "b.csv").write_bytes("x\nJosé\n".encode("latin-1"))
+    found = bronze.read_survey_csv_any(spark, str(tmp_path)).collect()
+    assert sorted(r["x"] for r in found) == ["José", "São"]
+
+
+def test_nothing_asked_leaves_an_empty_table(spark, folders, tmp_path):
+    headers = {k: v for k, v in TUPLE.items() if not k.startswith(("4.d", "4.h"))}
+    write_edition(tmp_path / "e", "p_2023", headers, ROWS_2023)
+    silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    written = pipeline.bronze_to_silver(spark, {2023: str(tmp_path / "e")}, silver)
+    assert written == {"respondentes": 3, "tecnologias": 0}
+    assert pipeline.silver_to_gold(spark, silver, gold)["tecnologias"] == 0
