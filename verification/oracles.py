@@ -7,9 +7,18 @@ code cannot hide in the oracle.
 
 from __future__ import annotations
 
-from verification.star_survey import EDITIONS, STATES
-
-from surveyloom.functions.fixed_values import PAY_CUTS, STATE_TO_REGION
+# Facts of the given tables and of the questionnaire, stated here anew: an edition, cut or state that
+# the engine loses or adds shows as a difference.
+EDITIONS = (1995, 1996, 1997, 1998, 1999, 2000, 2001)
+REGIONS_BY_NATION = (
+    ["Norte"] * 7 + ["Nordeste"] * 9 + ["Centro-oeste"] * 4 + ["Sudeste"] * 4 + ["Sul"]
+)
+CUTS = (
+    ("senioridade", None), ("cargo", None), ("cargo", "senioridade"), ("regiao", None),
+    ("regiao", "senioridade"), ("forma_trabalho", None), ("forma_trabalho", "senioridade"),
+    ("nivel_ensino", None), ("tempo_experiencia_dados", None), ("genero", None),
+    ("setor_empresa", None),
+)
 
 
 def r(expression: str, digits: int = 2) -> str:
@@ -64,7 +73,7 @@ AI_TYPE = pick(
 )
 REGION_OF_NATION = (
     "CASE WHEN n_nationkey % 6 = 0 THEN 'Nao informado' ELSE CASE n_nationkey "
-    + " ".join(f"WHEN {i} THEN '{STATE_TO_REGION[s]}'" for i, s in enumerate(STATES))
+    + " ".join(f"WHEN {i} THEN '{region}'" for i, region in enumerate(REGIONS_BY_NATION))
     + " END END"
 )
 REGION = f"""CASE WHEN o_orderkey % 4 = 0 OR o_orderkey % 8 = 1 THEN {REGION_OF_NATION}
@@ -106,10 +115,10 @@ def on(a: str, b: str, keys: str) -> str:
 
 # Long form of all cuts: one copy of each respondent per cut.
 CUT_ROWS = "cut_rows AS (" + " UNION ALL ".join(
-    f"SELECT ano, '{cut}' AS recorte, {dims[0]} AS dimensao_1, "
-    f"{dims[1] if len(dims) > 1 else 'CAST(NULL AS VARCHAR)'} AS dimensao_2, lo, hi, mid "
+    f"SELECT ano, '{first}{'_' + second if second else ''}' AS recorte, {first} AS dimensao_1, "
+    f"{second or 'CAST(NULL AS VARCHAR)'} AS dimensao_2, lo, hi, mid "
     "FROM resp WHERE mid IS NOT NULL"
-    for cut, dims in PAY_CUTS.items()
+    for first, second in CUTS
 ) + ")"
 CUT_KEYS = "ano, recorte, dimensao_1, dimensao_2"
 
@@ -130,7 +139,7 @@ PAY = pay_table()
 
 PROFILE = f"""profile AS (SELECT *, {r("100 * respondentes / sum(respondentes) OVER (PARTITION BY ano)")}
     AS percentual FROM (SELECT ano, cargo, senioridade, count(*) AS respondentes,
-    {r("avg(idade)")} AS idade_media FROM resp GROUP BY ALL))"""
+    {r("avg(idade)", 1)} AS idade_media FROM resp GROUP BY ALL))"""
 
 
 def counted_pay(name: str, dims: str, within: str) -> str:
@@ -186,9 +195,9 @@ ITEMS = "items AS (" + " UNION ALL ".join(
     + (f" WHERE {condition}" if condition else "")
     for category, condition, item in _ITEM_RULES
 ) + ")"
-LINE_ITEMS = """items AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS ano,
+LINE_ITEMS = """items AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS ano,
   l_orderkey AS id_respondente, p_type AS categoria, p_brand AS tecnologia
-  FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"""
 TECH = f"""totals AS (SELECT {YEAR} AS ano, count(*) AS total_respondentes FROM orders GROUP BY ALL),
   base AS (SELECT ano, categoria, count(DISTINCT id_respondente) AS base_resposta,
     count(*) AS total_mencoes FROM items GROUP BY ALL),
@@ -285,7 +294,7 @@ ORACLES: dict[str, str] = {
         WHEN 3 THEN '' ELSE p_size || '.' || lower(left(p_type, 1))
           || CASE WHEN p_partkey % 4 = 1 THEN '.' || replace(p_brand, 'Brand#', '') ELSE '' END
       END AS codigo FROM part""",
-    "text_to_integer": """SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN NULL
+    "text_to_integer": """SELECT o_orderkey, CASE WHEN o_orderkey % 9 IN (0, 2, 3) THEN NULL
       ELSE CAST(20 + o_custkey % 40 AS INTEGER) END AS idade FROM orders""",
     "display_label": """SELECT doc_id, left(replace(text, '_', ' '), 45) AS rotulo
       FROM documents""",

@@ -20,7 +20,7 @@ from surveyloom.plans import gold, reports
 from surveyloom.plans.silver import align_union
 from surveyloom.sources.bronze import with_respondent_key
 from verification import star_survey as star
-from verification.star_survey import EDITIONS, table
+from verification.star_survey import editions_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -89,6 +89,8 @@ def text_to_integer(spark, sf):
     raw = (
         F.when(order % 9 == 0, F.lit("n/d"))
         .when(order % 9 == 1, F.concat(age, F.lit(".0")))
+        .when(order % 9 == 2, F.concat(age, F.lit("d")))
+        .when(order % 9 == 3, F.concat(age, F.lit("f")))
         .otherwise(F.concat(F.lit(" "), age, F.lit(" ")))
     )
     return _orders(spark, sf, "idade", raw, text.to_integer)
@@ -435,11 +437,22 @@ def topk_per_category(spark, sf):
 
 
 def _register(name: str, source: Query, report: Callable[[DataFrame], DataFrame]) -> None:
-    REGISTRY[name] = lambda spark, sf: report(source(spark, sf))
+    REGISTRY[name] = lambda spark, sf: report(stored_gold(source, spark, sf))
+
+
+def stored_gold(source: Query, spark: SparkSession, sf: str) -> DataFrame:
+    """A gold table as the pipeline leaves it: written once, partitioned by edition.
+
+    Reports then read some rows of a small table; "latest edition" prunes partitions, and nothing
+    below a report goes back to respondents or answers. Silver sources are stored already.
+    """
+    if source.__name__ in REGISTRY:
+        return star.stored(source.__name__, source, spark, sf)
+    return source(spark, sf)
 
 
 def _with_editions(report):
-    return lambda df: report(df, EDITIONS)
+    return lambda df: report(df, editions_of(df))
 
 
 for _name, _source, _report in (

@@ -15,8 +15,6 @@ from surveyloom.operators.answers import answer_lists, melt_answers
 from surveyloom.plans.silver import respondents
 from surveyloom.sources.workspace import written
 
-EDITIONS = (1995, 1996, 1997, 1998, 1999, 2000, 2001)
-
 # State of each nation key.
 STATES = (
     "AC AP AM PA RO RR TO AL BA CE MA PB PE PI RN SE DF GO MT MS ES MG RJ SP PR".split()
@@ -34,14 +32,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Share out a scan with fewer splits than cores before costly work on each row.
-
-    A single small file is one split, hence one task. A large table has more splits than cores and
-    passes through without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def editions_of(df: DataFrame) -> tuple[int, ...]:
+    """Editions of a stored table: the values of its partition column, a handful."""
+    return tuple(sorted(r["ano"] for r in df.select("ano").distinct().collect()))
 
 
 def quoted(text: str | None) -> str:
@@ -64,7 +57,7 @@ def orders_with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    orders = spread_scan(table(spark, sf_dir, "orders"))
+    orders = table(spark, sf_dir, "orders")
     return (
         orders.join(customer, orders.o_custkey == customer.c_custkey)
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -199,7 +192,7 @@ _silver: dict[tuple[str, str, str], DataFrame] = {}
 def stored(
     name: str, build: Callable[[SparkSession, str], DataFrame], spark: SparkSession, sf_dir: str
 ) -> DataFrame:
-    """A silver table, written once per application and data folder, partitioned by edition.
+    """A silver or gold table, written once per application and data folder, by edition.
 
     Gold tables and reports read stored, columnar silver, as in the pipeline: each touches the few
     columns it needs, and a filter on a derived label reaches the scan as a pushed-down comparison
@@ -217,7 +210,7 @@ def survey_respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The multi-answer texts alone: they need no join."""
-    return spread_scan(table(spark, sf_dir, "orders")).select(
+    return table(spark, sf_dir, "orders").select(
         F.expr("year(o_orderdate)").alias("ano"),
         F.expr("CAST(o_orderkey AS STRING)").alias("id_respondente"),
         *_answer_columns(),
@@ -254,11 +247,16 @@ def edition_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A long table that grows with the largest table: brands by part type, per order and year."""
+    """A long table that grows with the largest table: brands by part type, per order and edition.
+
+    The edition is that of the order, as it is of the members.
+    """
     part = table(spark, sf_dir, "part")
     items = table(spark, sf_dir, "lineitem")
-    return items.join(part, items.l_partkey == part.p_partkey).select(
-        F.year("l_shipdate").alias("ano"),
+    orders = table(spark, sf_dir, "orders")
+    dated = items.join(orders, items.l_orderkey == orders.o_orderkey)
+    return dated.join(part, items.l_partkey == part.p_partkey).select(
+        F.year("o_orderdate").alias("ano"),
         F.col("l_orderkey").alias("id_respondente"),
         F.col("p_type").alias("categoria"),
         F.col("p_brand").alias("tecnologia"),
