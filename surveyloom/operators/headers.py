@@ -90,8 +90,13 @@ def column_plan(headers: DataFrame, mapping: DataFrame) -> DataFrame:
     )
 
 
-def plan_report(headers: DataFrame, plan: DataFrame) -> DataFrame:
-    """Columns read and fields resolved, missing and not asked, per edition."""
+def plan_report(
+    headers: DataFrame, plan: DataFrame, rows: Mapping[int, int] | None = None
+) -> DataFrame:
+    """Columns read and fields resolved, missing and not asked, per edition.
+
+    ``rows`` adds the number of rows read of each edition.
+    """
     read = headers.groupBy("ano").agg(F.count(F.lit(1)).alias("colunas"))
     found = plan.groupBy("ano").agg(
         *[
@@ -101,7 +106,11 @@ def plan_report(headers: DataFrame, plan: DataFrame) -> DataFrame:
             )
         ]
     )
-    return read.join(found, "ano", "left")
+    report = read.join(found, "ano", "left")
+    if rows is None:
+        return report
+    cases = F.coalesce(*[F.when(F.col("ano") == year, F.lit(n)) for year, n in rows.items()])
+    return report.withColumn("linhas", cases.cast("long"))
 
 
 def critical_missing(

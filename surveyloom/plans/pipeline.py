@@ -53,8 +53,6 @@ def bronze_to_silver(
         for year, path in paths.items()
     }
     found, plan = plan_editions(spark, raw, mapping)
-    for row in hd.plan_report(found, plan).orderBy("ano").collect():
-        log.info("edition %s", row.asDict())
     if strict:
         hd.require_critical(plan, mapping.critical)
     columns = resolved_columns(plan)
@@ -63,6 +61,10 @@ def bronze_to_silver(
         year: bronze.land_edition(df, columns.get(year, {}), year, landed[year])
         for year, df in raw.items()
     }
+    # Counts come from the footers of the landed files.
+    rows = {year: edition.count() for year, edition in editions.items()}
+    for row in hd.plan_report(found, plan, rows).orderBy("ano").collect():
+        log.info("edition %s", row.asDict())
     written = {
         "respondentes": sinks.write_table(
             silver.align_union(silver.respondents(e, mapping.states) for e in editions.values()),

@@ -324,6 +324,16 @@ ORACLES: dict[str, str] = {
       nivel_ensino, setor_empresa, cargo, senioridade, tempo_experiencia_dados, forma_trabalho,
       atua_como_gestor, usa_ia, tipo_uso_ia, lo AS faixa_inferior, hi AS faixa_superior,
       mid AS salario_mensal_estimado FROM resp"""),
+    "pipeline_respondents": with_([RESP], """SELECT ano, idade, genero, regiao,
+      nivel_ensino, setor_empresa, cargo, senioridade, tempo_experiencia_dados, forma_trabalho,
+      atua_como_gestor, usa_ia, tipo_uso_ia, lo AS faixa_inferior, hi AS faixa_superior,
+      mid AS salario_mensal_estimado FROM resp"""),
+    "pipeline_answers": with_([ITEMS], """SELECT ano, categoria, tecnologia, count(*) AS mencoes
+      FROM items GROUP BY ALL"""),
+    "pipeline_gold_pay": with_([RESP, PAY], "SELECT * FROM pay"),
+    "pipeline_gold_adoption": with_([ITEMS, TECH], "SELECT * FROM tech"),
+    "csv_export": with_([RESP, DIVERSITY], "SELECT * FROM diversity"),
+    "catalog_publish": with_([RESP, PROFILE], "SELECT * FROM profile"),
     "silver_join": with_([RESP, ITEMS], """SELECT r.ano, r.senioridade, i.categoria,
       count(*) AS mencoes, count(DISTINCT r.id_respondente) AS pessoas
       FROM resp r JOIN items i ON r.id_respondente = i.id_respondente AND r.ano = i.ano
@@ -362,6 +372,10 @@ ORACLES: dict[str, str] = {
       SELECT g.ano, g.cargo, g.respondentes, {r("m.med")} AS salario_mediano_interpolado
       FROM (SELECT ano, cargo, count(lo) AS respondentes FROM resp GROUP BY ALL) g
       LEFT JOIN m ON {on("g", "m", "ano, cargo")}"""),
+    "median_of_bands": with_([RESP, median_cte("m", "resp", "ano, cargo")], f"""
+      SELECT g.ano, g.cargo, {r("m.med")} AS salario_mediano_interpolado
+      FROM (SELECT DISTINCT ano, cargo FROM resp) g
+      LEFT JOIN m ON {on("g", "m", "ano, cargo")}"""),
     "share_of_group": with_([RESP], f"""SELECT *, {r(
       "100 * respondentes / sum(respondentes) OVER (PARTITION BY ano)")} AS percentual
       FROM (SELECT ano, forma_trabalho, count(*) AS respondentes FROM resp GROUP BY ALL)"""),

@@ -19,6 +19,7 @@ from surveyloom.plans import chart_frames as charts
 from surveyloom.plans import gold, reports
 from surveyloom.plans.silver import align_union
 from surveyloom.sources.bronze import with_respondent_key
+from verification import raw_editions
 from verification import star_survey as star
 from verification.star_survey import editions_of, table
 
@@ -506,3 +507,16 @@ for _name, _source, _report in (
     ("work_model_pivot", gold_work_model, charts.work_model_mix),
 ):
     _register(_name, _source, _report)
+
+
+for _query in raw_editions.QUERIES:
+    query(_query)
+
+
+@query
+def median_of_bands(spark, sf):
+    histogram = grouped.band_histogram(star.survey_respondents(spark, sf), ["ano", "cargo"])
+    bands_of = F.collect_list(F.struct("faixa_inferior", "faixa_superior", "na_faixa"))
+    return histogram.groupBy("ano", "cargo").agg(
+        F.round(grouped.median_of_bands(bands_of), 2).alias("salario_mediano_interpolado")
+    )
