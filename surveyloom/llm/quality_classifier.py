@@ -30,7 +30,7 @@ from surveyloom.llm.quality_rules import repeated_words, words_of
 
 TRAINING_ROWS = 20_000
 TREES, DEPTH, BINS = 80, 4, 64
-LEARNING_RATE, PENALTY, LEAST_WEIGHT = 0.15, 1.0, 4.0
+LEARNING_RATE, PENALTY, LEAST_WEIGHT = 0.15, 1.0, 0.5
 CUTOFF = 0.7
 
 FEATURES = (
