@@ -82,15 +82,10 @@ def adoption(items: DataFrame, respondents: DataFrame) -> DataFrame:
     shuffles, so a person or item that fills a third of the table does not fill one task.
     """
     person = ["ano", "categoria", "id_respondente"]
-    question = Window.partitionBy("ano", "categoria")
     once = items.groupBy(*person, "tecnologia").agg(F.count(F.lit(1)).alias("mencoes"))
     per_item = (
         once.groupBy("ano", "categoria", "tecnologia")
-        .agg(F.count(F.lit(1)).alias("respondentes"), F.sum("mencoes").alias("mencoes"))
-        .select(
-            "ano", "categoria", "tecnologia", "respondentes",
-            F.sum("mencoes").over(question).alias("total_mencoes"),
-        )
+        .agg(F.count_if(F.col("mencoes") > 0).alias("respondentes"))
     )
     # Both branches read the mentions and the join is null-safe, which adds no filter to one side:
     # so both need exactly the same ``once``, and Spark computes and shuffles it a single time.
@@ -98,7 +93,10 @@ def adoption(items: DataFrame, respondents: DataFrame) -> DataFrame:
         once.groupBy(*person)
         .agg(F.sum("mencoes").alias("mencoes"))
         .groupBy("ano", "categoria")
-        .agg(F.count_if(F.col("mencoes") > 0).alias("base_resposta"))
+        .agg(
+            F.count_if(F.col("mencoes") > 0).alias("base_resposta"),
+            F.sum("mencoes").alias("total_mencoes"),
+        )
         .withColumnsRenamed({"ano": "ano_base", "categoria": "categoria_base"})
     )
     same_question = F.col("ano").eqNullSafe(F.col("ano_base")) & F.col("categoria").eqNullSafe(
@@ -112,29 +110,24 @@ def adoption_of_lists(lists: DataFrame, respondents: DataFrame) -> DataFrame:
     """``adoption`` from one row per respondent and question, as ``answer_lists`` gives them.
 
     With a respondent's whole answer in one row the de-duplication is local (``array_distinct``),
-    and nothing but counts per item is shuffled. The position of each distinct item lets the same
-    aggregate count adopters and answers.
+    and nothing but counts is shuffled. The totals of a question are an aggregate of their own over
+    the stored lists, a few rows, so no task holds all items of a question for them.
     """
     per_item = (
-        lists.select("ano", "categoria", "itens", F.array_distinct("itens").alias("distintos"))
-        .select(
-            "ano", "categoria", F.size("itens").alias("mencoes"),
-            F.posexplode("distintos").alias("ordem", "tecnologia"),
-        )
+        lists.select("ano", "categoria", F.explode(F.array_distinct("itens")).alias("tecnologia"))
         .groupBy("ano", "categoria", "tecnologia")
-        .agg(
-            F.count(F.lit(1)).alias("respondentes"),
-            # Each answer has exactly one first item, which stands for the whole answer.
-            F.count_if(F.col("ordem") == 0).alias("respostas"),
-            F.sum(F.when(F.col("ordem") == 0, F.col("mencoes"))).alias("mencoes"),
-        )
+        .agg(F.count(F.lit(1)).alias("respondentes"))
+    )
+    base = lists.where(F.size("itens") > 0).groupBy(
+        F.col("ano").alias("ano_base"), F.col("categoria").alias("categoria_base")
+    ).agg(
+        F.count(F.lit(1)).alias("base_resposta"),
+        F.sum(F.size("itens")).alias("total_mencoes"),
     )
-    question = Window.partitionBy("ano", "categoria")
-    counted = per_item.select(
-        "ano", "categoria", "tecnologia", "respondentes",
-        F.sum("respostas").over(question).alias("base_resposta"),
-        F.sum("mencoes").over(question).alias("total_mencoes"),
+    same_question = F.col("ano").eqNullSafe(F.col("ano_base")) & F.col("categoria").eqNullSafe(
+        F.col("categoria_base")
     )
+    counted = per_item.join(base, same_question, "left").drop("ano_base", "categoria_base")
     return _adoption_columns(counted, edition_totals(respondents))
 
 
