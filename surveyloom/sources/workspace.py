@@ -41,6 +41,13 @@ def written(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataF
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def changed_at(spark: SparkSession, path: str) -> int:
+    """When a file or folder was last changed, from its metadata; tells a table from its successor."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.getFileStatus(target).getModificationTime()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a table that this library wrote below the shared folder; nothing else is touched."""
     if not path.startswith(f"{shared_folder(spark)}/"):

@@ -75,12 +75,12 @@ def write_mapping(spark: SparkSession, years: list[int], path: str) -> None:
     spark.createDataFrame([(json.dumps(config),)], "value string").write.text(path)
 
 
-_done: dict[tuple[str, str], dict[str, str]] = {}
+_done: dict[tuple, dict[str, str]] = {}
 
 
 def pipeline_folders(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Raw files to gold; the folders of silver and gold."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = star.version(spark, sf_dir)
     if key not in _done:
         base = new_table_path(spark, "pesquisa")
         paths = write_editions(spark, sf_dir, f"{base}/bronze")

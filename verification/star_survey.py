@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.operators.answers import answer_lists, melt_answers
 from surveyloom.plans.silver import respondents
-from surveyloom.sources.workspace import written
+from surveyloom.sources.workspace import changed_at, written
 
 # State of each nation key.
 STATES = (
@@ -186,22 +186,30 @@ def derived_respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return respondents(raw_survey(spark, sf_dir))
 
 
-_silver: dict[tuple[str, str, str], DataFrame] = {}
+_stored: dict[tuple, DataFrame] = {}
+
+SOURCES = ("orders", "customer", "nation", "region", "lineitem", "part")
+
+
+def version(spark: SparkSession, sf_dir: str) -> tuple:
+    """Application, data folder and state of its tables: results are kept only for these."""
+    changed = [changed_at(spark, f"{sf_dir}/{name}.parquet") for name in SOURCES]
+    return (spark.sparkContext.applicationId, sf_dir, *changed)
 
 
 def stored(
     name: str, build: Callable[[SparkSession, str], DataFrame], spark: SparkSession, sf_dir: str
 ) -> DataFrame:
-    """A silver or gold table, written once per application and data folder, by edition.
+    """A silver or gold table, written once per application and state of the data, by edition.
 
     Gold tables and reports read stored, columnar silver, as in the pipeline: each touches the few
     columns it needs, and a filter on a derived label reaches the scan as a pushed-down comparison
     instead of repeating the derivation.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _silver:
-        _silver[key] = written(build(spark, sf_dir), name, ["ano"])
-    return _silver[key]
+    key = (*version(spark, sf_dir), name)
+    if key not in _stored:
+        _stored[key] = written(build(spark, sf_dir), name, ["ano"])
+    return _stored[key]
 
 
 def survey_respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
