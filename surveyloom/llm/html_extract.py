@@ -70,10 +70,12 @@ BOILERPLATE = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs footer sidebar aside "
     "cookie cookies consent notice notices alert popup modal overlay newsletter subscribe signup "
     "login search share sharing social related recommended comment comments respond replies "
-    "disqus widget pagination pager toolbar copyright contentinfo complementary toc".split()
+    "disqus widget pagination pager toolbar copyright contentinfo complementary toc commentlist "
+    "usercomments adsense adslot adbox sidenav subnav topnav mainnav submenu cookiebar "
+    "cookiebanner gdpr sitefooter".split()
 )
 #: Words and the element of a page's head; inside an article they may hold its title.
-HEADS = frozenset("header masthead topbar".split())
+HEADS = frozenset("header masthead topbar siteheader pageheader".split())
 #: Characters that can't follow the angle bracket of a tag.
 NO_NAME = frozenset(["", *"<> \t\n\r=0123456789&.,;:-+*\"'"])
 _WORDS = re.compile(r"[A-Za-z]+")
