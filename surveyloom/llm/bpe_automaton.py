@@ -33,16 +33,21 @@ from surveyloom.llm.batches import map_batches, texts_of
 from surveyloom.llm.word_vocabulary import WordVocabulary, read_vocabulary_file, vocabulary
 
 #: Words and pieces whose encoding a worker remembers, and their greatest length.
-REMEMBERED_WORDS = 250_000
-REMEMBERED_PIECES = 350_000
+REMEMBERED_WORDS = 120_000
+REMEMBERED_PIECES = 200_000
 REMEMBERED_LENGTH = 40
 
 
 class Automaton(NamedTuple):
-    """A compiled automaton: bit ``label`` of row ``state_of[token]`` says the arc exists."""
+    """A compiled automaton.
+
+    Bit ``column_of[label]`` of row ``state_of[token]`` says that the arc with this label leaves the
+    state behind this token. Equal rows and equal columns are kept once.
+    """
 
     content: str
     state_of: np.ndarray
+    column_of: np.ndarray
     arcs: bytes
     width: int
 
@@ -79,7 +84,29 @@ def compile_automaton(content: str) -> Automaton:
         arcs[behind_u, v >> 3] &= np.uint8(0xFF ^ (1 << (v & 7)))
         has_u = arcs[:states, u >> 3] >> np.uint8(u & 7) & np.uint8(1)
         arcs[:states, w >> 3] |= has_u << np.uint8(w & 7)
-    return Automaton(content, state_of, arcs.tobytes(), width)
+    return _merge_equal(content, state_of, arcs)
+
+
+def _merge_equal(content: str, state_of: np.ndarray, arcs: np.ndarray) -> Automaton:
+    """Make states with the same arcs one, and labels with arcs from the same states one."""
+    rows: dict[bytes, int] = {}
+    row_of = np.array([rows.setdefault(r.tobytes(), len(rows)) for r in arcs])
+    table = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1)
+    columns: dict[bytes, int] = {}
+    column_of = np.zeros(table.shape[1] * 8, np.int32)
+    for eight in range(table.shape[1]):
+        bits = np.unpackbits(table[:, eight : eight + 1], axis=1, bitorder="little")
+        packed = np.packbits(bits, axis=0)
+        for k in range(8):
+            column = columns.setdefault(packed[:, k].tobytes(), len(columns))
+            column_of[8 * eight + k] = column
+    width = (len(columns) + 7) // 8
+    small = np.zeros((len(rows), width), np.uint8)
+    for packed, column in columns.items():
+        bits = np.unpackbits(np.frombuffer(packed, np.uint8))[: len(rows)]
+        small[:, column >> 3] |= bits << np.uint8(column & 7)
+    merged = np.where(state_of >= 0, row_of[np.maximum(state_of, 0)], -1)
+    return Automaton(content, merged, column_of[: len(state_of)], small.tobytes(), width)
 
 
 class Encoder:
@@ -98,12 +125,16 @@ class Encoder:
         }
 
     def _spelling_tree(self, machine: Automaton) -> dict:
-        """Characters to (subtree, token, token that ends a piece); -1 where there is none.
+        """Characters to subtree, token and its column, and the same of a token that ends a piece.
+
+        A token is -1 where there is none.
 
         Tokens without an arc from any state are left out: no encoding holds them.
         """
         table = np.frombuffer(machine.arcs, np.uint8).reshape(-1, machine.width)
-        used = np.unpackbits(np.bitwise_or.reduce(table, axis=0), bitorder="little").tolist()
+        used = np.unpackbits(np.bitwise_or.reduce(table, axis=0), bitorder="little")
+        columns = machine.column_of.tolist()
+        used = used[machine.column_of].tolist()
         suffix, tree = self.vocab.suffix, {}
         for token, identifier in self.ids.items():
             if not used[identifier]:
@@ -112,8 +143,10 @@ class Encoder:
             spelled = token.removesuffix(suffix) if final else token
             level = tree
             for c in spelled[:-1]:
-                level = level.setdefault(c, [{}, -1, -1])[0]
-            level.setdefault(spelled[-1], [{}, -1, -1])[2 if final else 1] = identifier
+                level = level.setdefault(c, [{}, -1, 0, -1, 0])[0]
+            at = 3 if final else 1
+            entry = level.setdefault(spelled[-1], [{}, -1, 0, -1, 0])
+            entry[at : at + 2] = identifier, columns[identifier]
         return tree
 
     def piece(self, piece: str) -> list[int]:
@@ -129,11 +162,11 @@ class Encoder:
                 found = level.get(piece[end])
                 if found is None:
                     break
-                level, token, closing = found
+                level, token, column, closing, closing_column = found
                 if end == n - 1:
-                    token = closing
+                    token, column = closing, closing_column
                 # In the first state every token can be read that arises at all.
-                if token >= 0 and (not begin or arcs[row + (token >> 3)] >> (token & 7) & 1):
+                if token >= 0 and (not begin or arcs[row + (column >> 3)] >> (column & 7) & 1):
                     last[end + 1], origin[end + 1] = token, begin
         out, at = [], n
         while at:
@@ -192,9 +225,20 @@ def encoder(machine: Broadcast) -> Encoder:
     return _encoders[name]
 
 
+_shared: dict[tuple[str, str], Broadcast] = {}
+
+
 def shared_automaton(spark: SparkSession, path: str | None = None) -> Broadcast:
-    """The automaton of a vocabulary file, compiled on the driver; its size is that of the file."""
-    return spark.sparkContext.broadcast(_compiled(read_vocabulary_file(path)))
+    """The automaton of a vocabulary file, compiled on the driver; its size is that of the file.
+
+    One broadcast for each application and file, so that workers load it once, however many tables
+    are encoded.
+    """
+    content = read_vocabulary_file(path)
+    key = spark.sparkContext.applicationId, content
+    if key not in _shared:
+        _shared[key] = spark.sparkContext.broadcast(_compiled(content))
+    return _shared[key]
 
 
 def encode_texts(docs: DataFrame, path: str | None = None) -> DataFrame:
