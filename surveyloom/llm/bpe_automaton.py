@@ -90,8 +90,8 @@ def compile_automaton(content: str) -> Automaton:
 def _merge_equal(content: str, state_of: np.ndarray, arcs: np.ndarray) -> Automaton:
     """Make states with the same arcs one, and labels with arcs from the same states one."""
     rows: dict[bytes, int] = {}
-    row_of = np.array([rows.setdefault(r.tobytes(), len(rows)) for r in arcs])
-    table = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1)
+    row_of = np.array([rows.setdefault(sha256(r).digest(), len(rows)) for r in arcs])
+    table = arcs[np.unique(row_of, return_index=True)[1]]
     columns: dict[bytes, int] = {}
     column_of = np.zeros(table.shape[1] * 8, np.int32)
     for eight in range(table.shape[1]):
