@@ -30,7 +30,9 @@ from surveyloom.llm.quality_rules import repeated_words, words_of
 
 TRAINING_ROWS = 20_000
 TREES, DEPTH, BINS = 80, 4, 64
-LEARNING_RATE, PENALTY, LEAST_WEIGHT = 0.15, 1.0, 0.5
+LEARNING_RATE, PENALTY = 0.15, 1.0
+#: Least weight of a leaf: so much, or this share of all weight where the labelled rows are few.
+LEAST_WEIGHT, LEAST_SHARE = 4.0, 0.02
 CUTOFF = 0.7
 
 FEATURES = (
@@ -112,6 +114,7 @@ def grow_trees(x: np.ndarray, y: np.ndarray) -> Trees:
     )
     place = np.arange(n_features) * BINS + binned
     score = np.full(n, base)
+    least = min(LEAST_WEIGHT, LEAST_SHARE * n * share * (1 - share))
     feature = np.zeros((TREES, nodes), int)
     threshold = np.full((TREES, nodes), np.inf)
     leaf = np.zeros((TREES, leaves))
@@ -134,7 +137,7 @@ def grow_trees(x: np.ndarray, y: np.ndarray) -> Trees:
                 + (whole_g - g) ** 2 / (whole_h - h + PENALTY)
                 - whole_g**2 / (whole_h + PENALTY)
             )[:, :, :-1]
-            gain[(h < LEAST_WEIGHT)[:, :, :-1] | ((whole_h - h) < LEAST_WEIGHT)[:, :, :-1]] = 0
+            gain[(h < least)[:, :, :-1] | ((whole_h - h) < least)[:, :, :-1]] = 0
             best = gain.reshape(width, -1).argmax(axis=1)
             good = gain.reshape(width, -1)[np.arange(width), best] > 1e-9
             split_feature, split_bin = np.divmod(best, BINS - 1)
