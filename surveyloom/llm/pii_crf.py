@@ -1,10 +1,11 @@
 """Personal data: base patterns, and a linear-chain conditional random field that adds to them.
 
 The base patterns find e-mail addresses, IP addresses, card and phone numbers in their usual forms.
-The field labels tokens (runs of letters, runs of digits, single other characters) around every
-digit, ``@`` and opening bracket; its features are word shapes of a token and its neighbours. It is
-trained once a call from the small labelled table ``pii_examples.EXAMPLES``, and decoded by Viterbi
-in numpy, many windows at a time. It adds forms without a plus sign, written-out addresses and the
+The field labels tokens (runs of letters, runs of digits, single other characters); its features are
+word shapes of a token and its neighbours. It is trained once a call from the small labelled table
+``pii_examples.EXAMPLES``, and decoded by Viterbi in numpy, many windows at a time. Only windows
+around digits, ``@`` and opening brackets are decoded. A window is widened until the labels around
+them are the same whatever comes before and after it. The field adds forms without a plus sign, written-out addresses and the
 like, never a span that touches one that a base pattern matched, found or dropped. Base spans stay
 as they are.
 
@@ -17,6 +18,7 @@ over more than its own run.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Sequence
 from functools import lru_cache
 from hashlib import sha256
@@ -31,9 +33,10 @@ from surveyloom.llm.batches import map_batches, texts_of
 from surveyloom.llm.pii_examples import EXAMPLES
 
 KINDS = ("email", "ip", "card", "phone")
-#: Code points on either side of a trigger that a window takes in.
+#: Code points on either side of a trigger that a window takes in at first.
 CONTEXT = 40
 LABELS = ("O", *[f"{part}-{kind}" for kind in KINDS for part in "BI"])
+LONGEST_EMAIL = 254
 STEPS, RATE, PENALTY = 250, 0.1, 0.01
 
 Span = tuple[str, int, int]
@@ -120,28 +123,82 @@ def window_of(text: str, begin: int, end: int) -> Window:
     return Window(tokens, starts, ends, spaced)
 
 
-def windows(text: str) -> list[Window]:
-    """Stretches within ``CONTEXT`` of a trigger, widened to whole words, merged where they meet."""
-    out, begin, end = [], -1, -1
-    for m in _TRIGGER.finditer(text):
-        if begin >= 0 and m.start() - CONTEXT <= end:
-            end = m.end() + CONTEXT
-            continue
-        if begin >= 0:
-            out.append((begin, end))
-        begin, end = max(0, m.start() - CONTEXT), m.end() + CONTEXT
-    if begin >= 0:
-        out.append((begin, end))
-    return [window_of(text, *_to_words(text, a, min(b, len(text)))) for a, b in out]
+class Stretch(NamedTuple):
+    """A window, how many tokens at either end only lend features, and its triggers' first and last.
+
+    The two tokens before and after a stretch are its neighbours; where none are there, the text
+    begins or ends. ``first`` and ``last`` count tokens without the neighbours; ``core`` is where
+    they stand in the text.
+    """
+
+    window: Window
+    before: int
+    after: int
+    first: int
+    last: int
+    core: tuple[int, int]
+
+
+def triggers(text: str) -> list[tuple[int, int]]:
+    return [m.span() for m in _TRIGGER.finditer(text)]
+
+
+def windows(text: str, cores: list[tuple[int, int]], reach: int = CONTEXT) -> list[Stretch]:
+    """Stretches within ``reach`` of a core, widened to whole tokens, merged where they meet."""
+    out: list[list[int]] = []
+    for first, last in cores:
+        if out and first - reach <= out[-1][1]:
+            out[-1][1], out[-1][3] = last + reach, last
+        else:
+            out.append([first - reach, last + reach, first, last])
+    merged: list[list[int]] = []
+    for begin, end, first, last in out:
+        begin, end = _token_start(text, max(0, begin)), _token_end(text, min(end, len(text)))
+        if merged and begin <= merged[-1][1]:
+            merged[-1][1], merged[-1][3] = end, last
+        else:
+            merged.append([begin, end, first, last])
+    return [_stretch(text, *m) for m in merged]
+
+
+def _stretch(text: str, begin: int, end: int, first: int, last: int) -> Stretch:
+    outer_begin, outer_end, before, after = begin, end, 0, 0
+    while before < 2 and (at := _blanks_before(text, outer_begin)):
+        outer_begin, before = _token_start(text, at - 1), before + 1
+    while after < 2 and (found := _TOKEN.search(text, outer_end)):
+        outer_end, after = found.end(), after + 1
+    window = window_of(text, outer_begin, outer_end)
+    inside = bisect_right(window.starts, first) - 1 - before
+    last_inside = bisect_left(window.starts, last) - 1 - before
+    return Stretch(window, before, after, inside, last_inside, (first, last))
+
 
+def _blanks_before(text: str, at: int) -> int:
+    """Where the white space that ends at a place begins."""
+    while at and text[at - 1].isspace():
+        at -= 1
+    return at
 
-def _to_words(text: str, begin: int, end: int) -> tuple[int, int]:
-    """Leave out cut words at both ends of a window."""
-    while 0 < begin < end and not text[begin - 1].isspace():
-        begin += 1
-    while begin < end < len(text) and not text[end].isspace():
-        end -= 1
-    return begin, end
+
+def _one_token(a: str, b: str) -> bool:
+    """Whether two characters side by side belong to one token."""
+    if "0" <= a <= "9":
+        return "0" <= b <= "9"
+    return a.isalnum() and b.isalnum() and not a.isdecimal() and not b.isdecimal()
+
+
+def _token_start(text: str, at: int) -> int:
+    """Start of the token that goes over a place in a text."""
+    while 0 < at < len(text) and _one_token(text[at - 1], text[at]):
+        at -= 1
+    return at
+
+
+def _token_end(text: str, at: int) -> int:
+    """End of the token that goes over a place in a text."""
+    while 0 < at < len(text) and _one_token(text[at - 1], text[at]):
+        at += 1
+    return at
 
 
 def shape(token: str) -> str:
@@ -156,22 +213,31 @@ def shape(token: str) -> str:
     return c
 
 
+def surroundings(window: Window, words: frozenset[str]) -> list[tuple[str, ...]]:
+    """What the features of each token are made from: five shapes, five words and two spaces."""
+    shapes = ["<", "<", *[shape(t) for t in window.tokens], ">", ">"]
+    lower = ["", "", *[w if (w := t.lower()) in words else "" for t in window.tokens], "", ""]
+    spaced = ["_" if s else "" for s in window.spaced] + ["_"]
+    return [
+        (*shapes[i : i + 5], *lower[i : i + 5], spaced[i], spaced[i + 1])
+        for i in range(len(window.tokens))
+    ]
+
+
+def names_of(around: tuple[str, ...]) -> list[str]:
+    """Names of the features of a token."""
+    second, before, shaped, after, next_but_one, *words, spaced, spaced_after = around
+    here, after = spaced + shaped, spaced_after + after
+    names = [
+        "bias", f"0{here}", f"-1{before}", f"+1{after}", f"-2{second}", f"+2{next_but_one}",
+        f"-10{before}{here}", f"01{here}{after}", f"-101{before}{here}{after}",
+    ]
+    return names + [f"w{k}{word}" for k, word in zip((-2, -1, 0, 1, 2), words, strict=True) if word]
+
+
 def features(window: Window, words: frozenset[str]) -> list[list[str]]:
     """Names of the features of each token."""
-    shapes = ["<", "<", *[shape(t) for t in window.tokens], ">", ">"]
-    lower = ["", "", *[t.lower() if t.lower() in words else "" for t in window.tokens], "", ""]
-    spaced = ["", "", *["_" if s else "" for s in window.spaced], "_", "_"]
-    out = []
-    for i in range(2, len(shapes) - 2):
-        here, before, after = spaced[i] + shapes[i], shapes[i - 1], spaced[i + 1] + shapes[i + 1]
-        names = [
-            "bias", f"0{here}", f"-1{before}", f"+1{after}", f"-2{shapes[i - 2]}",
-            f"+2{shapes[i + 2]}", f"-10{before}{here}", f"01{here}{after}",
-            f"-101{before}{here}{after}",
-        ]
-        names += [f"w{k}{lower[i + k]}" for k in (-2, -1, 0, 1, 2) if lower[i + k]]
-        out.append(names)
-    return out
+    return [names_of(around) for around in surroundings(window, words)]
 
 
 class Field(NamedTuple):
@@ -182,11 +248,18 @@ class Field(NamedTuple):
     weights: np.ndarray
     moves: np.ndarray
 
-    def scores(self, window: Window) -> np.ndarray:
-        rows = features(window, self.words)
-        out = np.zeros((len(rows), len(LABELS)))
-        for i, names in enumerate(rows):
-            out[i] = self.weights[[self.names[n] for n in names if n in self.names]].sum(axis=0)
+    def scores(
+        self, window: Window, seen: dict[tuple[str, ...], np.ndarray] | None = None
+    ) -> np.ndarray:
+        """Scores of the labels of each token; ``seen`` keeps those of surroundings met before."""
+        seen = {} if seen is None else seen
+        out = np.zeros((len(window.tokens), len(LABELS)))
+        for i, around in enumerate(surroundings(window, self.words)):
+            found = seen.get(around)
+            if found is None:
+                rows = [self.names[n] for n in names_of(around) if n in self.names]
+                found = seen[around] = self.weights[rows].sum(axis=0)
+            out[i] = found
         return out
 
 
@@ -321,11 +394,128 @@ def viterbi(scores: list[np.ndarray], moves: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def certain(
+    scores: list[np.ndarray], opens: list[tuple[bool, bool]], moves: np.ndarray
+) -> list[np.ndarray]:
+    """Labels of windows that are best whatever label goes before and after; -1 for all others.
+
+    ``opens`` says whether tokens go on before and after a window.
+    """
+    out: list[np.ndarray] = [np.zeros(0, int)] * len(scores)
+    order = sorted((i for i in range(len(scores)) if len(scores[i])), key=lambda i: len(scores[i]))
+    start = np.where([label[0] == "I" for label in LABELS], -1e4, 0.0)
+    while order:
+        room = max(1, 20_000 // len(scores[order[-1]]))
+        some, order = order[-room:], order[:-room]
+        emit, lengths = _pad([scores[i] for i in some])
+        k, n = len(LABELS), len(some)
+        begun, going_on = np.array([opens[i] for i in some]).T
+        # By label, label before the window and window, so that steps run along memory.
+        emit = np.ascontiguousarray(emit.transpose(1, 2, 0))
+        best = emit[0][:, None] + np.where(begun, moves.T[:, :, None], start[:, None, None])
+        back = np.zeros((len(emit), k, k, n), np.int8)
+        for t in range(1, len(emit)):
+            top = _step(best, moves, back[t])
+            best = np.where(t < lengths, top + emit[t][:, None], best)
+        # By label after, label before and window.
+        after = np.zeros((k, k, n), np.int8)
+        _step(best, moves, after)
+        label = np.where(going_on, after, best.argmax(axis=0)[None]).astype(np.int64)
+        before, row = np.arange(k)[None, :, None], np.arange(n)[None, None]
+        labels = np.zeros((len(emit), n), int)
+        for t in range(len(emit) - 1, -1, -1):
+            one = label[0, 0]
+            labels[t] = np.where((label == one).all(axis=(0, 1)), one, -1)
+            label = np.where(t < lengths, back[t][label, before, row], label)
+        for row_of, i in enumerate(some):
+            out[i] = labels[: lengths[row_of], row_of]
+    return out
+
+
+def _step(best: np.ndarray, moves: np.ndarray, came: np.ndarray) -> np.ndarray:
+    """Best values of the next labels; where each came from is put into ``came``."""
+    top = best[0][None] + moves[0][:, None, None]
+    for label in range(1, len(moves)):
+        other = best[label][None] + moves[label][:, None, None]
+        better = other > top
+        np.copyto(top, other, where=better)
+        np.copyto(came, np.int8(label), where=better)
+    return top
+
+
+def _settled(labels: np.ndarray, stretch: Stretch) -> tuple[int, int] | None:
+    """The tokens around the triggers whose spans are known whole, or None where more is needed.
+
+    An address that is too long already is no span, however far it goes on.
+    """
+    unknown = np.flatnonzero(labels < 0)
+    k = int(np.searchsorted(unknown, stretch.first))
+    low = int(unknown[k - 1]) + 1 if k else 0
+    high = int(unknown[k]) if k < len(unknown) else len(labels)
+    if high <= stretch.last:
+        return None
+    starts, ends = stretch.window.starts[stretch.before :], stretch.window.ends[stretch.before :]
+    inner = [label[0] == "I" for label in LABELS]
+    goes_on = [inner[label] for label in labels[low:high].tolist()]
+    a, b = low, high
+    if low or stretch.before:
+        while a < high and goes_on[a - low]:
+            a += 1
+        if a > stretch.first and not _too_long(labels[low], ends[a - 1] - starts[low]):
+            return None
+    if high < len(labels) or stretch.after:
+        while b > low and goes_on[b - 1 - low]:
+            b -= 1
+        b = max(low, b - 1)
+        open_end = b <= stretch.last and labels[b]
+        if open_end and not _too_long(labels[high - 1], ends[high - 1] - starts[b]):
+            return None
+    return a, max(a, b)
+
+
+def _too_long(label: int, length: int) -> bool:
+    return LABELS[label] == "I-email" and length > LONGEST_EMAIL
+
+
+def _labelled(texts: Sequence[str], numbers: list[int], field: Field) -> list[set[Span]]:
+    """Spans of the field in some of the texts, as if each text were one window."""
+    spans: list[set[Span]] = [set() for _ in texts]
+    cores = {n: triggers(texts[n]) for n in numbers}
+    reach = CONTEXT
+    seen: dict[tuple[str, ...], np.ndarray] = {}
+    while cores:
+        places = [(n, s) for n, some in cores.items() for s in windows(texts[n], some, reach)]
+        scores = [
+            field.scores(s.window, seen)[s.before : len(s.window.tokens) - s.after]
+            for _, s in places
+        ]
+        opens = [(s.before > 0, s.after > 0) for _, s in places]
+        cores, reach = {}, 2 * reach
+        for (number, stretch), labels in zip(
+            places, certain(scores, opens, field.moves), strict=True
+        ):
+            known = _settled(labels, stretch)
+            if known is None:
+                cores.setdefault(number, []).append(stretch.core)
+                continue
+            at, stop = known
+            while at < stop:
+                name = LABELS[labels[at]]
+                end = at + 1
+                while end < stop and name[0] == "B" and LABELS[labels[end]] == f"I-{name[2:]}":
+                    end += 1
+                if name != "O":
+                    window, k = stretch.window, stretch.before
+                    spans[number].add((name[2:], window.starts[at + k], window.ends[end - 1 + k]))
+                at = end
+    return spans
+
+
 def _sound(kind: str, text: str) -> bool:
     """Whether a labelled span can be what its label says."""
     digits = _digits(text)
     if kind == "email":
-        return 6 <= len(text) <= 254 and bool(re.search(r"@|\bat\b", text, re.IGNORECASE))
+        return 6 <= len(text) <= LONGEST_EMAIL and bool(re.search(r"@|\bat\b", text, re.IGNORECASE))
     if kind == "card":
         return _card(text)
     if kind == "ip":
@@ -336,7 +526,8 @@ def _sound(kind: str, text: str) -> bool:
 
 def find_spans(texts: Sequence[str], field: Field) -> list[tuple[list[Span], list[Span]]]:
     """For each text its base spans and all spans, by kind as listed, then start."""
-    base, busy, places, scores = [], [], [], []
+    base: list[list[Span]] = []
+    busy, numbers = [], []
     for number, text in enumerate(texts):
         if not _TRIGGER.search(text):
             base.append([])
@@ -345,23 +536,14 @@ def find_spans(texts: Sequence[str], field: Field) -> list[tuple[list[Span], lis
         spans, dropped = base_spans(text)
         base.append(spans)
         busy.append([(a, b) for _, a, b in spans] + dropped)
-        for window in windows(text):
-            places.append((number, window))
-            scores.append(field.scores(window))
-    added: list[list[Span]] = [[] for _ in texts]
-    for (number, window), labels in zip(places, viterbi(scores, field.moves), strict=True):
-        at = 0
-        while at < len(labels):
-            name = LABELS[labels[at]]
-            end = at + 1
-            while end < len(labels) and name[0] == "B" and LABELS[labels[end]] == f"I-{name[2:]}":
-                end += 1
-            if name != "O":
-                a, b = window.starts[at], window.ends[end - 1]
-                free = all(b <= x or y <= a for x, y in busy[number])
-                if free and _sound(name[2:], texts[number][a:b]):
-                    added[number].append((name[2:], a, b))
-            at = end
+        numbers.append(number)
+    added = [
+        [
+            (kind, a, b) for kind, a, b in spans
+            if all(b <= x or y <= a for x, y in busy[number]) and _sound(kind, texts[number][a:b])
+        ]
+        for number, spans in enumerate(_labelled(texts, numbers, field))
+    ]
     rank = {kind: i for i, kind in enumerate(KINDS)}
     order = lambda s: (rank[s[0]], s[1], s[2])
     return [(sorted(b, key=order), sorted(b + a, key=order)) for b, a in zip(base, added, strict=True)]

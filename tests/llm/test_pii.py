@@ -122,3 +122,29 @@ def test_long_runs_take_linear_time(field):
     start = time.perf_counter()
     pii_crf.find_spans(["a" * 400_000 + "@", "0" * 400_000, "+1" + " " * 400_000], field)
     assert time.perf_counter() - start < 20
+
+
+def whole_spans(text, field):
+    """Spans that decoding the text as one window adds."""
+    window = pii_crf.window_of(text, 0, len(text))
+    labels = pii_crf.viterbi([field.scores(window)], field.moves)[0] if window.tokens else []
+    names, out = [pii_crf.LABELS[label] for label in labels], []
+    base, dropped = pii_crf.base_spans(text)
+    for i, name in enumerate(names):
+        if name[0] == "B":
+            end = next((j for j in range(i + 1, len(names)) if names[j][0] != "I"), len(names))
+            a, b = window.starts[i], window.ends[end - 1]
+            free = all(b <= x or y <= a for x, y in [s[1:] for s in base] + dropped)
+            if free and pii_crf._sound(name[2:], text[a:b]):
+                out.append((name[2:], a, b))
+    return sorted(out)
+
+
+def added(texts, field):
+    return [sorted(s for s in spans if s not in base)
+            for base, spans in pii_crf.find_spans(texts, field)]
+
+
+def test_whole_words_beside_a_window_are_decoded(field):
+    text = "x" * 30 + "," + "customer=anna&contact=anna&phone=555-123-4567" + ",y" * 60
+    assert added([text], field) == [whole_spans(text, field)] != [[]]
