@@ -3,9 +3,10 @@
 The base patterns find e-mail addresses, IP addresses, card and phone numbers in their usual forms.
 The field labels tokens (runs of letters, runs of digits, single other characters); its features are
 word shapes of a token and its neighbours. It is trained once a call from the small labelled table
-``pii_examples.EXAMPLES``, and decoded by Viterbi in numpy, many windows at a time. Only windows
-around digits, ``@`` and opening brackets are decoded. A window is widened until the labels around
-them are the same whatever comes before and after it. The field adds forms without a plus sign, written-out addresses and the
+``pii_examples.EXAMPLES``, and decoded by Viterbi in numpy, many windows at a time. A span of any
+kind holds a digit, an ``@`` or the word "at", so only windows around these are decoded. A window is
+widened until the labels around them are the same whatever comes before and after it: the result is
+that of the whole text in one window. The field adds forms without a plus sign, written-out addresses and the
 like, never a span that touches one that a base pattern matched, found or dropped. Base spans stay
 as they are.
 
@@ -41,7 +42,11 @@ STEPS, RATE, PENALTY = 250, 0.1, 0.01
 
 Span = tuple[str, int, int]
 
-_TRIGGER = re.compile(r"[0-9@(\[]")
+#: What every sound span holds: a digit, ``@`` or the token "at". One set of characters comes first,
+#: so that the search skips all others quickly.
+_TRIGGER = re.compile(
+    r"[0-9@aA](?:(?<=[0-9@])|(?<=[aA])(?<![^\W\d_][aA])[tT](?![^\W\d_]))"
+)
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")

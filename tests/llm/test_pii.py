@@ -145,6 +145,34 @@ def added(texts, field):
             for base, spans in pii_crf.find_spans(texts, field)]
 
 
+def test_windows_find_what_the_whole_text_holds(field):
+    rng = random.Random(11)
+    plain = [re.sub(r"\{\w+:([^}]*)\}", r"\1", e) for e in EXAMPLES]
+    texts = ["https://example.com/contact?customer=anna&phone=555-123-4567",
+             '{"name":"anna","mail":"anna(at)example.org","phone":"(555)123-4567"}' * 3,
+             "write to " + ". ".join(["verylongname"] * 12) + " at example dot com now",
+             "the # # # of % % % at & & & " * 60 + "call (555) 123-4567 & & &" + " to % % % at" * 40]
+    for _ in range(600):
+        parts = [rng.choice([*plain, "word " * rng.randint(1, 40), "长文字" * rng.randint(1, 30)])
+                 for _ in range(rng.randint(1, 6))]
+        text = rng.choice([" ", ",", "\n", "; "]).join(parts)
+        texts.append(text.replace(" ", rng.choice(["", ",", "_"])) if rng.random() < 0.5 else text)
+    found = added(texts, field)
+    assert found == [whole_spans(t, field) for t in texts]
+    assert texts[0][slice(*found[0][0][1:])].endswith("555-123-4567")
+
+
 def test_whole_words_beside_a_window_are_decoded(field):
     text = "x" * 30 + "," + "customer=anna&contact=anna&phone=555-123-4567" + ",y" * 60
     assert added([text], field) == [whole_spans(text, field)] != [[]]
+
+
+def test_forms_of_the_table_are_found_in_documents(field):
+    for example in EXAMPLES:
+        text, marked = "", []
+        for plain, kind, inner in re.findall(r"([^{]*)(?:\{(\w+):([^}]*)\})?", example):
+            text += plain + inner
+            marked += [(kind, len(text) - len(inner), len(text))] if kind else []
+        _, dropped = pii_crf.base_spans(text)  # what these touch is never added
+        expected = [s for s in marked if all(s[2] <= a or b <= s[1] for a, b in dropped)]
+        assert pii_crf.find_spans([text], field)[0][1] == expected, example
