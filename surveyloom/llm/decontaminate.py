@@ -1,15 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment.
+"""Benchmark decontamination: n-gram seeds, then local alignment.
 
-A document and a test item are compared where they share a rare run of three words. Around the
-shared runs of one item a window of the document is cut, and Smith-Waterman alignment of item and
-window gives a score: matches minus mismatches and gaps along the best local alignment. Edited and
+A document and a test item are compared where they share a run of three words. Around the shared
+runs of one item a window of the document is cut, and Smith-Waterman alignment of item and window
+gives a score: matches minus mismatches and gaps along the best local alignment. Edited and
 paraphrased copies keep most of their score; text that shares a phrase by chance does not.
 
-**Rare seeds.** A first pass over all documents counts, for every run of three words of every item,
-the documents in which it stands alone, that is without the run before or after it in that item. A
-passage that was copied a thousand times has its neighbours with it, so copies never make it common.
-Runs alone in more than ``COMMON`` of all documents are no seeds; an item without other runs keeps
-its rarest.
+**Every run is a seed,** however many documents hold it: an edited copy may share only runs that
+stand alone, and it may itself be common. What common phrases bring in is left out by the count of
+shared words below, without loss.
 
 **Scale.** Items are few and stated; they go to the tasks in blocks of at most ``BLOCK_WORDS`` words
 on average, whatever their number, and each block is one pass over the documents. There is no
@@ -113,7 +111,9 @@ def alone(items: Items, at: np.ndarray, seed: np.ndarray) -> list[int]:
 
 
 def rare_seeds(docs: DataFrame, items: Items, common: float = COMMON) -> np.ndarray:
-    """Which seeds are rare, from counts over all documents."""
+    """Which seeds are rare, from counts over all documents. For looking at a benchmark only: every
+    seed is used, since an edited copy may be common itself and share no rare one.
+    """
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -169,15 +169,14 @@ def limit_of(n_words: int) -> float:
     return LIMIT * MATCH * min(n_words, LONG)
 
 
-def leaks_in(items: Items, rare: np.ndarray, text: str) -> Iterator[tuple[int, int, float, int, int]]:
+def leaks_in(items: Items, text: str) -> Iterator[tuple[int, int, float, int, int]]:
     """``item, score, share, first word, end`` of the best window of each leaked item."""
     numbers = items.numbers(text)
     at, seed = items.hits(numbers)
     if not len(at):
         return
-    keep = rare[seed]
     by_item: dict[int, list[int]] = {}
-    for p, s in zip(at[keep].tolist(), seed[keep].tolist(), strict=True):
+    for p, s in zip(at.tolist(), seed.tolist(), strict=True):
         for item, _ in items.places[s]:
             of = by_item.setdefault(item, [])
             if not of or of[-1] != p:
@@ -185,14 +184,15 @@ def leaks_in(items: Items, rare: np.ndarray, text: str) -> Iterator[tuple[int, i
     for item, places in by_item.items():
         words = items.words[item]
         n, limit = len(words), limit_of(len(words))
-        inside = np.bincount(words, minlength=0)
+        own, times = np.unique(words, return_counts=True)
         best = (0, 0, 0)
         cuts = np.flatnonzero(np.diff(places) > 2 * n) + 1
         for group in np.split(np.array(places), cuts):
             first = max(0, int(group[0]) - n)
             window = numbers[first : int(group[-1]) + SEED + n]
-            usable = window[(window >= 0) & (window < len(inside))]
-            shared = np.minimum(np.bincount(usable, minlength=len(inside)), inside).sum()
+            place = np.minimum(np.searchsorted(own, window), len(own) - 1)
+            place = place[own[place] == window]
+            shared = np.minimum(np.bincount(place, minlength=len(own)), times).sum()
             if MATCH * shared < max(limit, best[0]):
                 continue
             score, end = best_alignment(words, window)
@@ -246,15 +246,15 @@ def drop_leaks(
 
 
 def _without_leaks(docs: DataFrame, items: Items) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast((items, rare_seeds(docs, items)))
+    sent = docs.sparkSession.sparkContext.broadcast(items)
     text = docs.columns.index("text")
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        block, rare = sent.value
+        block = sent.value
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             clean = [
-                next(leaks_in(block, rare, t or ""), None) is None
+                next(leaks_in(block, t or ""), None) is None
                 for t in batch.column(text).to_pylist()
             ]
             return batch.filter(pa.array(clean, pa.bool_()))
@@ -266,10 +266,10 @@ def _without_leaks(docs: DataFrame, items: Items) -> DataFrame:
 
 def _leaks_of_block(docs: DataFrame, items: Items) -> DataFrame:
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast((items, rare_seeds(docs, items)))
+    sent = spark.sparkContext.broadcast(items)
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        block, rare = sent.value
+        block = sent.value
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows = [
@@ -277,7 +277,7 @@ def _leaks_of_block(docs: DataFrame, items: Items) -> DataFrame:
                 for doc_id, text in zip(
                     batch.column("doc_id").to_pylist(), texts_of(batch), strict=True
                 )
-                for item, *rest in leaks_in(block, rare, text)
+                for item, *rest in leaks_in(block, text)
             ]
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]

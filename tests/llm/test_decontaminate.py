@@ -106,3 +106,17 @@ def test_empty_tables(tables):
     assert dc.find_leaks(docs, none).count() == 0
     assert dc.drop_leaks(docs, none).count() == docs.count()
     assert dc.find_leaks(docs.where("false"), benchmark).count() == 0
+
+
+@pytest.mark.parametrize("n_words", [25, 40, 59])
+def test_common_edited_copies_are_found(spark, n_words):
+    rng = random.Random(n_words)
+    item = [f"w{i}" for i in range(n_words)]
+    copy = " ".join("edit" if i % 4 == 3 else w for i, w in enumerate(item))
+    plain = [" ".join(rng.choice(item) + "x" for _ in range(50)) for _ in range(200)]
+    rows = list(enumerate([f"before {copy} after {i}" for i in range(100)] + plain))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = dc.find_leaks(docs, benchmark).collect()
+    assert sorted(r.doc_id for r in found) == list(range(100))
+    assert sorted(r.doc_id for r in dc.drop_leaks(docs, benchmark).collect()) == list(range(100, 300))
