@@ -76,17 +76,26 @@ BOILERPLATE = frozenset(
 )
 #: Words and the element of a page's head; inside an article they may hold its title.
 HEADS = frozenset("header masthead topbar siteheader pageheader".split())
+#: Words that beside those above leave a name what it is: a "main-nav" is one, a "no-sidebar" is not.
+NEUTRAL = frozenset(
+    "site main page global top left right bottom upper lower primary secondary first second wrapper "
+    "wrap container holder box block area section inner outer list item items bar panel group row "
+    "col column region zone unit slot link links button buttons icon icons title head form menu "
+    "fixed sticky mobile desktop small large dark light policy message media the my js".split()
+)
+NAMED = NEUTRAL | BOILERPLATE | HEADS
+#: Their names tell the state of a page, not what they are.
+WHOLE = frozenset(["html", "body"])
+BODIES = frozenset(["main", "article"])
 #: Characters that can't follow the angle bracket of a tag.
 NO_NAME = frozenset(["", *"<> \t\n\r=0123456789&.,;:-+*\"'"])
 _WORDS = re.compile(r"[A-Za-z]+")
 _TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
 _PLAIN_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
-_ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
-
-
-def is_head(label: str) -> bool:
-    return not HEADS.isdisjoint(label.split("."))
+_ATTRIBUTE = re.compile(
+    r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?"""
+)
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 
 
 class Page(NamedTuple):
@@ -103,15 +112,35 @@ class Page(NamedTuple):
     pieces: list[tuple[int, str]]
 
 
-def _label(tag: str, attributes: str) -> tuple[str, bool]:
-    """Label of an element, and whether its names say that it is no content."""
+def _says(token: str, words: frozenset[str]) -> bool:
+    """Whether a class, id or role is one of the words, or a compound of one and neutral words."""
+    found = _WORDS.findall(token)
+    return not words.isdisjoint(found) and NAMED.issuperset(found)
+
+
+def _label(tag: str, attributes: str) -> tuple[str, bool, bool]:
+    """Label of an element, whether it says that it is no content, and whether it is a page's head."""
     names: list[str] = []
-    if attributes and ("=" in attributes):
-        for key, *values in _ATTRIBUTE.findall(attributes):
-            if key.lower() != "id" or not any(c.isdigit() for c in "".join(values)):
-                names += _WORDS.findall("".join(values).lower())
-    other = not BOILERPLATE.isdisjoint(names) or bool(attributes and _HIDDEN.search(attributes))
-    return ".".join([tag, *names]), other
+    tokens: list[str] = []
+    hidden = False
+    for key, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
+        key, value = key.lower(), "".join(values).lower()
+        if key in ("class", "id", "role"):
+            if key != "id" or not any(c.isdigit() for c in value):
+                tokens += value.split()
+                names += _WORDS.findall(value)
+        elif key == "hidden" or (key == "style" and _NOT_SHOWN.search(value)):
+            hidden = hidden or tag not in WHOLE
+        elif key == "aria-hidden" and value.strip() == "true":
+            hidden = hidden or tag not in WHOLE | BODIES
+    if tag in WHOLE:
+        other = head = False
+    elif tag in BODIES:
+        other, head = not BOILERPLATE.isdisjoint(tokens), False
+    else:
+        other = any(_says(t, BOILERPLATE) for t in tokens)
+        head = tag in HEADS or any(_says(t, HEADS) for t in tokens)
+    return ".".join([tag, *names]), other or hidden, head
 
 
 def parse(html: str) -> Page:
@@ -182,10 +211,10 @@ def parse(html: str) -> Page:
                         break
             elif tags[-1] == "p":
                 close(len(tags) - 1)
-            label, other = _label(tag, attributes)
+            label, other, head = _label(tag, attributes)
             parent = stack[-1]
             inside = page.in_article[parent]
-            out = tag in LEFT_OUT or other or (not inside and is_head(label))
+            out = tag in LEFT_OUT or other or (not inside and head)
             page.labels.append(label)
             page.parents.append(parent)
             page.left_out.append(page.left_out[parent] or out)

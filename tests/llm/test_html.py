@@ -122,3 +122,19 @@ def test_given_pages(spark):
         article = re.search(r"<article>(.*?)</article>", row.html, re.S).group(1)
         expected = " ".join(unescape(re.sub(r"<[^>]*>", " ", article)).split())
         assert found[row.page_id] == expected
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<div style='overflow:hidden'>t</div>", "t"), ("<div class='overflow-hidden'>t</div>", "t"),
+        ("<div aria-hidden='false'>t</div>", "t"), ("<div data-x='hidden'>t</div>", "t"),
+        ("<body class='no-sidebar comments-open modal-open header-fixed search'>t</body>", "t"),
+        ("<main class='has-sidebar with-banner'>t</main>", "t"), ("<div id=content-sidebar>t</div>", "t"),
+        ("<article class='comments-open has-header'>t</article>", "t"),
+        ("<div aria-hidden=true>h</div><p style='color:red; display: none'>h</p>t", "t"),
+        ("<div class='x main-nav'>n</div><div class='site-footer'>f</div><div HIDDEN=''>h</div>t", "t"),
+    ],
+)
+def test_states_and_real_attributes(html, text):
+    assert text_of(html) == text
