@@ -20,8 +20,8 @@ other pages speak and ``CONSTANT`` of them agree; headings never are, since near
 A page alone on its host is judged by its elements only.
 
 Null or empty html gives an empty text; a null url is a host of its own kind (the empty host).
-Null page ids and repeated rows are passed through. Other columns are ignored. Elements nested
-deeper than ``DEEPEST`` count as lying at that depth.
+Null page ids and repeated rows are passed through. Other columns are ignored. Elements may be
+nested and nodes be wide to any extent: both are aligned exactly.
 """
 
 from __future__ import annotations
@@ -42,9 +42,8 @@ from surveyloom.sources.workspace import written
 
 LEAST_PAGES = 3
 CONSTANT = 0.95
-DEEPEST = 150
-#: Children of two nodes that are aligned one with another; beyond it only equal places are.
-WIDEST = 400
+#: Cells from which children of two nodes are aligned by rows in numpy.
+ROWWISE = 4096
 
 # Elements by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -147,6 +146,7 @@ def parse(html: str) -> Page:
     """The blocks of a page. Never fails: what is no markup is text."""
     page = Page(["#"], [-1], [False], [False], [])
     stack, tags = [0], ["#"]
+    open_at: dict[str, list[int]] = {}  # places of open elements by tag, innermost last
     text: list[str] = []
 
     def flush() -> None:
@@ -158,8 +158,13 @@ def parse(html: str) -> Page:
 
     def close(until: int) -> None:
         flush()
+        for tag in tags[until:]:
+            open_at[tag].pop()
         del stack[until:], tags[until:]
 
+    def innermost(*wanted: str) -> int:
+        return max((open_at[t][-1] for t in wanted if open_at.get(t)), default=0)
+
     tag_pattern, at, n = _TAG, 0, len(html)
     while at < n:
         mark = html.find("<", at)
@@ -194,8 +199,8 @@ def parse(html: str) -> Page:
         elif tag in INLINE:
             continue
         elif closing:
-            if tag in tags[1:]:
-                close(len(tags) - 1 - tags[::-1].index(tag))
+            if open_at.get(tag):
+                close(innermost(tag))
             else:
                 flush()
         elif tag in VOID:
@@ -203,12 +208,9 @@ def parse(html: str) -> Page:
         else:
             flush()
             if tag in SIBLINGS:
-                for k in range(len(tags) - 1, 0, -1):
-                    if tags[k] in SIBLINGS[tag]:
-                        close(k)
-                        break
-                    if tags[k] in ("ul", "ol", "dl", "table", "select"):
-                        break
+                sibling = innermost(*SIBLINGS[tag])
+                if sibling > innermost("ul", "ol", "dl", "table", "select"):
+                    close(sibling)
             elif tags[-1] == "p":
                 close(len(tags) - 1)
             label, other, head = _label(tag, attributes)
@@ -223,7 +225,8 @@ def parse(html: str) -> Page:
                 end = re.compile(f"</{tag}", re.I).search(html, at)
                 stop = html.find(">", end.start()) if end else -1
                 at = stop + 1 if stop >= 0 else n
-            elif not attributes.endswith("/") and len(stack) < DEEPEST:
+            elif not attributes.endswith("/"):
+                open_at.setdefault(tag, []).append(len(tags))
                 stack.append(len(page.labels) - 1)
                 tags.append(tag)
     flush()
@@ -272,44 +275,43 @@ def collapse(page: Page) -> tuple[Tree, list[int]]:
 def align(a: Tree, b: Tree) -> list[tuple[int, int]]:
     """Matching pairs of nodes by simple tree matching, so that as many as possible match."""
     below_a, below_b = _children(a), _children(b)
-    size: dict[tuple[int, int], int] = {}
-    tables: dict[tuple[int, int], np.ndarray] = {}
-
-    def match(x: int, y: int) -> int:
-        if a.labels[x] != b.labels[y]:
-            return 0
-        if (x, y) in size:
-            return size[x, y]
+    if a.labels[0] != b.labels[0]:
+        return []
+    # Every pair that can be met, from the root down; a node's number is above its parent's.
+    todo, met = [(0, 0)], {(0, 0)}
+    while todo:
+        x, y = todo.pop()
+        by_label: dict[str, list[int]] = {}
+        for j in below_b[y]:
+            if below_b[j]:
+                by_label.setdefault(b.labels[j], []).append(j)
+        for i in below_a[x] if by_label else ():
+            if below_a[i]:
+                new = [(i, j) for j in by_label.get(a.labels[i], ())]
+                met.update(new)
+                todo += new
+    size: dict[tuple[int, int], int] = {}  # of pairs that both have children; others match alone
+
+    def table(x: int, y: int) -> _Small | _Wide:
         left, right = below_a[x], below_b[y]
-        if len(left) * len(right) > WIDEST**2:
-            pairs = zip(left, right, strict=False)
-            found = 1 + sum(match(i, j) for i, j in pairs)
-        else:
-            table = [[0] * (len(right) + 1)]
-            for i in left:
-                above, row = table[-1], [0]
-                for k, j in enumerate(right):
-                    row.append(max(above[k + 1], row[k], above[k] + match(i, j)))
-                table.append(row)
-            tables[x, y] = table
-            found = 1 + table[-1][-1]
-        size[x, y] = found
-        return found
+        kind = _Small if len(left) * len(right) <= ROWWISE else _Wide
+        return kind(a, b, left, right, size)
 
+    for pair in sorted(met, reverse=True):
+        size[pair] = 1 + table(*pair).total
     out: list[tuple[int, int]] = []
-    todo = [(0, 0)] if match(0, 0) else []
+    todo = [(0, 0)]
     while todo:
         x, y = todo.pop()
         out.append((x, y))
-        left, right, table = below_a[x], below_b[y], tables.get((x, y))
-        if table is None:
-            todo += [(i, j) for i, j in zip(left, right, strict=False) if match(i, j)]
+        if not below_a[x] or not below_b[y]:
             continue
+        left, right, moves = below_a[x], below_b[y], table(x, y)
         i, j = len(left), len(right)
         while i and j:
-            if table[i][j] == table[i - 1][j]:
+            if moves.up(i, j):
                 i -= 1
-            elif table[i][j] == table[i][j - 1]:
+            elif moves.left(i, j):
                 j -= 1
             else:
                 i, j = i - 1, j - 1
@@ -317,6 +319,63 @@ def align(a: Tree, b: Tree) -> list[tuple[int, int]]:
     return out
 
 
+class _Small:
+    """Best matching of two lists of children, as a table."""
+
+    def __init__(
+        self, a: Tree, b: Tree, left: list[int], right: list[int], size: dict[tuple[int, int], int]
+    ) -> None:
+        self.rows = [[0] * (len(right) + 1)]
+        names = [b.labels[j] for j in right]
+        for i in left:
+            above, row, label = self.rows[-1], [0], a.labels[i]
+            for k, j in enumerate(right):
+                best = above[k + 1] if above[k + 1] > row[k] else row[k]
+                if names[k] == label:
+                    best = max(best, above[k] + size.get((i, j), 1))
+                row.append(best)
+            self.rows.append(row)
+        self.total = self.rows[-1][-1]
+
+    def up(self, i: int, j: int) -> bool:
+        return self.rows[i][j] == self.rows[i - 1][j]
+
+    def left(self, i: int, j: int) -> bool:
+        return self.rows[i][j] == self.rows[i][j - 1]
+
+
+class _Wide:
+    """The same for long lists: a row at a time, and two bits kept of each cell."""
+
+    def __init__(
+        self, a: Tree, b: Tree, left: list[int], right: list[int], size: dict[tuple[int, int], int]
+    ) -> None:
+        places: dict[str, list[int]] = {}
+        for k, j in enumerate(right):
+            places.setdefault(b.labels[j], []).append(k)
+        row = np.zeros(len(right) + 1, np.int64)
+        self.ups: list[np.ndarray] = []
+        self.lefts: list[np.ndarray] = []
+        for i in left:
+            new = row.copy()
+            of = places.get(a.labels[i], [])
+            if of:
+                at = np.array(of)
+                found = np.array([size.get((i, right[k]), 1) for k in of])
+                new[at + 1] = np.maximum(new[at + 1], row[at] + found)
+                new = np.maximum.accumulate(new)
+            self.ups.append(np.packbits(new == row))
+            self.lefts.append(np.packbits(np.concatenate([[False], new[1:] == new[:-1]])))
+            row = new
+        self.total = int(row[-1])
+
+    def up(self, i: int, j: int) -> bool:
+        return bool(self.ups[i - 1][j >> 3] >> (7 - (j & 7)) & 1)
+
+    def left(self, i: int, j: int) -> bool:
+        return bool(self.lefts[i - 1][j >> 3] >> (7 - (j & 7)) & 1)
+
+
 def _children(tree: Tree) -> list[list[int]]:
     out: list[list[int]] = [[] for _ in tree.labels]
     for node, parent in enumerate(tree.parents):

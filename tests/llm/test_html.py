@@ -138,3 +138,22 @@ def test_given_pages(spark):
 )
 def test_states_and_real_attributes(html, text):
     assert text_of(html) == text
+
+
+def test_deep_elements_close_themselves_only():
+    deep = "<div>" * 200 + "deep" + "</div>" * 200
+    assert text_of(f"<div id=page><article>{deep}after</article></div>out") == "deep after"
+    left_out = "<div>" * 200 + "<nav>menu</nav>t" + "</div>" * 200
+    assert text_of(left_out + "z") == "t z"
+    tree = hx.collapse(hx.parse("<div>" * 5000 + "x"))[0]
+    assert len(hx.align(tree, tree)) == 5001
+
+
+@pytest.mark.parametrize("rowwise", [4096, 0])
+def test_wide_nodes_are_aligned_exactly(rowwise, monkeypatch):
+    monkeypatch.setattr(hx, "ROWWISE", rowwise, raising=False)
+    parts = [f"<{tag}><h2>x</h2></{tag}>" for tag in ("div", "section")] * 250
+    a = hx.collapse(hx.parse("".join(parts)))[0]
+    b = hx.collapse(hx.parse("<p>new</p>" + "".join(parts)))[0]
+    assert len(hx.align(a, b)) == len(a.labels) == len(b.labels) - 1
+    test_alignment_matches_as_many_nodes_as_possible()
