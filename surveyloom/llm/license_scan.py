@@ -6,7 +6,9 @@ identifiers occur one after the other, with anything between them. Rules are tri
 all that match are reported, the first one is the licence of the text.
 
 Sentences end at a full stop, exclamation or question mark before white space, and at blank lines,
-so that sentences wrapped over lines are whole. Lines are looked at as well, for notices whose
+so that sentences wrapped over lines are whole. A line without letters and digits, such as one of
+comment marks, is blank. Known sentences of ``LONG`` words and more are cut out first, wherever they
+stand: no cut divides them, and no neighbour without a full stop hides them. Lines are looked at as well, for notices whose
 neighbours lack a full stop; sentences found as lines only come after the others, by name.
 
 All of it is SQL functions on the row of a document: no shuffle, no join. Null and empty texts give
@@ -90,6 +92,8 @@ RULES = (
 )
 
 BY_SENTENCE, BY_LINE = r"[.!?]+\s+|\n\s*\n", r"\n"
+#: Words from which a known sentence can be no part of another by chance.
+LONG = 12
 _BREAK = "\x01"
 _OTHER = r"[^\p{L}\p{N}" + _BREAK + r"]+"
 
@@ -100,10 +104,22 @@ def normalised(sentence: str) -> str:
 
 
 def known_sentences() -> dict[str, str]:
-    """Normalised sentence to identifier. Sentences that the cut divides are known by each part."""
+    """Normalised sentence to identifier."""
     return {normalised(text): name for name, text in SENTENCES}
 
 
+def _long_apart(text: Column) -> Column:
+    """A text in lower case with its long known sentences between breaks."""
+    out = F.regexp_replace(F.lower(text), r"\n[^\p{L}\p{N}\n\x01]+(?=\n)", "\n")
+    for sentence in known_sentences():
+        words = sentence.split()
+        if len(words) >= LONG:
+            pattern = r"[^\p{L}\p{N}\x01]++".join(words)
+            pattern = rf"(?<![\p{{L}}\p{{N}}]){pattern}(?![\p{{L}}\p{{N}}])"
+            out = F.regexp_replace(out, pattern, _BREAK + sentence + _BREAK)
+    return out
+
+
 def _parts(text: Column, boundary: str) -> Column:
     """Normalised parts of a text between boundaries."""
     marked = F.regexp_replace(F.lower(text), boundary, _BREAK)
@@ -129,10 +145,14 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     matches.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    found = docs.select(
-        F.col("doc_id").cast("long"),
-        _identified(_parts(text, BY_SENTENCE)).alias("in_sentences"),
-        _identified(_parts(text, BY_LINE)).alias("in_lines"),
+    # A generator is computed once; a projection would be put into both uses of it.
+    apart = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.explode(F.array(_long_apart(text))).alias("apart")
+    )
+    found = apart.select(
+        "doc_id",
+        _identified(_parts(F.col("apart"), BY_SENTENCE)).alias("in_sentences"),
+        _identified(_parts(F.col("apart"), BY_LINE)).alias("in_lines"),
     ).select(
         "doc_id",
         F.concat(

@@ -86,3 +86,49 @@ def test_no_python_in_the_plans(spark):
     for frame in (chat_format.conversation_digests(turns), license_scan.scan_licenses(docs)):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan
+
+
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+APACHE = """Copyright 2020 A. Person
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software"""
+MIT = """Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in
+all copies or substantial portions of the Software."""
+BSD = """Copyright (c) 2020 A. Person
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice"""
+
+
+def test_standard_headers_plain_and_in_comments(spark):
+    headers = {"MPL-2.0": (MPL, "mpl_header"), "Apache-2.0": (APACHE, "apache_header,apache_copy"),
+               "MIT": (MIT, "mit_grant,mit_notice_kept"), "BSD": (BSD, "bsd_grant")}
+    rows = []
+    for name, (text, ids) in headers.items():
+        for mark in ("", " * ", "# ", "// "):
+            body = "\n".join((mark + line).rstrip() for line in text.split("\n"))
+            rows.append((name, ids, f"/*\n{body}\n */\nint x = 1;"))
+    docs = spark.createDataFrame(
+        [(i, text) for i, (_, _, text) in enumerate(rows)], "doc_id long, text string"
+    )
+    found = {r.doc_id: r for r in license_scan.scan_licenses(docs).collect()}
+    for i, (name, ids, text) in enumerate(rows):
+        assert (found[i].license, found[i].sentence_ids) == (name, ids), text
