@@ -110,14 +110,17 @@ def known_sentences() -> dict[str, str]:
 
 def _long_apart(text: Column) -> Column:
     """A text in lower case with its long known sentences between breaks."""
-    out = F.regexp_replace(F.lower(text), r"\n[^\p{L}\p{N}\n\x01]+(?=\n)", "\n")
+    plain = out = F.regexp_replace(F.lower(text), r"\n[^\p{L}\p{N}\n\x01]+(?=\n)", "\n")
+    may_hold = F.lit(False)
     for sentence in known_sentences():
         words = sentence.split()
         if len(words) >= LONG:
             pattern = r"[^\p{L}\p{N}\x01]++".join(words)
             pattern = rf"(?<![\p{{L}}\p{{N}}]){pattern}(?![\p{{L}}\p{{N}}])"
             out = F.regexp_replace(out, pattern, _BREAK + sentence + _BREAK)
-    return out
+            # Texts without the longest word of any sentence are told without patterns.
+            may_hold = may_hold | F.lower(text).contains(max(words, key=len))
+    return F.when(may_hold, out).otherwise(plain)
 
 
 def _parts(text: Column, boundary: str) -> Column:
