@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from surveyloom.llm import chat_format, license_scan
+from surveyloom.llm import chat_format, license_scan, prefix_trie, url_filter
 from surveyloom.llm.bpe_automaton import encoding_digests
 from surveyloom.llm.decontaminate import find_leaks
+from surveyloom.llm.embedding_whitening import whiten
 from surveyloom.llm.html_extract import extract_text
 from surveyloom.llm.pii_crf import find_personal_data
 from surveyloom.llm.quality_classifier import score_documents
@@ -64,6 +65,18 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(_table(spark, sf_dir, "pages"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(_table(spark, sf_dir, "conversations"))
+
+
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -77,10 +90,15 @@ QUERIES: dict[str, Query] = {
         op8_license_scan,
         op9_benchmark_decontamination,
         op10_html_extraction,
+        op11_embedding_whitening,
+        op12_conversation_trie,
+        op13_url_filters,
     )
 }
 
 ORACLES: dict[str, str] = {
     "op6_chat_format": chat_format.ORACLE,
     "op8_license_scan": license_scan.oracle(),
+    "op12_conversation_trie": prefix_trie.ORACLE,
+    "op13_url_filters": url_filter.oracle(),
 }
