@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from surveyloom.functions.fixed_values import MIN_RESPONDENTS
 from surveyloom.operators import headers as hd
@@ -16,6 +18,7 @@ from surveyloom.sources.mapping import SurveyMapping, read_mapping
 
 log = logging.getLogger(__name__)
 
+SILVER = ("respondentes", "tecnologias")
 ANSWERS = "id_respondente string, categoria string, tecnologia string, ano int"
 
 
@@ -28,67 +31,112 @@ def resolved_columns(plan: DataFrame) -> dict[int, dict[str, str]]:
 
 
 def plan_editions(
-    spark: SparkSession, raw: Mapping[int, DataFrame], mapping: SurveyMapping
+    spark: SparkSession, headers: Mapping[int, Sequence[str]], mapping: SurveyMapping
 ) -> tuple[DataFrame, DataFrame]:
-    """Headers and column plan of the given raw editions."""
-    found = hd.header_frame(spark, {year: df.columns for year, df in raw.items()})
-    wanted = mapping.fields.where(mapping.fields.ano.isin(list(raw)))
+    """Header frame and column plan of editions, given their headers."""
+    found = hd.header_frame(spark, headers)
+    wanted = mapping.fields.where(mapping.fields.ano.isin(list(headers)))
     return found, hd.column_plan(found, wanted)
 
 
+@dataclass
+class Landed:
+    """Editions that share a header, landed by one job."""
+
+    rows: DataFrame
+    path: str
+
+
+def land_editions(
+    spark: SparkSession, paths: Mapping[int, str | Sequence[str]], mapping: SurveyMapping,
+    encoding: str = "UTF-8", strict: bool = True,
+) -> list[Landed]:
+    """Land all files, one job for each header and set of resolved columns.
+
+    Files are looked at once, all together. Those of one encoding and header are one scan whatever
+    their editions; the edition of a row is that of its file. Codes that an edition maps to other
+    columns of the same header make a group of their own. With ``strict`` a missing critical field
+    stops the job before anything is landed.
+    """
+    groups = bronze.group_files(spark, paths, encoding)
+    raw = [bronze.read_group(spark, group) for group in groups]
+    columns: list[dict[int, dict[str, str]]] = []
+    reports: list[DataFrame] = []
+    for group, df in zip(groups, raw):
+        names = [c for c in df.columns if c != bronze.EDITION]
+        found, plan = plan_editions(spark, {year: names for year in group.editions}, mapping)
+        if strict:
+            hd.require_critical(plan, mapping.critical)
+        columns.append(resolved_columns(plan))
+        reports.append(hd.plan_report(found, plan))
+    landed = []
+    for group, df, by_year in zip(groups, raw, columns):
+        alike: dict[tuple, list[int]] = {}
+        for year in group.editions:
+            alike.setdefault(tuple(sorted(by_year.get(year, {}).items())), []).append(year)
+        for resolved, years in alike.items():
+            part = df if len(alike) == 1 else df.where(F.col(bronze.EDITION).isin(years))
+            path = workspace.new_table_path(spark, "edicoes")
+            landed.append(Landed(bronze.land_group(part, dict(resolved), path), path))
+    for report in reports:
+        for row in report.orderBy("ano").collect():
+            log.info("edition %s", row.asDict())
+    return landed
+
+
 def bronze_to_silver(
-    spark: SparkSession, paths: Mapping[int, str], silver_base: str,
+    spark: SparkSession, paths: Mapping[int, str | Sequence[str]], silver_base: str,
     mapping: SurveyMapping | None = None, encoding: str = "UTF-8", strict: bool = True,
 ) -> dict[str, int]:
-    """Read one raw folder per edition and write both silver tables; returns rows written.
+    """Read the raw files of some editions and write both silver tables; returns rows written.
 
-    ``encoding="auto"`` falls back to Latin-1 for files that are not UTF-8. With ``strict`` a
-    missing critical field stops the job before anything is written.
+    Editions given replace those stored, others stay. ``encoding="auto"`` falls back to Latin-1 for
+    files that are not UTF-8. Keys are made from answers, so an edition loaded again keeps them.
     """
     configure(spark)
     mapping = mapping or read_mapping(spark)
-    raw = {
-        year: bronze.read_survey_csv_any(spark, path) if encoding == "auto"
-        else bronze.read_survey_csv(spark, path, encoding)
-        for year, path in paths.items()
-    }
-    found, plan = plan_editions(spark, raw, mapping)
-    if strict:
-        hd.require_critical(plan, mapping.critical)
-    columns = resolved_columns(plan)
-    landed = {year: workspace.new_table_path(spark, f"edicao-{year}") for year in raw}
-    editions = {
-        year: bronze.land_edition(df, columns.get(year, {}), year, landed[year])
-        for year, df in raw.items()
-    }
-    # Counts come from the footers of the landed files.
-    rows = {year: edition.count() for year, edition in editions.items()}
-    for row in hd.plan_report(found, plan, rows).orderBy("ano").collect():
-        log.info("edition %s", row.asDict())
-    written = {
-        "respondentes": sinks.write_table(
-            silver.align_union(silver.respondents(e, mapping.states) for e in editions.values()),
-            f"{silver_base}/respondentes",
-        )
-    }
-    items = [t for t in map(silver.technologies, editions.values()) if t is not None]
+    landed = land_editions(spark, paths, mapping, encoding, strict)
+    people = silver.align_union(silver.respondents(part.rows, mapping.states) for part in landed)
+    items = [t for t in (silver.technologies(part.rows) for part in landed) if t is not None]
     # Where no edition asked such a question the table is there, and empty.
     technologies = silver.align_union(items) if items else spark.createDataFrame([], ANSWERS)
-    written["tecnologias"] = sinks.write_table(technologies, f"{silver_base}/tecnologias")
-    for path in landed.values():
-        workspace.delete(spark, path)
+    years = list(paths)
+    written = {
+        "respondentes": sinks.replace_editions(people, f"{silver_base}/respondentes", years),
+        "tecnologias": sinks.replace_editions(technologies, f"{silver_base}/tecnologias", years),
+    }
+    for part in landed:
+        workspace.delete(spark, part.path)
     return written
 
 
 def silver_to_gold(
     spark: SparkSession, silver_base: str, gold_base: str, minimum: int = MIN_RESPONDENTS,
-    digits: int | None = None,
+    digits: int | None = None, years: Sequence[int] | None = None,
 ) -> dict[str, int]:
-    """Compute and write the seven gold tables; returns rows written per table."""
+    """Compute and write the seven gold tables; returns rows written per table.
+
+    Every gold figure is that of one edition, so with ``years`` only these are read and replaced;
+    without, editions that silver does not hold any more are removed.
+    """
     configure(spark)
     respondents = sinks.read_table(spark, f"{silver_base}/respondentes")
     items = spark.read.schema(ANSWERS).parquet(f"{silver_base}/tecnologias")
-    return {
-        name: sinks.write_table(sinks.sorted_by(df, gold.GOLD_ORDER[name]), f"{gold_base}/{name}")
-        for name, df in gold.all_tables(respondents, items, minimum, digits).items()
-    }
+    if years is not None:
+        respondents, items = (t.where(F.col("ano").isin(list(years))) for t in (respondents, items))
+    replaced = sinks.editions_in(spark, f"{silver_base}/respondentes") if years is None else years
+    out = {}
+    for name, df in gold.all_tables(respondents, items, minimum, digits).items():
+        path = f"{gold_base}/{name}"
+        out[name] = sinks.replace_editions(sinks.sorted_by(df, gold.GOLD_ORDER[name]), path, replaced)
+        if years is None:
+            gone = set(sinks.editions_in(spark, path)) - set(replaced)
+            sinks.remove_editions(spark, path, gone)
+    return out
+
+
+def drop_editions(spark: SparkSession, years: Sequence[int], *bases: str) -> None:
+    """Remove editions from every table below the given folders."""
+    for base in bases:
+        for name in (*SILVER, *gold.GOLD_ORDER):
+            sinks.remove_editions(spark, f"{base}/{name}", years)

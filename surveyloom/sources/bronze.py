@@ -2,29 +2,74 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from surveyloom.functions.text import strip_spaces
-from surveyloom.sources.workspace import new_table_path
+from surveyloom.sources.workspace import written
 
 FALLBACK_ENCODING = "ISO-8859-1"
+#: Four digits that are a number of their own.
+YEAR_IN_NAME = re.compile(r"(?<!\d)\d{4}(?!\d)")
+#: Column that tells the edition of a row's file.
+EDITION = "edicao_do_arquivo"
 
 
-def detect_encodings(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Files by encoding: UTF-8 where every line of a file is valid UTF-8, else Latin-1.
+@dataclass(frozen=True)
+class RawFile:
+    """What the one look at a raw file tells: its encoding and a digest of its header line."""
+
+    address: str
+    """As scans name it: characters such as blanks are encoded."""
+    year: int
+    encoding: str
+    header: str
+
+    @property
+    def path(self) -> str:
+        return unquote(self.address)
+
 
-    Reads the text once more; pass the encoding to ``read_survey_csv`` where it is known. One row
-    for each file comes back, as from any listing of a folder.
+def inspect_files(
+    spark: SparkSession, paths: Mapping[int, str | Sequence[str]]
+) -> list[RawFile]:
+    """Edition, encoding and header digest of every file, from one pass over the text.
+
+    A file is UTF-8 where every line is, else Latin-1. One row for each file comes back, as from any
+    listing of a folder.
     """
-    valid = F.bool_and(F.is_valid_utf8("value"))
-    files = spark.read.text(path).groupBy("_metadata.file_path").agg(valid.alias("utf8"))
+    editions = [
+        spark.read.text(given).select(
+            F.lit(year).alias("year"), "value", "_metadata.file_path", "_metadata.file_block_start",
+            F.monotonically_increasing_id().alias("place"),
+        )
+        for year, given in paths.items()
+    ]
+    lines = reduce(DataFrame.unionAll, editions)
+    first = F.min_by(F.struct("value"), F.struct("file_block_start", "place"))
+    files = lines.groupBy("year", "file_path").agg(
+        F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
+        F.sha2(first["value"].cast("binary"), 256).alias("header"),
+    )
+    return [
+        RawFile(
+            r["file_path"], r["year"], "UTF-8" if r["utf8"] else FALLBACK_ENCODING, r["header"]
+        )
+        for r in files.orderBy("file_path").collect()
+    ]
+
+
+def detect_encodings(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files by encoding. Reads the text once more; pass the encoding where it is known."""
     out: dict[str, list[str]] = {}
-    for row in files.orderBy("file_path").collect():
-        out.setdefault("UTF-8" if row["utf8"] else FALLBACK_ENCODING, []).append(row["file_path"])
+    for file in inspect_files(spark, {0: path}):
+        out.setdefault(file.encoding, []).append(file.path)
     return out
 
 
@@ -63,12 +108,43 @@ def read_survey_csv(
     )
 
 
-def read_raw_lines(spark: SparkSession, path: str, header_prefix: str | None = None) -> DataFrame:
-    """One string column with the lines of the files, for lineage; the header line is left out."""
-    lines = spark.read.text(path).withColumnRenamed("value", "linha_bruta")
-    if header_prefix is None:
-        header_prefix = lines.first()["linha_bruta"]
-    return lines.where(F.col("linha_bruta") != F.lit(header_prefix))
+def number_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(arquivo, linha, linha_bruta)`` of text files; the first line of a file is number 1.
+
+    Lines are landed with the block they stand in and their place in the task that read them.
+    Places of one block follow each other, so a line number is the lines of earlier blocks of the
+    file plus the distance from the first place: only counts of blocks are shuffled and joined.
+    """
+    landed = written(
+        spark.read.text(path).select(
+            F.col("_metadata.file_path").alias("arquivo"),
+            F.col("_metadata.file_block_start").alias("bloco"),
+            F.monotonically_increasing_id().alias("lugar"),
+            F.col("value").alias("linha_bruta"),
+        ),
+        "linhas",
+    )
+    blocks = landed.groupBy("arquivo", "bloco").agg(
+        F.min("lugar").alias("primeiro"), F.count(F.lit(1)).alias("linhas")
+    )
+    earlier = Window.partitionBy("arquivo").orderBy("bloco").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow - 1
+    )
+    offsets = blocks.withColumn("antes", F.coalesce(F.sum("linhas").over(earlier), F.lit(0)))
+    return landed.join(offsets, ["arquivo", "bloco"]).select(
+        "arquivo",
+        (F.col("antes") + F.col("lugar") - F.col("primeiro") + 1).alias("linha"),
+        "linha_bruta",
+    )
+
+
+def read_raw_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The lines of the files for lineage, without the header: the first line of each file.
+
+    A header is told by its place, so files may have different ones and a data line that reads like
+    a header stays.
+    """
+    return number_lines(spark, path).where(F.col("linha") > 1)
 
 
 def edition_path(base: str, year: int, folder: str = "edicao_{ano}") -> str:
@@ -76,23 +152,69 @@ def edition_path(base: str, year: int, folder: str = "edicao_{ano}") -> str:
     return f"{base.rstrip('/')}/{folder.format(ano=year)}"
 
 
+def files_of(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
+    """Files below a path; only folders are listed."""
+    return sorted(map(unquote, spark.read.text(path).inputFiles()))
+
+
+def editions_by_name(spark: SparkSession, folder: str) -> dict[int, list[str]]:
+    """CSV files of a folder by the year in their names; files without a year are left out."""
+    out: dict[int, list[str]] = {}
+    for file in files_of(spark, folder):
+        name = file.rsplit("/", 1)[-1]
+        year = YEAR_IN_NAME.search(name)
+        if year and name.lower().endswith(".csv"):
+            out.setdefault(int(year[0]), []).append(file)
+    return dict(sorted(out.items()))
+
+
 def locate_edition(spark: SparkSession, folder: str, year: int) -> str | None:
-    """First CSV file in a folder whose name contains the year; only names are read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*{year}*.csv")
-        .load(folder)
-        .agg(F.min("path").alias("path"))
-    )
-    return files.first()["path"]
+    """First CSV file in a folder whose name holds the year."""
+    return next(iter(editions_by_name(spark, folder).get(year, ())), None)
+
+
+@dataclass(frozen=True)
+class RawGroup:
+    """Files of one encoding and one header, of however many editions: one scan."""
+
+    encoding: str
+    files: list[RawFile]
+
+    @property
+    def editions(self) -> list[int]:
+        return sorted({file.year for file in self.files})
+
 
+def group_files(
+    spark: SparkSession, paths: Mapping[int, str | Sequence[str]], encoding: str = "auto"
+) -> list[RawGroup]:
+    """Files of all editions, grouped by encoding and header, after one look at each."""
+    groups: dict[tuple[str, str], list[RawFile]] = {}
+    for file in inspect_files(spark, paths):
+        kind = file.encoding if encoding == "auto" else encoding
+        groups.setdefault((kind, file.header), []).append(file)
+    return [RawGroup(kind, files) for (kind, _), files in groups.items()]
 
-def project_columns(raw: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+
+def read_group(spark: SparkSession, group: RawGroup) -> DataFrame:
+    """All files of a group in one read; ``edicao_do_arquivo`` is the edition of a row's file."""
+    raw = read_survey_csv(spark, [file.path for file in group.files], group.encoding)
+    address = F.col("_metadata.file_path")
+    of_year = {y: [f.address for f in group.files if f.year == y] for y in group.editions}
+    cases = [F.when(address.isin(files), F.lit(year)) for year, files in of_year.items()]
+    return raw.select("*", F.coalesce(*cases).alias(EDITION))
+
+
+def project_columns(
+    raw: DataFrame, columns: Mapping[str, str], kept: Sequence[Column] = ()
+) -> DataFrame:
     """Canonical names for the resolved columns, trimmed; blank text is NULL.
 
-    Back-ticks are doubled because headers may hold dots, quotes and back-ticks.
+    Back-ticks are doubled because headers may hold dots, quotes and back-ticks. Columns ``kept`` stay
+    as they are.
     """
     return raw.select(
+        *kept,
         *[
             F.nullif(strip_spaces(F.col(f"`{header.replace('`', '``')}`")), F.lit("")).alias(name)
             for name, header in columns.items()
@@ -118,16 +240,64 @@ def with_respondent_key(landed: DataFrame, year: int) -> DataFrame:
     )
 
 
-def land_edition(
-    raw: DataFrame, columns: Mapping[str, str], year: int, path: str | None = None
-) -> DataFrame:
-    """Write the needed columns of an edition as Parquet once and read them back with a key.
+def answers_digest(columns: Sequence[str]) -> Column:
+    """SHA-256 of all answers of a row, whatever the order of the columns; no answer is no text."""
+    parts = [
+        F.coalesce(F.concat(F.lit(f"{name}="), F.octet_length(name), F.lit(":"), F.col(name)), F.lit(""))
+        for name in sorted(columns)
+    ]
+    return F.sha2(F.concat(*parts) if parts else F.lit(""), 256)
+
+
+def with_content_key(landed: DataFrame, edition: str = "ano", block: int = 100_000) -> DataFrame:
+    """``id_respondente`` from the answers themselves, so that a second load gives the same keys.
+
+    The key is edition, digest of all answers, and a number among equal rows. Equal rows can't be told
+    apart, so it does not matter which gets which number, and the set of keys depends neither on
+    files nor on their order. They are numbered in blocks of a stored file: counts of a row's blocks
+    are added up in order, and inside a block rows are numbered by place. A row that fills a third
+    of the table is thus spread over its blocks; rows that occur once are not shuffled at all.
+    ``landed`` is a stored Parquet table, whose rows have a place.
+    """
+    answers = [c for c in landed.columns if c != edition]
+    placed = landed.select(
+        "*",
+        F.col("_metadata.file_path").alias("arquivo_"),
+        F.col("_metadata.row_index").alias("linha_"),
+        answers_digest(answers).alias("digesto_"),
+    )
+    keys = written(placed.select(edition, "digesto_", "arquivo_", "linha_"), "digestos").withColumn(
+        "bloco_", F.floor(F.col("linha_") / block)
+    )
+    content, where = [edition, "digesto_"], ["arquivo_", "bloco_"]
+    counts = keys.groupBy(*content, *where).agg(F.count(F.lit(1)).alias("linhas"))
+    same = Window.partitionBy(*content)
+    earlier = same.orderBy(*where).rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
+    repeated = counts.select(
+        *content, *where, F.sum("linhas").over(same).alias("todas"),
+        F.coalesce(F.sum("linhas").over(earlier), F.lit(0)).alias("antes"),
+    ).where("todas > 1").drop("todas")
+    # An edition is never null here, nor is a digest: plain equality will do.
+    in_block = Window.partitionBy(*content, *where).orderBy("linha_")
+    numbered = written(
+        keys.join(repeated, [*content, *where]).select(
+            "arquivo_", "linha_", (F.col("antes") + F.row_number().over(in_block)).alias("vez_")
+        ),
+        "repetidas",
+    )
+    key = F.concat_ws("-", edition, F.left("digesto_", F.lit(32)), F.coalesce("vez_", F.lit(1)))
+    return placed.join(numbered, ["arquivo_", "linha_"], "left").select(
+        edition, key.alias("id_respondente"), *answers
+    )
+
+
+def land_group(raw: DataFrame, columns: Mapping[str, str], path: str) -> DataFrame:
+    """Write the needed columns of all editions of a group as Parquet once; read them back with keys.
 
     Some 30 of 400 columns are kept, the unsplittable CSV is parsed a single time, and both silver
     tables start from the same stored rows.
     """
     spark = raw.sparkSession
-    target = path or new_table_path(spark, f"edicao-{year}")
-    projected = project_columns(raw, columns)
-    projected.write.mode("overwrite").parquet(target)
-    return with_respondent_key(spark.read.schema(projected.schema).parquet(target), year)
+    projected = project_columns(raw, columns, kept=[F.col(EDITION).alias("ano")])
+    projected.write.mode("overwrite").parquet(path)
+    return with_content_key(spark.read.schema(projected.schema).parquet(path))

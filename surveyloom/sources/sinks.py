@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from surveyloom.sources import workspace
+
 
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = ("ano",), rebalance: bool = False
@@ -27,6 +30,48 @@ def write_table(
     return seen.get["linhas"]
 
 
+def editions_in(spark: SparkSession, path: str, column: str = "ano") -> list[int]:
+    """Editions that a written table has a partition of, from the names of its folders."""
+    names = workspace.children(spark, path)
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{column}="))
+
+
+def remove_editions(
+    spark: SparkSession, path: str, years: Iterable[int], column: str = "ano"
+) -> None:
+    """Delete the partitions of some editions; those that do not exist are passed over."""
+    for year in years:
+        workspace.remove_folder(spark, f"{path}/{column}={int(year)}")
+    spark.catalog.refreshByPath(path)
+
+
+def replace_editions(
+    df: DataFrame, path: str, years: Iterable[int], column: str = "ano"
+) -> int:
+    """Put the rows of some editions in the place of those stored; returns the rows written.
+
+    Rows are first written in full to a staging folder inside the table's, which readers skip, so a
+    job that fails leaves the table as it was, and a table may be replaced by rows read from it.
+    Then each edition's folder is swapped by a rename. An edition without rows is removed; rows of
+    other editions than the given ones are refused.
+    """
+    spark, years = df.sparkSession, sorted(set(map(int, years)))
+    staged = f"{path}/{workspace.STAGING}{uuid.uuid4().hex}"
+    try:
+        rows = write_table(df, staged, (column,))
+        found = editions_in(spark, staged, column)
+        if set(found) - set(years):
+            raise ValueError(f"rows of editions {found}, expected only {years}")
+        remove_editions(spark, path, years, column)
+        for year in found:
+            name = f"{column}={year}"
+            workspace.move(spark, f"{staged}/{name}", f"{path}/{name}")
+    finally:
+        workspace.remove_folder(spark, staged)
+    spark.catalog.refreshByPath(path)
+    return rows
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A table written by ``write_table``; the edition comes back as a typed partition column."""
     return spark.read.parquet(path)
@@ -85,8 +130,9 @@ def publish_all(
 
 
 def register_partitions(spark: SparkSession, table: str) -> None:
-    """Let the catalog find partitions that were added to the folder."""
-    spark.sql(f"MSCK REPAIR TABLE {table}")
+    """Bring the catalog's partitions in line with the folder: late ones come in, removed ones go."""
+    spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    spark.catalog.refreshTable(table)
 
 
 def register_views(

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 FALLBACK = "spark.sql.warehouse.dir"
+#: Begin of the names of folders in which rows wait to be moved into a table; readers skip them.
+STAGING = "_preparo-"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -41,10 +43,40 @@ def written(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataF
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; empty where there is none."""
+    target, files = _folder(spark, path)
+    if not files.exists(target):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(target))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a partition or staging folder, as its name says; one that is not there is passed over."""
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    if "=" not in name and not name.startswith(STAGING):
+        raise ValueError(f"{path} is neither a partition nor a staging folder")
+    target, files = _folder(spark, path)
+    files.delete(target, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder within one file system; the folder above the target is made."""
+    old, files = _folder(spark, source)
+    new, _ = _folder(spark, target)
+    files.mkdirs(new.getParent())
+    if not files.rename(old, new):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def changed_at(spark: SparkSession, path: str) -> int:
     """When a file or folder was last changed, from its metadata; tells a table from its successor."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    target, files = _folder(spark, path)
     return files.getFileStatus(target).getModificationTime()
 
 
@@ -52,5 +84,5 @@ def delete(spark: SparkSession, path: str) -> None:
     """Delete a table that this library wrote below the shared folder; nothing else is touched."""
     if not path.startswith(f"{shared_folder(spark)}/"):
         raise ValueError(f"{path} is not below the shared folder")
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    target, files = _folder(spark, path)
+    files.delete(target, True)

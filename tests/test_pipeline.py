@@ -2,7 +2,7 @@
 
 import pytest
 from pyspark.sql import functions as F
-from survey_files import FLAT_2025, ROWS_2023, TUPLE, write_all, write_edition
+from survey_files import FLAT_2025, ROWS_2023, ROWS_2025, TUPLE, write_all, write_edition
 
 from surveyloom.operators import headers as hd
 from surveyloom.plans import pipeline, reports
@@ -86,7 +86,7 @@ def test_sources(spark, stored, folders):
     found = bronze.locate_edition(spark, str(folders / "bronze" / "edicao_2024"), 2024)
     assert found.endswith("pesquisa_2024_0.csv")
     lines = bronze.read_raw_lines(spark, stored["paths"][2025])
-    assert lines.columns == ["linha_bruta"] and lines.count() == 1
+    assert lines.columns == ["arquivo", "linha", "linha_bruta"] and lines.count() == 1
 
 
 def test_silver_tables(spark, stored):
@@ -211,3 +211,123 @@ def test_nothing_asked_leaves_an_empty_table(spark, folders, tmp_path):
     written = pipeline.bronze_to_silver(spark, {2023: str(tmp_path / "e")}, silver)
     assert written == {"respondentes": 3, "tecnologias": 0}
     assert pipeline.silver_to_gold(spark, silver, gold)["tecnologias"] == 0
+
+
+def test_lines_are_numbered_by_their_place(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n" + "1,2\n" * 3 + "x,y\n")
+    (tmp_path / "b.csv").write_text("".join(f"{n:06d}\n" for n in range(5000)))
+    (tmp_path / "c.csv").write_text("")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        found = bronze.number_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    by_file = {}
+    for r in found:
+        by_file.setdefault(r["arquivo"][-5:], {})[r["linha"]] = r["linha_bruta"]
+    assert by_file["a.csv"] == {1: "x,y", 2: "1,2", 3: "1,2", 4: "1,2", 5: "x,y"}
+    assert by_file["b.csv"] == {n + 1: f"{n:06d}" for n in range(5000)}
+    # A data line that reads like the header stays; the header of every file goes.
+    lines = bronze.read_raw_lines(spark, str(tmp_path)).collect()
+    assert len(lines) == 4 + 4999
+    assert sum(r["linha_bruta"] == "x,y" for r in lines) == 1
+
+
+def _keyed(spark, folder, rows, files):
+    write_edition(folder, "p_2023", TUPLE, rows, files=files)
+    landed = pipeline.land_editions(spark, {2023: str(folder)}, read_mapping(spark))
+    return [r for part in landed for r in part.rows.collect()]
+
+
+def test_keys_survive_a_second_landing(spark, tmp_path):
+    rows = [ROWS_2023[0] | {"1.a": str(n % 7)} for n in range(40)] + ROWS_2023[1:] * 9
+    first = _keyed(spark, tmp_path / "one", rows, 1)
+    second = _keyed(spark, tmp_path / "many", rows[::-1], 5)
+    assert len({r["id_respondente"] for r in first}) == len(first) == 58
+    assert sorted(map(str, first)) == sorted(map(str, second))
+    # Another answer changes the key of its own row alone.
+    third = _keyed(spark, tmp_path / "more", rows + [ROWS_2023[0] | {"1.a": "99"}], 3)
+    new = {r["id_respondente"] for r in third} - {r["id_respondente"] for r in first}
+    assert len(new) == 1 and len(third) == 59
+
+
+def test_equal_rows_are_numbered_through_blocks_and_files(spark, tmp_path):
+    same = spark.range(1000).select(F.lit(2023).alias("ano"), F.lit("sim").alias("resposta"))
+    other = spark.range(10).select(F.lit(2023).alias("ano"), F.col("id").cast("string").alias("resposta"))
+    same.repartition(7).unionByName(other).write.parquet(str(tmp_path / "t"))
+    landed = spark.read.parquet(str(tmp_path / "t"))
+    keys = [r["id_respondente"] for r in bronze.with_content_key(landed, block=30).collect()]
+    assert len(set(keys)) == 1010
+    hot = [k for k in keys if k[:37] == max(keys, key=[k[:37] for k in keys].count)[:37]]
+    assert sorted(int(k.rsplit("-", 1)[1]) for k in hot) == list(range(1, 1001))
+
+
+def test_one_job_lands_all_editions_of_a_header(spark, tmp_path):
+    for year in (2024, 2026, 2027):
+        write_edition(tmp_path / f"e{year}", f"p_{year}", FLAT_2025, ROWS_2025, files=2)
+    write_edition(tmp_path / "e2023", "p_2023", TUPLE, ROWS_2023)
+    write_edition(tmp_path / "e2027", "q 2027", FLAT_2025, ROWS_2025, "latin-1")
+    paths = {y: str(tmp_path / f"e{y}") for y in (2023, 2024, 2026, 2027)}
+    groups = bronze.group_files(spark, paths)
+    found = sorted((g.encoding, g.editions) for g in groups)
+    assert found == [("ISO-8859-1", [2027]), ("UTF-8", [2023]), ("UTF-8", [2024, 2026, 2027])]
+    one = next(g for g in groups if len(g.editions) == 3)
+    counted = bronze.read_group(spark, one).groupBy(bronze.EDITION).count().collect()
+    assert {r[0]: r[1] for r in counted} == {2024: 1, 2026: 1, 2027: 1}
+
+
+def test_files_are_found_by_the_year_in_their_names(spark, tmp_path):
+    for name in ("p_2023.csv", "p 2024 b.csv", "p_2024_a.csv", "v12023.csv", "notas.csv", "p_2025.txt"):
+        (tmp_path / name).write_text("x\n1\n")
+    found = bronze.editions_by_name(spark, str(tmp_path))
+    assert {y: [f.rsplit("/", 1)[1] for f in fs] for y, fs in found.items()} == {
+        2023: ["p_2023.csv"], 2024: ["p 2024 b.csv", "p_2024_a.csv"]}
+    assert bronze.locate_edition(spark, str(tmp_path), 2023).endswith("p_2023.csv")
+    assert bronze.locate_edition(spark, str(tmp_path), 2020) is None
+
+
+def test_reload_replaces_drops_and_adds_editions(spark, folders, tmp_path):
+    base = folders / "bronze"
+    silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    paths = {y: bronze.edition_path(str(base), y) for y in (2023, 2024)}
+    pipeline.bronze_to_silver(spark, paths, silver, encoding="auto")
+    pipeline.silver_to_gold(spark, silver, gold)
+    people = sinks.read_table(spark, f"{silver}/respondentes")
+    sinks.publish(spark, "recarga", "respondentes", people, f"{silver}/respondentes")
+    before = {r["id_respondente"] for r in people.where("ano = 2023").collect()}
+
+    write_edition(tmp_path / "novo", "p_2023", TUPLE, ROWS_2023[:2])
+    pipeline.bronze_to_silver(spark, {2023: str(tmp_path / "novo")}, silver)
+    pipeline.silver_to_gold(spark, silver, gold, years=[2023])
+    late = {2025: bronze.edition_path(str(base), 2025)}
+    pipeline.bronze_to_silver(spark, late, silver)
+    pipeline.silver_to_gold(spark, silver, gold, years=[2025])
+    pipeline.drop_editions(spark, [2024], silver, gold)
+    sinks.register_partitions(spark, "recarga.respondentes")
+    now = spark.table("recarga.respondentes")
+    assert {r["ano"]: r["count"] for r in now.groupBy("ano").count().collect()} == {2023: 2, 2025: 1}
+    assert {r["id_respondente"] for r in now.where("ano = 2023").collect()} < before
+    parts = [r[0] for r in spark.sql("SHOW PARTITIONS recarga.respondentes").collect()]
+    assert sorted(parts) == ["ano=2023", "ano=2025"]
+    profile = sinks.read_table(spark, f"{gold}/perfil_mercado")
+    assert {r["ano"] for r in profile.collect()} == {2023, 2025}
+    assert not [n for n in (tmp_path / "silver" / "respondentes").iterdir() if n.name.startswith("_preparo")]
+
+
+def test_failed_replacement_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    frame = spark.range(4).select((F.col("id") % 2 + 2023).cast("int").alias("ano"), "id")
+    assert sinks.replace_editions(frame, path, [2023, 2024]) == 4
+    with pytest.raises(ValueError, match="expected only"):
+        sinks.replace_editions(frame, path, [2023])
+    broken = frame.withColumn("id", F.raise_error(F.lit("no")).cast("long"))
+    with pytest.raises(Exception, match="no"):
+        sinks.replace_editions(broken, path, [2023, 2024])
+    assert sinks.read_table(spark, path).count() == 4
+    # Rows read from the table itself; an edition that has none left goes.
+    kept = sinks.read_table(spark, path).where("ano = 2023 AND id = 0").select("ano", "id")
+    assert sinks.replace_editions(kept, path, [2023, 2024]) == 1
+    assert sinks.editions_in(spark, path) == [2023]
+    assert [tuple(r) for r in sinks.read_table(spark, path).select("ano", "id").collect()] == [(2023, 0)]

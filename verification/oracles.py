@@ -344,6 +344,26 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 3, p_name, NULL, NULL, p_size FROM part""",
     "respondent_key": """SELECT o_orderstatus, count(*) AS linhas, count(*) AS chaves
       FROM orders GROUP BY ALL""",
+    "content_key": f"""SELECT ano, estado, prioridade, cliente, ano || '-' || left(digest, 32) || '-'
+        || row_number() OVER (PARTITION BY ano, digest) AS id_respondente
+      FROM (SELECT *, sha256('cliente=' || length(cliente) || ':' || cliente || 'estado='
+          || length(estado) || ':' || estado
+          || coalesce('prioridade=' || length(prioridade) || ':' || prioridade, '')) AS digest
+        FROM (SELECT {YEAR} AS ano, o_orderstatus AS estado, CAST(o_custkey % 50 AS VARCHAR) AS cliente,
+          CASE WHEN o_custkey % 3 > 0 THEN o_orderpriority END AS prioridade FROM orders))""",
+    "raw_lines": f"""SELECT {YEAR} AS ano, count(*) AS linhas, count(*) AS lugares,
+      CAST(2 AS BIGINT) AS primeira FROM orders GROUP BY ALL""",
+    "edition_routing": with_([RESP], """SELECT ano, count(*) AS respondentes,
+      count(cargo) AS com_cargo FROM resp GROUP BY ano"""),
+    "reload_silver": with_([RESP, ITEMS], """SELECT r.ano, senioridade, count(*) AS respondentes,
+      count(cargo) AS com_cargo, CAST(sum(n) AS BIGINT) AS mencoes FROM resp r
+      LEFT JOIN (SELECT ano, id_respondente, count(*) AS n FROM items GROUP BY ALL) i
+        ON r.ano = i.ano AND r.id_respondente = i.id_respondente
+      WHERE r.ano IN (1997, 1998) OR r.ano = 1996 AND cargo IS NOT NULL GROUP BY ALL"""),
+    "reload_gold": with_(
+      [RESP.replace("resp AS", "everyone AS"), """resp AS (SELECT * FROM everyone
+        WHERE ano IN (1997, 1998) OR ano = 1996 AND cargo IS NOT NULL)""", PROFILE],
+      "SELECT * FROM profile"),
     # Column metadata
     "header_parse": with_([HEADERS], """SELECT ano, posicao, codigo_questao, rotulo
       FROM headers"""),
