@@ -99,11 +99,11 @@ def pipeline_folders(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     key = star.version(spark, sf_dir)
     if key not in _done:
         base = new_table_path(spark, "pesquisa")
-        paths = write_editions(spark, sf_dir, f"{base}/bronze")
-        write_mapping(spark, list(paths), folders["mapeamento"])
         folders = {
             name: f"{base}/{name}" for name in ("bronze", "mapeamento", "silver", "gold", "csv")
         }
+        paths = write_editions(spark, sf_dir, folders["bronze"])
+        write_mapping(spark, list(paths), folders["mapeamento"])
         pipeline.bronze_to_silver(
             spark, paths, folders["silver"], read_mapping(spark, folders["mapeamento"]), "auto"
         )
