@@ -33,10 +33,14 @@ def resolved_columns(plan: DataFrame) -> dict[int, dict[str, str]]:
 def plan_editions(
     spark: SparkSession, headers: Mapping[int, Sequence[str]], mapping: SurveyMapping
 ) -> tuple[DataFrame, DataFrame]:
-    """Header frame and column plan of editions, given their headers."""
+    """Header frame and column plan of editions, given their headers.
+
+    The plan has a row for each field and edition; it is computed once and then a local frame.
+    """
     found = hd.header_frame(spark, headers)
     wanted = mapping.fields.where(mapping.fields.ano.isin(list(headers)))
-    return found, hd.column_plan(found, wanted)
+    plan = hd.column_plan(found, wanted)
+    return found, spark.createDataFrame(plan.collect(), plan.schema)
 
 
 @dataclass
@@ -60,27 +64,34 @@ def land_editions(
     """
     groups = bronze.group_files(spark, paths, encoding)
     raw = [bronze.read_group(spark, group) for group in groups]
-    columns: list[dict[int, dict[str, str]]] = []
-    reports: list[DataFrame] = []
-    for group, df in zip(groups, raw):
-        names = [c for c in df.columns if c != bronze.EDITION]
-        found, plan = plan_editions(spark, {year: names for year in group.editions}, mapping)
+    names = [tuple(c for c in df.columns if c != bronze.EDITION) for df in raw]
+    # One plan for all, unless an edition has files of different headers.
+    plans: list[dict[int, tuple[str, ...]]] = []
+    for group, columns in zip(groups, names):
+        for year in group.editions:
+            fitting = (p for p in plans if p.get(year, columns) == columns)
+            if (plan := next(fitting, None)) is None:
+                plans.append(plan := {})
+            plan[year] = columns
+    resolved: dict[tuple[int, tuple[str, ...]], dict[str, str]] = {}
+    for headers in plans:
+        found, plan = plan_editions(spark, headers, mapping)
         if strict:
             hd.require_critical(plan, mapping.critical)
-        columns.append(resolved_columns(plan))
-        reports.append(hd.plan_report(found, plan))
+        by_year = resolved_columns(plan)
+        resolved |= {(year, columns): by_year.get(year, {}) for year, columns in headers.items()}
+        for row in hd.plan_report(found, plan).orderBy("ano").collect():
+            log.info("edition %s", row.asDict())
     landed = []
-    for group, df, by_year in zip(groups, raw, columns):
+    for group, df, columns in zip(groups, raw, names):
         alike: dict[tuple, list[int]] = {}
         for year in group.editions:
-            alike.setdefault(tuple(sorted(by_year.get(year, {}).items())), []).append(year)
-        for resolved, years in alike.items():
+            fields = tuple(sorted(resolved[year, columns].items()))
+            alike.setdefault(fields, []).append(year)
+        for fields, years in alike.items():
             part = df if len(alike) == 1 else df.where(F.col(bronze.EDITION).isin(years))
             path = workspace.new_table_path(spark, "edicoes")
-            landed.append(Landed(bronze.land_group(part, dict(resolved), path), path))
-    for report in reports:
-        for row in report.orderBy("ano").collect():
-            log.info("edition %s", row.asDict())
+            landed.append(Landed(bronze.land_group(part, dict(fields), path), path))
     return landed
 
 
