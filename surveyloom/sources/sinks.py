@@ -77,6 +77,21 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def store_in_buckets(
+    df: DataFrame, table: str, key: str = "id_respondente", buckets: int = 200,
+    partition_by: Sequence[str] = ("ano",),
+) -> DataFrame:
+    """Store a catalog table in buckets by a key, sorted, and return it.
+
+    Tables with equal buckets join on the key without a shuffle, as often as they are read. The rows
+    of a bucket meet in one task before they are written, so a bucket is one file in each partition.
+    """
+    dealt = df.repartition(buckets, key)
+    writer = dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    writer.partitionBy(*partition_by).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def sorted_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Sort by several keys; a leading minus means descending."""
     return df.orderBy(*[F.col(k[1:]).desc() if k.startswith("-") else F.col(k).asc() for k in keys])

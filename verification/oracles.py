@@ -581,3 +581,22 @@ ORACLES: dict[str, str] = {
       "work", "regiao", "forma_trabalho", ["Hibrido", "Presencial", "Remoto", "Outro"],
       f"regiao <> {NI} AND {latest('work')}")),
 }
+
+ORACLES |= {
+    # The same facts from SQL text in Spark; all of one catalog, whose answers are those of orders.
+    f"sql_{name}": ORACLES[name].replace(LINE_ITEMS, ITEMS)
+    for name in (
+        "coverage", "mix_by_year", "top_roles", "pay_by_role", "pay_progress", "pay_return",
+        "female_share", "pay_gap", "top_tech", "tech_growth", "comparability", "adoption_by_level",
+        "impact_by_level", "use_type_share", "region_work_model", "region_share", "work_model_pay",
+        "sector_pay",
+    )
+}
+ORACLES |= {
+    "sql_median": ORACLES["median_of_bands"], "sql_split": ORACLES["split_multi"],
+    "silver_join_buckets": ORACLES["silver_join"], "adoption_rank_range": ORACLES["adoption_rank"],
+    "adopters_over_editions": """SELECT p_type AS categoria, p_brand AS tecnologia,
+      count(DISTINCT o_custkey) AS pessoas, count(DISTINCT year(o_orderdate)) AS edicoes,
+      TRUE AS perto FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+      JOIN part ON l_partkey = p_partkey GROUP BY ALL""",
+}

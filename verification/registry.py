@@ -19,7 +19,7 @@ from surveyloom.plans import chart_frames as charts
 from surveyloom.plans import gold, reports
 from surveyloom.plans.silver import align_union
 from surveyloom.sources.bronze import with_respondent_key
-from verification import raw_editions
+from verification import raw_editions, sql_layer
 from verification import star_survey as star
 from verification.star_survey import editions_of, table
 
@@ -509,7 +509,7 @@ for _name, _source, _report in (
     _register(_name, _source, _report)
 
 
-for _query in raw_editions.QUERIES:
+for _query in (*raw_editions.QUERIES, *sql_layer.QUERIES):
     query(_query)
 
 
