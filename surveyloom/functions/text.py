@@ -8,7 +8,7 @@ from the Unicode database when the module is imported.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
 from string import ascii_lowercase, digits
 
 from pyspark.sql import Column, DataFrame
@@ -33,48 +33,57 @@ _SURELY_ANSWERED = (
     "(?i)[" + "".join(sorted(set(ascii_lowercase + digits) - set("".join(MISSING_TOKENS)))) + "]"
 )
 
-# Blocks whose characters are folded: Latin, combining marks, punctuation, number forms, ligatures
-# and full-width ASCII. Every rule of this package compares with ASCII text.
-_FOLDED_BLOCKS = (
-    (0x00A1, 0x024F),
-    (0x0300, 0x036F),
-    (0x1E00, 0x1EFF),
-    (0x2010, 0x218F),
-    (0xFB00, 0xFB06),
-    (0xFF01, 0xFF5E),
-)
+_LAST_POINT = 0x10FFFF
+_SURROGATES = range(0xD800, 0xE000)
+
+# Hangul syllables, by the arithmetic that composes them: a lead, a vowel and maybe a tail.
+_SYLLABLES, _VOWELS, _TAILS = (0xAC00, 0xD7A3), 21, 28
+_LEAD_JAMO, _VOWEL_JAMO, _TAIL_JAMO = 0x1100, 0x1161, 0x11A7
+
 
+def _folding_tables() -> tuple[dict[str, str], dict[str, str]]:
+    """Characters that become one or none, and those that become several, of all code points.
 
-def _folding_tables() -> tuple[dict[str, str], list[tuple[str, str]]]:
-    """Single-character replacements (``""`` = drop) and the rarer one-to-many expansions."""
+    Compatibility decomposition without combining marks. Surrogates are no characters; syllables of
+    Hangul are left to arithmetic, and spaces to the caller.
+    """
     single: dict[str, str] = {}
-    expanding: list[tuple[str, str]] = []
-    for first, last in _FOLDED_BLOCKS:
-        for point in range(first, last + 1):
-            char = chr(point)
-            if char.isspace():
-                continue
-            parts = unicodedata.normalize("NFKD", char)
-            plain = "".join(c for c in parts if not unicodedata.combining(c))
-            if plain == char:
-                continue
-            if len(plain) <= 1:
-                single[char] = plain
-            else:
-                expanding.append((char, plain))
-    return single, expanding
-
-
-_SINGLE, _EXPANDING = _folding_tables()
+    several: dict[str, str] = {}
+    for point in range(0x80, _LAST_POINT + 1):
+        if point in _SURROGATES or _SYLLABLES[0] <= point <= _SYLLABLES[1]:
+            continue
+        char = chr(point)
+        if not unicodedata.combining(char) and not unicodedata.decomposition(char):
+            continue
+        if char.isspace():
+            continue
+        parts = unicodedata.normalize("NFKD", char)
+        plain = "".join(c for c in parts if not unicodedata.combining(c))
+        if plain != char:
+            (single if len(plain) <= 1 else several)[char] = plain
+    return single, several
+
+
+_SINGLE, _SEVERAL = _folding_tables()
 _SINGLE.update((space, " ") for space in _WIDE_SPACES + "\t\n\x0b\f\r\x1c\x1d\x1e\x1f")
-_KEPT = [c for c, plain in _SINGLE.items() if plain]
-_DROPPED = [c for c, plain in _SINGLE.items() if not plain]
-# translate() deletes the characters of the first string that have no partner in the second.
-_FROM = "".join(_KEPT + _DROPPED)
-_TO = "".join(_SINGLE[c] for c in _KEPT)
 
 
-def _exactly(chars: list[str]) -> str:
+def _translation(table: Mapping[str, str]) -> tuple[str, str]:
+    """Arguments of ``translate``: it deletes characters of the first that have no partner."""
+    kept = [c for c, plain in table.items() if plain]
+    dropped = [c for c, plain in table.items() if not plain]
+    return "".join(kept + dropped), "".join(table[c] for c in kept)
+
+
+_FROM, _TO = _translation(_SINGLE)
+#: The first, second, ... character of each expansion, dropped where an expansion is shorter.
+_NTH = [
+    _translation({c: plain[n : n + 1] for c, plain in _SEVERAL.items()})
+    for n in range(max(map(len, _SEVERAL.values())))
+]
+
+
+def _exactly(chars: Iterable[str]) -> str:
     """Regex class of exactly these characters."""
     points = sorted(map(ord, chars))
     spans = [[points[0], points[0]]]
@@ -83,31 +92,71 @@ def _exactly(chars: list[str]) -> str:
             spans[-1][1] = point
         else:
             spans.append([point, point])
-    return "[" + "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in spans) + "]"
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in spans) + "]"
 
 
 _CONTROL_SPACE = r"[\t-\r\x1c-\x1f]"
-_EXPANDS = _exactly([c for c, _ in _EXPANDING])
-# A cut on either side of each character that expands.
-_AROUND = f"(?<={_EXPANDS})|(?={_EXPANDS})"
+_EXPANDS = _exactly(_SEVERAL)
+_LOW = [c for c in _SEVERAL if ord(c) < 0x130]
+# Few characters of accented Latin text lie here, so that most rows never meet the exact class.
+_MAY_EXPAND = "[" + "".join(_LOW) + r"\x{130}-\x{10ffff}]"
+_SYLLABLE = rf"[\x{{{_SYLLABLES[0]:x}}}-\x{{{_SYLLABLES[1]:x}}}]"
+
+
+def _jamo(syllable: Column) -> Column:
+    """Lead, vowel and tail of one syllable."""
+    number = F.ascii(syllable) - _SYLLABLES[0]
+    leads, vowels, tails = (
+        F.lit("".join(map(chr, range(first, first + count))))
+        for first, count in ((_LEAD_JAMO, 19), (_VOWEL_JAMO, _VOWELS), (_TAIL_JAMO + 1, _TAILS - 1))
+    )
+    one = F.lit(1)
+    tail = number % _TAILS
+    lead = (number / (_VOWELS * _TAILS)).cast("int")
+    vowel = (number % (_VOWELS * _TAILS) / _TAILS).cast("int")
+    return F.concat(
+        F.substr(leads, lead + 1, one), F.substr(vowels, vowel + 1, one),
+        F.when(tail > 0, F.substr(tails, tail, one)).otherwise(""),
+    )
+
+
+def _expansion(char: Column) -> Column:
+    return F.concat(*[F.translate(char, *nth) for nth in _NTH])
+
+
+def _replace_each(text: Column, one: str, replace: Callable[[Column], Column]) -> Column:
+    """The text with each character of a class replaced: cut before them, looked up, joined."""
+
+    def replaced(piece: Column) -> Column:
+        first = replace(F.left(piece, F.lit(1)))
+        return F.concat(first, F.substr(piece, F.lit(2)))
+
+    pieces = F.transform(
+        F.split(text, f"(?={one})"), lambda p: F.when(p.rlike(f"^{one}"), replaced(p)).otherwise(p)
+    )
+    return F.array_join(pieces, "")
 
 
 def fold_accents(text: Column) -> Column:
     """Compatibility-decompose, drop combining marks (``Sênior`` -> ``Senior``), unify white space.
 
-    ASCII rows pass through. Ligatures and fractions become several characters, which ``translate``
-    cannot do: the rare rows that hold one are cut around them, each is looked up, and the pieces
-    are joined again. All steps take time in proportion to the text.
+    ASCII rows pass through, and characters that become one other or none are looked up in one
+    ``translate``. Rare rows hold some that become several: they are cut around these, and each of
+    those is looked up place by place of its expansion. Hangul follows from arithmetic. All steps take
+    time in proportion to the text.
     """
-    longer = F.create_map(*[F.lit(x) for pair in _EXPANDING for x in pair])
-    pieces = F.transform(
-        F.split(text, _AROUND), lambda p: F.coalesce(F.try_element_at(longer, p), p)
-    )
-    expanded = F.when(text.rlike(_EXPANDS), F.array_join(pieces, "")).otherwise(text)
+    holds = text.rlike(_MAY_EXPAND)
+    expanded = F.when(
+        holds & text.rlike(_EXPANDS), _replace_each(text, _EXPANDS, _expansion)
+    ).otherwise(text)
+    # No expansion holds a syllable, so what is cut here was in the text.
+    decomposed = F.when(
+        holds & text.rlike(_SYLLABLE), _replace_each(expanded, _SYLLABLE, _jamo)
+    ).otherwise(expanded)
     # More bytes than characters: not ASCII. Told without decoding the text.
     wide = F.octet_length(text) > F.length(text)
     return F.when(
-        wide | text.rlike(_CONTROL_SPACE), F.translate(expanded, _FROM, _TO)
+        wide | text.rlike(_CONTROL_SPACE), F.translate(decomposed, _FROM, _TO)
     ).otherwise(text)
 
 

@@ -213,3 +213,25 @@ def test_folding_takes_linear_time(spark, letter):
 def test_type_suffixes_are_no_numbers(apply):
     values = ["34d", "34f", "34.0", " 7 ", "n/d", "NaN", "1e2", "-3", "", None]
     assert apply(text.to_integer, values) == [None, None, 34, 7, None, None, 100, -3, None, None]
+
+
+def test_folding_of_every_code_point(spark):
+    """Against Unicode's own tables, one row for each block of 256 code points."""
+    from surveyloom.functions.text import fold_accents
+
+    points = [p for p in range(1, 0x110000) if not 0xD800 <= p < 0xE000]
+    texts = ["".join(f"{chr(p)}|" for p in points[i:i + 256]) for i in range(0, len(points), 256)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(8)
+    folded = dict(rows.select("i", fold_accents(F.col("t")).alias("f")).collect())
+
+    def expected(char):
+        if char.isspace():
+            return " "
+        return "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
+
+    wrong = []
+    for i, text in enumerate(texts):
+        want = "".join(expected(c) for c in text)
+        if folded[i] != want:
+            wrong += [hex(ord(c)) for c, got in zip(text[::2], folded[i].split("|")) if got != expected(c)]
+    assert wrong == []
