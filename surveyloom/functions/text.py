@@ -76,11 +76,15 @@ def _translation(table: Mapping[str, str]) -> tuple[str, str]:
 
 
 _FROM, _TO = _translation(_SINGLE)
-#: The first, second, ... character of each expansion, dropped where an expansion is shorter.
+_SHORT = 3
+#: The first, second and third character of each short expansion, dropped where there is none.
 _NTH = [
-    _translation({c: plain[n : n + 1] for c, plain in _SEVERAL.items()})
-    for n in range(max(map(len, _SEVERAL.values())))
+    _translation({c: plain[n : n + 1] for c, plain in _SEVERAL.items() if len(plain) <= _SHORT})
+    for n in range(_SHORT)
 ]
+_LONGER = {c: plain for c, plain in _SEVERAL.items() if len(plain) > _SHORT}
+#: Longer expansions behind a mark and their character, one after the other.
+_PACKED = "".join(f"\x01{c}{plain}" for c, plain in _LONGER.items()) + "\x01"
 
 
 def _exactly(chars: Iterable[str]) -> str:
@@ -121,7 +125,11 @@ def _jamo(syllable: Column) -> Column:
 
 
 def _expansion(char: Column) -> Column:
-    return F.concat(*[F.translate(char, *nth) for nth in _NTH])
+    mark = F.concat(F.lit("\x01"), char)
+    behind = F.call_function("substring_index", F.lit(_PACKED), mark, F.lit(-1))
+    longer = F.substring_index(behind, "\x01", 1)
+    short = F.concat(*[F.translate(char, *nth) for nth in _NTH])
+    return F.when(F.contains(F.lit("".join(_LONGER)), char), longer).otherwise(short)
 
 
 def _replace_each(text: Column, one: str, replace: Callable[[Column], Column]) -> Column:
