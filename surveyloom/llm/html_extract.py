@@ -1,23 +1,35 @@
 """HTML extraction by wrapper induction over the pages of a host.
 
-Pages of a host are laid out by one program, so their DOM trees align. The tree of one page of each
-host is its wrapper; every other page is aligned with it by simple tree matching: two nodes match if
-their labels do, and their children are matched in order so that as many nodes as possible match. A
-text slot of the wrapper that holds the same text on (nearly) all pages is template; slots that vary
-are content. What a slot's place says stands beside that: menus, page headers, footers, sidebars,
-notices, adverts, forms, comments and the like vary too, and are left out by element, class, id or
-role. Where a page has an article or main element, content is looked for there.
+Pages of one layout of a host are made by one program, so their DOM trees align. The wrapper of a
+layout is a tree grown over several of its pages; every page is aligned with it by simple tree
+matching: two nodes match if their elements do, and their children are matched in order so that as
+many nodes as possible match, those of equal class names first. A text slot of the wrapper that holds
+the same text on (nearly) all pages is template; slots that vary are content. What a slot's place
+says stands beside that: menus, page headers, footers, sidebars, notices, adverts, forms, comments and
+the like vary too, and are left out by element, class, id or role. Where a page has an article or
+main element, content is looked for there.
+
+**Layouts.** Pages of a host are grouped by the elements and names at the top of their trees (names
+of html and body apart, which tell sections). Groups of fewer than ``LEAST_PAGES`` other pages are put
+together by elements alone, and what is left by host. A wrapper starts from the page of least hash
+and grows by the least page of each of ``GROWN - 1`` shares of the group: nodes that do not match are
+put in where they stand.
 
 **Trees** hold block elements only; formatting within a line belongs to the text of its block, and
 neighbours of one label are one node, the repeated item of a list. A page's tree is a few dozen
 labels and text hashes, so matching ships these and not the pages: trees are joined with the wrapper
-of their host (a skewed join that adaptive execution splits for a large host), counts per slot are
+of their layout (a skewed join that adaptive execution splits for a large host), counts per slot are
 combined before they are shuffled, and only pages that do hold template text get a row back.
+Equal subtrees are one class, and classes are compared, not nodes; lists of children lose their
+common begin and end first, and long rests are divided (Hirschberg), so memory follows the page.
 
-**When nothing is template.** Pages that equal the wrapper page in all their text say nothing, so
-copies of one page do not make it template. A slot is template only if at least ``LEAST_PAGES``
-other pages speak and ``CONSTANT`` of them agree; headings never are, since near copies share them.
-A page alone on its host is judged by its elements only.
+**When nothing is template.** Equal pages are counted once, and pages that equal the wrapper in all
+their text say nothing. A slot is template only if at least ``LEAST_PAGES`` pages and ``SHARE`` of the
+layout's pages hold it and ``CONSTANT`` of these agree; headings never are, since near copies share
+them. A page alone on its host is judged by its elements only.
+
+**Forms** are left out unless an article or main element stands in them or more than half of the
+page's text does: some servers put a form around the whole page.
 
 Null or empty html gives an empty text; a null url is a host of its own kind (the empty host).
 Null page ids and repeated rows are passed through. Other columns are ignored. Elements may be
@@ -42,8 +54,16 @@ from surveyloom.sources.workspace import written
 
 LEAST_PAGES = 3
 CONSTANT = 0.95
-#: Cells from which children of two nodes are aligned by rows in numpy.
-ROWWISE = 4096
+#: Share of a layout's pages that a template slot stands on.
+SHARE = 0.2
+#: Pages that a wrapper is grown from.
+GROWN = 16
+#: Depth down to which elements tell a layout; the children of body are at 3.
+LAYOUT_DEPTH = 3
+#: Cells up to which children of two nodes are aligned by a table; beyond, lists are divided.
+TABLE = 1 << 20
+#: Weight of a matched node; class names decide among as many nodes.
+NODE = 1 << 24
 
 # Elements by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -53,7 +73,7 @@ INLINE = frozenset(
     "small span strike strong sub sup time tt u var wbr img ruby rt rp".split()
 )
 LEFT_OUT = frozenset(
-    "head script style title noscript template nav footer aside form button select option "
+    "head script style title noscript template nav footer aside button select option "
     "textarea input iframe object embed svg math canvas audio video menu dialog fieldset map "
     "noembed noframes xmp".split()
 )
@@ -146,6 +166,7 @@ def parse(html: str) -> Page:
     """The blocks of a page. Never fails: what is no markup is text."""
     page = Page(["#"], [-1], [False], [False], [])
     stack, tags = [0], ["#"]
+    forms: list[int] = []
     open_at: dict[str, list[int]] = {}  # places of open elements by tag, innermost last
     text: list[str] = []
 
@@ -220,7 +241,9 @@ def parse(html: str) -> Page:
             page.labels.append(label)
             page.parents.append(parent)
             page.left_out.append(page.left_out[parent] or out)
-            page.in_article.append(inside or tag in ("article", "main"))
+            page.in_article.append(inside or tag in BODIES)
+            if tag == "form":
+                forms.append(len(page.labels) - 1)
             if tag in RAW:
                 end = re.compile(f"</{tag}", re.I).search(html, at)
                 stop = html.find(">", end.start()) if end else -1
@@ -230,9 +253,26 @@ def parse(html: str) -> Page:
                 stack.append(len(page.labels) - 1)
                 tags.append(tag)
     flush()
+    if forms:
+        _leave_out_forms(page, forms)
     return page
 
 
+def _leave_out_forms(page: Page, forms: list[int]) -> None:
+    """Marks forms that do not hold the page itself."""
+    chars, holds = [0] * len(page.labels), [False] * len(page.labels)
+    for node, text in page.pieces:
+        chars[node] += 0 if page.left_out[node] else len(text)
+    for node in range(len(page.labels) - 1, 0, -1):
+        body = page.labels[node].split(".", 1)[0] in BODIES and not page.left_out[node]
+        holds[page.parents[node]] |= holds[node] or body
+        chars[page.parents[node]] += chars[node]
+    out = {n for n in forms if not holds[n] and 2 * chars[n] <= chars[0]}
+    if out:
+        for node in range(1, len(page.labels)):
+            page.left_out[node] |= node in out or page.left_out[page.parents[node]]
+
+
 class Tree(NamedTuple):
     """A collapsed tree in document order, with a hash of the text of each node (0: none)."""
 
@@ -272,108 +312,209 @@ def collapse(page: Page) -> tuple[Tree, list[int]]:
     return tree, of
 
 
+class Shapes:
+    """Classes of equal subtrees, numbered so that what lies below has smaller numbers."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[tuple[str, tuple[int, ...]], int] = {}
+        self.labels: list[str] = []
+        self.tags: list[str] = []
+        self.below: list[tuple[int, ...]] = []
+        self.weights: list[int] = []
+
+    def of(self, tree: Tree, children: list[list[int]]) -> list[int]:
+        """The class of each node of a tree."""
+        out = [0] * len(tree.labels)
+        for node in range(len(tree.labels) - 1, -1, -1):
+            key = (tree.labels[node], tuple([out[c] for c in children[node]]))
+            number = self.numbers.get(key)
+            if number is None:
+                number = self.numbers[key] = len(self.labels)
+                self.labels.append(key[0])
+                self.tags.append(key[0].split(".", 1)[0])
+                self.below.append(key[1])
+                self.weights.append(NODE + 1 + sum(self.weights[c] for c in key[1]))
+            out[node] = number
+        return out
+
+
+class Matching:
+    """Weights of the best matchings of classes, each computed once."""
+
+    def __init__(self, shapes: Shapes) -> None:
+        self.shapes = shapes
+        self.known: dict[tuple[int, int], int] = {}
+
+    def prepare(self, x: int, y: int) -> None:
+        """Weights of all pairs that can be met below a pair, smallest first."""
+        below, tags = self.shapes.below, self.shapes.tags
+        todo, met = [(x, y)], {(x, y)}
+        while todo:
+            a, b = todo.pop()
+            by_tag: dict[str, set[int]] = {}
+            for j in below[b]:
+                by_tag.setdefault(tags[j], set()).add(j)
+            for i in set(below[a]) if by_tag else ():
+                new = {(i, j) for j in by_tag.get(tags[i], ()) if i != j} - met
+                met |= new
+                todo += new
+        for a, b in sorted(met):
+            if a != b and (a, b) not in self.known:
+                same = self.shapes.labels[a] == self.shapes.labels[b]
+                self.known[a, b] = NODE + same + self.total(list(below[a]), list(below[b]))
+
+    def weight(self, a: int, b: int) -> int:
+        """Of two classes; 0 where their elements differ."""
+        if a == b:
+            return self.shapes.weights[a]
+        return self.known.get((a, b), 0) if self.shapes.tags[a] == self.shapes.tags[b] else 0
+
+    def _ends(self, left: list[int], right: list[int]) -> tuple[int, int]:
+        """Lengths of the common begin and end: equal ones are best matched with each other."""
+        shorter = min(len(left), len(right))
+        first = next((k for k in range(shorter) if left[k] != right[k]), shorter)
+        last = next((k for k in range(shorter - first) if left[-1 - k] != right[-1 - k]), shorter - first)
+        return first, last
+
+    def _row(self, left: list[int], right: list[int]) -> np.ndarray:
+        """Best weight of all of ``left`` with each beginning of ``right``."""
+        row = np.zeros(len(right) + 1, np.int64)
+        kinds, places = np.unique(np.array(right), return_inverse=True)
+        weights: dict[int, np.ndarray] = {}
+        for a in left:
+            if a not in weights:
+                weights[a] = np.array([self.weight(a, int(b)) for b in kinds], np.int64)[places]
+            row[1:] = np.maximum(row[1:], row[:-1] + weights[a])
+            np.maximum.accumulate(row, out=row)
+        return row
+
+    def total(self, left: list[int], right: list[int]) -> int:
+        first, last = self._ends(left, right)
+        same = sum(self.shapes.weights[c] for c in left[:first] + left[len(left) - last :])
+        left, right = left[first : len(left) - last], right[first : len(right) - last]
+        if not left or not right:
+            return same
+        return same + int(self._row(left, right)[-1])
+
+    def pairs(self, left: list[int], right: list[int]) -> list[tuple[int, int]]:
+        """Places that the best matching of two lists of classes puts together."""
+        out: list[tuple[int, int]] = []
+        todo = [(0, len(left), 0, len(right))]
+        while todo:
+            a, b, c, d = todo.pop()
+            first, last = self._ends(left[a:b], right[c:d])
+            out += [(a + k, c + k) for k in range(first)]
+            out += [(b - 1 - k, d - 1 - k) for k in range(last)]
+            a, b, c, d = a + first, b - last, c + first, d - last
+            if a == b or c == d:
+                continue
+            if b - a == 1 or (b - a) * (d - c) <= TABLE:
+                out += [(a + i, c + j) for i, j in self._table(left[a:b], right[c:d])]
+                continue
+            middle = (a + b) // 2
+            forth = self._row(left[a:middle], right[c:d])
+            back = self._row(left[middle:b][::-1], right[c:d][::-1])
+            cut = c + int((forth + back[::-1]).argmax())
+            todo += [(a, middle, c, cut), (middle, b, cut, d)]
+        return out
+
+    def _table(self, left: list[int], right: list[int]) -> list[tuple[int, int]]:
+        kinds, places = np.unique(np.array(right), return_inverse=True)
+        rows = np.zeros((len(left) + 1, len(right) + 1), np.int64)
+        for i, a in enumerate(left):
+            weights = np.array([self.weight(a, int(b)) for b in kinds], np.int64)[places]
+            rows[i + 1] = rows[i]
+            rows[i + 1, 1:] = np.maximum(rows[i, 1:], rows[i, :-1] + weights)
+            np.maximum.accumulate(rows[i + 1], out=rows[i + 1])
+        out = []
+        i, j = len(left), len(right)
+        while i and j:
+            if rows[i, j] == rows[i - 1, j]:
+                i -= 1
+            elif rows[i, j] == rows[i, j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                out.append((i, j))
+        return out
+
+
 def align(a: Tree, b: Tree) -> list[tuple[int, int]]:
     """Matching pairs of nodes by simple tree matching, so that as many as possible match."""
     below_a, below_b = _children(a), _children(b)
-    if a.labels[0] != b.labels[0]:
+    shapes = Shapes()
+    kind_a, kind_b = shapes.of(a, below_a), shapes.of(b, below_b)
+    if shapes.tags[kind_a[0]] != shapes.tags[kind_b[0]]:
         return []
-    # Every pair that can be met, from the root down; a node's number is above its parent's.
-    todo, met = [(0, 0)], {(0, 0)}
-    while todo:
-        x, y = todo.pop()
-        by_label: dict[str, list[int]] = {}
-        for j in below_b[y]:
-            if below_b[j]:
-                by_label.setdefault(b.labels[j], []).append(j)
-        for i in below_a[x] if by_label else ():
-            if below_a[i]:
-                new = [(i, j) for j in by_label.get(a.labels[i], ())]
-                met.update(new)
-                todo += new
-    size: dict[tuple[int, int], int] = {}  # of pairs that both have children; others match alone
-
-    def table(x: int, y: int) -> _Small | _Wide:
-        left, right = below_a[x], below_b[y]
-        kind = _Small if len(left) * len(right) <= ROWWISE else _Wide
-        return kind(a, b, left, right, size)
-
-    for pair in sorted(met, reverse=True):
-        size[pair] = 1 + table(*pair).total
+    matching = Matching(shapes)
+    matching.prepare(kind_a[0], kind_b[0])
     out: list[tuple[int, int]] = []
     todo = [(0, 0)]
     while todo:
         x, y = todo.pop()
         out.append((x, y))
-        if not below_a[x] or not below_b[y]:
-            continue
-        left, right, moves = below_a[x], below_b[y], table(x, y)
-        i, j = len(left), len(right)
-        while i and j:
-            if moves.up(i, j):
-                i -= 1
-            elif moves.left(i, j):
-                j -= 1
+        left, right = below_a[x], below_b[y]
+        if kind_a[x] == kind_b[y]:
+            todo += zip(left, right)
+        elif left and right:
+            found = matching.pairs([kind_a[i] for i in left], [kind_b[j] for j in right])
+            todo += [(left[i], right[j]) for i, j in found]
+    return out
+
+
+def grow(wrapper: Tree, page: Tree) -> Tree:
+    """The wrapper with the nodes of a page that match none of its own, each where it stands."""
+    below, below_page = [list(c) for c in _children(wrapper)], _children(page)
+    labels, texts = list(wrapper.labels), list(wrapper.texts)
+    partner = {y: x for x, y in align(wrapper, page)}
+
+    def copied(node: int) -> int:
+        """Adds a subtree; its nodes are numbered after those of the wrapper."""
+        number, todo = len(labels), [(node, -1)]
+        while todo:
+            old, parent = todo.pop()
+            labels.append(page.labels[old])
+            texts.append(page.texts[old])
+            below.append([])
+            if parent >= 0:
+                below[parent].append(len(labels) - 1)
+            todo += [(c, len(labels) - 1) for c in reversed(below_page[old])]
+        return number
+
+    for y, x in partner.items():
+        texts[x] = texts[x] or page.texts[y]
+        at = 0
+        for child in below_page[y]:
+            if child in partner:
+                at = below[x].index(partner[child], at) + 1
             else:
-                i, j = i - 1, j - 1
-                todo.append((left[i], right[j]))
+                below[x].insert(at, copied(child))
+                at += 1
+    # Document order again.
+    out, todo = Tree([], [], []), [(0, -1)]
+    while todo:
+        node, parent = todo.pop()
+        out.labels.append(labels[node])
+        out.parents.append(parent)
+        out.texts.append(texts[node])
+        todo += [(c, len(out.labels) - 1) for c in reversed(below[node])]
     return out
 
 
-class _Small:
-    """Best matching of two lists of children, as a table."""
-
-    def __init__(
-        self, a: Tree, b: Tree, left: list[int], right: list[int], size: dict[tuple[int, int], int]
-    ) -> None:
-        self.rows = [[0] * (len(right) + 1)]
-        names = [b.labels[j] for j in right]
-        for i in left:
-            above, row, label = self.rows[-1], [0], a.labels[i]
-            for k, j in enumerate(right):
-                best = above[k + 1] if above[k + 1] > row[k] else row[k]
-                if names[k] == label:
-                    best = max(best, above[k] + size.get((i, j), 1))
-                row.append(best)
-            self.rows.append(row)
-        self.total = self.rows[-1][-1]
-
-    def up(self, i: int, j: int) -> bool:
-        return self.rows[i][j] == self.rows[i - 1][j]
-
-    def left(self, i: int, j: int) -> bool:
-        return self.rows[i][j] == self.rows[i][j - 1]
-
-
-class _Wide:
-    """The same for long lists: a row at a time, and two bits kept of each cell."""
-
-    def __init__(
-        self, a: Tree, b: Tree, left: list[int], right: list[int], size: dict[tuple[int, int], int]
-    ) -> None:
-        places: dict[str, list[int]] = {}
-        for k, j in enumerate(right):
-            places.setdefault(b.labels[j], []).append(k)
-        row = np.zeros(len(right) + 1, np.int64)
-        self.ups: list[np.ndarray] = []
-        self.lefts: list[np.ndarray] = []
-        for i in left:
-            new = row.copy()
-            of = places.get(a.labels[i], [])
-            if of:
-                at = np.array(of)
-                found = np.array([size.get((i, right[k]), 1) for k in of])
-                new[at + 1] = np.maximum(new[at + 1], row[at] + found)
-                new = np.maximum.accumulate(new)
-            self.ups.append(np.packbits(new == row))
-            self.lefts.append(np.packbits(np.concatenate([[False], new[1:] == new[:-1]])))
-            row = new
-        self.total = int(row[-1])
-
-    def up(self, i: int, j: int) -> bool:
-        return bool(self.ups[i - 1][j >> 3] >> (7 - (j & 7)) & 1)
-
-    def left(self, i: int, j: int) -> bool:
-        return bool(self.lefts[i - 1][j >> 3] >> (7 - (j & 7)) & 1)
+def layouts_of(tree: Tree) -> tuple[int, int]:
+    """Digests of the top of a tree: with names (but those of html and body), and without."""
+    named, plain = {""}, {""}
+    paths = [("", "", 0)]
+    for node in range(1, len(tree.labels)):
+        above, above_plain, depth = paths[tree.parents[node]]
+        label = tree.labels[node]
+        tag = label.split(".", 1)[0]
+        own = (f"{above}/{tag if tag in WHOLE else label}", f"{above_plain}/{tag}", depth + 1)
+        paths.append(own)
+        if own[2] <= LAYOUT_DEPTH:
+            named.add(own[0])
+            plain.add(own[1])
+    return tuple(xxhash.xxh64_intdigest("\n".join(sorted(x))) >> 1 for x in (named, plain))
 
 
 def _children(tree: Tree) -> list[list[int]]:
@@ -402,33 +543,96 @@ def host_of(url: Column) -> Column:
 
 
 TREE = "labels array<string>, parents array<int>, texts array<long>"
+LAYOUT = "host string, named long, plain long"
 
 
 def page_trees(pages: DataFrame) -> DataFrame:
-    """``host, page_key`` and the collapsed tree of each page."""
+    """``page_key``, host, layout digests and the collapsed tree of each page; equal pages once."""
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             trees = [collapse(parse(h or ""))[0] for h in batch.column("html").to_pylist()]
+            layouts = [layouts_of(t) for t in trees]
             return pa.RecordBatch.from_arrays(
                 [
-                    batch.column("host"), batch.column("page_key"),
-                    pa.array([t.labels for t in trees], pa.list_(pa.string())),
-                    pa.array([t.parents for t in trees], pa.list_(pa.int32())),
-                    pa.array([t.texts for t in trees], pa.list_(pa.int64())),
+                    batch.column("host"), pa.array([n for n, _ in layouts], pa.int64()),
+                    pa.array([p for _, p in layouts], pa.int64()), batch.column("page_key"),
+                    *_columns(trees),
                 ],
-                names=["host", "page_key", "labels", "parents", "texts"],
+                names=["host", "named", "plain", "page_key", "labels", "parents", "texts"],
             )
 
         return run
 
-    return map_batches(
-        pages.select("host", "page_key", "html"), make, f"host string, page_key long, {TREE}"
+    trees = map_batches(
+        pages.select("host", "page_key", "html"), make, f"{LAYOUT}, page_key long, {TREE}"
     )
+    return trees.dropDuplicates(["page_key"])
+
+
+def _columns(trees: list[Tree]) -> list[pa.Array]:
+    return [
+        pa.array([t.labels for t in trees], pa.list_(pa.string())),
+        pa.array([t.parents for t in trees], pa.list_(pa.int32())),
+        pa.array([t.texts for t in trees], pa.list_(pa.int64())),
+    ]
+
+
+def layout_groups(trees: DataFrame) -> DataFrame:
+    """``host, named, plain, layout``: the group in which the pages of a layout get their wrapper.
+
+    ``layout`` is null where even the rest of a host is too small for one.
+    """
+    counted = trees.groupBy("host", "named", "plain").agg(F.count(F.lit(1)).alias("pages"))
+    enough = F.col("pages") > LEAST_PAGES
+    small = counted.where(~enough)
+    by_plain = small.groupBy("host", "plain").agg(F.sum("pages").alias("of_plain"))
+    rest = by_plain.where(F.col("of_plain") <= LEAST_PAGES).groupBy("host").agg(
+        F.sum("of_plain").alias("of_host")
+    )
+    layout = (
+        F.when(enough, F.concat_ws("|", F.lit("named"), "host", "named"))
+        .when(F.col("of_plain") > LEAST_PAGES, F.concat_ws("|", F.lit("plain"), "host", "plain"))
+        .when(F.col("of_host") > LEAST_PAGES, F.concat_ws("|", F.lit("host"), "host"))
+    )
+    joined = counted.join(by_plain, ["host", "plain"], "left").join(rest, "host", "left")
+    return joined.select("host", "named", "plain", layout.alias("layout"))
+
+
+def wrappers_of(trees: DataFrame) -> DataFrame:
+    """``w_layout`` and the wrapper of each layout, grown from the least page of each share of it."""
+    tree = F.struct("page_key", "labels", "parents", "texts")
+    least = trees.groupBy("layout", F.pmod("page_key", F.lit(GROWN)).alias("share")).agg(
+        F.min_by(tree, "page_key").alias("t")
+    )
+    some = least.groupBy("layout").agg(F.sort_array(F.collect_list("t")).alias("trees"))
+
+    def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            grown = []
+            for pages in batch.column("trees").to_pylist():
+                found = [Tree(p["labels"], p["parents"], p["texts"]) for p in pages]
+                wrapper = found[0]
+                for page in found[1:]:
+                    wrapper = grow(wrapper, page)
+                grown.append(wrapper)
+            return pa.RecordBatch.from_arrays(
+                [batch.column("layout"), *_columns(grown)],
+                names=["w_layout", "w_labels", "w_parents", "w_texts"],
+            )
+
+        return run
+
+    named = ", ".join(f"w_{part}" for part in TREE.split(", "))
+    return map_batches(some, make, f"w_layout string, {named}")
+
+
+#: Stands for the pages of a layout in counts of slots.
+_ALL = -1
 
 
 def _slot_counts(paired: DataFrame) -> DataFrame:
-    """``host, slot, same, pages``: how often a wrapper slot holds the wrapper's own text.
+    """``layout, slot, same, pages``: how often a wrapper slot holds the wrapper's own text.
 
     Pages whose texts all equal the wrapper's are left out. Counts are combined in each batch.
     """
@@ -439,11 +643,11 @@ def _slot_counts(paired: DataFrame) -> DataFrame:
             for row in batch.to_pylist():
                 wrapper, tree = _both(row)
                 pairs = align(wrapper, tree)
-                slots = [(x, wrapper.texts[x] == tree.texts[y]) for x, y in pairs if wrapper.texts[x]]
+                slots = [(x, wrapper.texts[x] == tree.texts[y]) for x, y in pairs if tree.texts[y]]
                 if all(same for _, same in slots) and len(pairs) == len(tree.labels):
                     continue
-                for slot, same in slots:
-                    count = counts.setdefault((row["host"], slot), [0, 0])
+                for slot, same in [*slots, (_ALL, False)]:
+                    count = counts.setdefault((row["layout"], slot), [0, 0])
                     count[0] += same
                     count[1] += 1
             return pa.RecordBatch.from_arrays(
@@ -453,12 +657,12 @@ def _slot_counts(paired: DataFrame) -> DataFrame:
                     pa.array([c[0] for c in counts.values()], pa.int64()),
                     pa.array([c[1] for c in counts.values()], pa.int64()),
                 ],
-                names=["host", "slot", "same", "pages"],
+                names=["layout", "slot", "same", "pages"],
             )
 
         return run
 
-    return map_batches(paired, make, "host string, slot int, same long, pages long")
+    return map_batches(paired, make, "layout string, slot int, same long, pages long")
 
 
 def _both(row: dict) -> tuple[Tree, Tree]:
@@ -494,32 +698,35 @@ def _template_nodes(paired: DataFrame) -> DataFrame:
 
 def induce_templates(trees: DataFrame) -> DataFrame:
     """``page_key, template`` of the pages that hold template text."""
-    wrappers = (
-        trees.groupBy(F.col("host").alias("w_host"))
-        .agg(
-            F.min_by(F.struct("labels", "parents", "texts"), "page_key").alias("w"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .where(F.col("n") > LEAST_PAGES)
-        .select("w_host", *[F.col(f"w.{c}").alias(f"w_{c}") for c in ("labels", "parents", "texts")])
+    groups = written(layout_groups(trees).where("layout IS NOT NULL"), "page-layouts")
+    grouped = trees.join(groups, ["host", "named", "plain"]).select(
+        "layout", "page_key", "labels", "parents", "texts"
+    )
+    wrappers = written(wrappers_of(grouped), "wrappers")
+    own = F.col("layout") == F.col("w_layout")
+    counts = written(
+        _slot_counts(grouped.join(wrappers, own).drop("w_layout"))
+        .groupBy("layout", "slot").agg(F.sum("same").alias("same"), F.sum("pages").alias("pages")),
+        "slot-counts",
+    )
+    pages = counts.where(F.col("slot") == _ALL).select(
+        F.col("layout").alias("p_layout"), F.col("pages").alias("all_pages")
     )
-    wrappers = written(wrappers, "wrappers")
-    same_host = F.col("host") == F.col("w_host")
-    counts = _slot_counts(trees.join(wrappers, same_host).drop("w_host"))
-    heading = F.element_at("w_labels", F.col("slot") + 1)
+    tag = F.substring_index(F.element_at("w_labels", F.col("slot") + 1), ".", 1)
     slots = (
-        counts.groupBy(F.col("host").alias("s_host"), "slot")
-        .agg(F.sum("same").alias("same"), F.sum("pages").alias("pages"))
-        .where((F.col("pages") >= LEAST_PAGES) & (F.col("same") >= CONSTANT * F.col("pages")))
-        .join(wrappers, F.col("s_host") == F.col("w_host"))
-        .where(~F.substring_index(heading, ".", 1).isin(*HEADINGS))
-        .groupBy("s_host")
+        counts.where((F.col("slot") != _ALL) & (F.col("pages") >= LEAST_PAGES))
+        .where(F.col("same") >= CONSTANT * F.col("pages"))
+        .join(pages, F.col("layout") == F.col("p_layout"))
+        .where(F.col("pages") >= SHARE * F.col("all_pages"))
+        .join(wrappers, own)
+        .where(~tag.isin(*HEADINGS))
+        .groupBy(F.col("layout").alias("s_layout"))
         .agg(F.collect_set("slot").alias("slots"),
              *[F.first(f"w_{c}").alias(f"w_{c}") for c in ("labels", "parents", "texts")])
     )
     marked = written(slots, "template-slots")
-    found = _template_nodes(trees.join(marked, F.col("host") == F.col("s_host")).drop("s_host"))
-    return found.dropDuplicates(["page_key"])
+    same_layout = F.col("layout") == F.col("s_layout")
+    return _template_nodes(grouped.join(marked, same_layout).drop("s_layout"))
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

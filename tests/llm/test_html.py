@@ -157,3 +157,104 @@ def test_wide_nodes_are_aligned_exactly(rowwise, monkeypatch):
     b = hx.collapse(hx.parse("<p>new</p>" + "".join(parts)))[0]
     assert len(hx.align(a, b)) == len(a.labels) == len(b.labels) - 1
     test_alignment_matches_as_many_nodes_as_possible()
+
+
+def test_two_layouts_of_one_host(spark):
+    def one(i):
+        side = f"<div class=layout-a><div>Notice of A</div><p>A {i}</p><p>x{i}</p></div>"
+        other = f"<div class=layout-b><h2>B {i}</h2><p>b{i}</p><div>Notice of B</div></div>"
+        return f"<body class=category-{i % 7}>{side if i % 2 else other}</body>"
+
+    rows = [(i, f"http://h.x/{i}", one(i), "", "") for i in range(24)]
+    found = {r.page_id: r.text for r in hx.extract_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert found == {i: f"A {i} x{i}" if i % 2 else f"B {i} b{i}" for i in range(24)}
+
+
+def test_names_that_follow_sections_do_not_hide_the_template(spark):
+    rows = [
+        (i, f"http://h.x/{i}", f"<div class='section-{'abcdefgh'[i % 8]}{'klm'[i % 3]}'><p>Text {i}</p>"
+         f"<div class=x{'pqrst'[i % 5]}>Subscribers only.</div></div>", "", "")
+        for i in range(20)
+    ]
+    found = {r.page_id: r.text for r in hx.extract_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert found == {i: f"Text {i}" for i in range(20)}
+
+
+def test_template_inside_articles_goes(spark):
+    rows = [
+        (i, f"http://h.x/{i}", f"<article><p>Text {i}</p><div>Reprints need our leave.</div></article>", "", "")
+        for i in range(9)
+    ]
+    found = {r.page_id: r.text for r in hx.extract_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert found == {i: f"Text {i}" for i in range(9)}
+
+
+def test_slots_missing_in_the_first_page_are_grown(spark):
+    rows = [
+        (i, f"http://h.x/{i}", f"<div><p>T{i}</p>"
+         + ("<div>We use crumbs.</div>" if i % 3 else "") + f"<h3>s{i}</h3><p>U{i}</p></div>", "", "")
+        for i in range(30)
+    ]
+    found = {r.page_id: r.text for r in hx.extract_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert found == {i: f"T{i} s{i} U{i}" for i in range(30)}
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<form id=f><input type=hidden><div>menu</div><article><p>t</p><input></article></form>", "t"),
+        ("<form><input type=hidden name=v><p>a long text</p></form><p>b</p>", "a long text b"),
+        ("<form>b</form><p>a</p>", "a"), ("<form></form>", ""),
+        ("<form><input><p>whole page of text</p></form><p>b</p>", "whole page of text b"),
+        ("<p>a long text of a page</p><form>Name <input type=text></form>", "a long text of a page"),
+        ("<p>long enough text</p><form>say <textarea></textarea></form>", "long enough text"),
+        ("<p>long enough text</p><form><main><p>m</p></main><select></select></form>", "m"),
+    ],
+)
+def test_forms(html, text):
+    assert text_of(html) == text
+
+
+def test_wide_pages_take_little_memory():
+    import time
+    import tracemalloc
+
+    parts = [f"<{t}><h2>x</h2><p>{i}</p></{t}>" for i in range(17_000) for t in ("div", "section")]
+    html = "".join(parts)
+    assert len(html) > 1_000_000
+    other = html.replace("<section><h2>x</h2><p>77</p></section>", "<ul><li>new</ul>") + "<ol><li>z</ol>"
+    start = time.perf_counter()
+    tracemalloc.start()
+    a, b = hx.collapse(hx.parse(html))[0], hx.collapse(hx.parse("<p>first</p>" + other))[0]
+    tracemalloc.reset_peak()
+    pairs = hx.align(a, b)
+    peak = tracemalloc.get_traced_memory()[1] - 0
+    tracemalloc.stop()
+    assert len(pairs) == len(a.labels) - 3
+    assert peak < 400e6 and time.perf_counter() - start < 120
+
+
+def test_divided_lists_match_as_well(monkeypatch):
+    monkeypatch.setattr(hx, "TABLE", 1)
+    test_alignment_matches_as_many_nodes_as_possible()
+
+
+def test_growing_keeps_both_trees():
+    a = hx.collapse(hx.parse("<div>1</div><p>2</p><ul><li>3</ul>"))[0]
+    b = hx.collapse(hx.parse("<h1>0</h1><div>1<section>5</section></div><ul><li>4</ul><ol><li>6</ol>"))[0]
+    both = hx.grow(a, b)
+    assert both.labels == ["#", "h1", "div", "section", "p", "ul", "li", "ol", "li"]
+    assert len(hx.align(both, a)) == len(a.labels) and len(hx.align(both, b)) == len(b.labels)
+
+
+@pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
+def test_given_pages_without_their_articles(spark):
+    """The mark-up alone gives the text away; most pages must come out right without it."""
+    from pyspark.sql import functions as F
+
+    pages = spark.read.parquet(f"{SF_DIR.replace('0.001', '0.01')}/pages.parquet")
+    bare = pages.withColumn("html", F.regexp_replace("html", r"<(/?)article", "<$1div"))
+    with_articles = {r.page_id: r.text for r in hx.extract_text(pages).collect()}
+    found = {r.page_id: r.text for r in hx.extract_text(bare).collect()}
+    right = sum(found[i] == text for i, text in with_articles.items())
+    assert right >= 0.95 * len(found)
