@@ -25,13 +25,14 @@ Repeated rows are repeated in the result. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import uuid
+from collections.abc import Callable, Iterator, Mapping
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.llm.batches import map_batches, texts_of
@@ -79,20 +80,27 @@ def fingerprint(text: str, size: int = SHINGLE) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, fp`` with the fingerprint as a signed integer."""
+def fingerprints(docs: DataFrame, more: Mapping[str, Column] | None = None) -> DataFrame:
+    """``doc_id, fp`` with the fingerprint as a signed integer, and more columns of text if asked."""
+    names = list(more or {})
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = np.array([fingerprint(t) for t in texts_of(batch)], np.uint64)
             return pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"]
+                [batch.column("doc_id"), pa.array(found.view(np.int64)),
+                 *[batch.column(name) for name in names]],
+                names=["doc_id", "fp", *names],
             )
 
         return run
 
-    typed = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return map_batches(typed, make, "doc_id long, fp long")
+    typed = docs.select(
+        F.col("doc_id").cast("long"), F.col("text").cast("string"),
+        *[column.alias(name) for name, column in (more or {}).items()],
+    )
+    schema = ", ".join(["doc_id long, fp long", *[f"{name} string" for name in names]])
+    return map_batches(typed, make, schema)
 
 
 def code_masks(width: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
@@ -194,24 +202,27 @@ def _links(homes: np.ndarray, fps: np.ndarray, starts: np.ndarray, ends: np.ndar
 
 
 def _forest(homes: np.ndarray, fps: np.ndarray) -> np.ndarray:
-    """Links of one large group that connect what its links connect, one for each row at most."""
+    """Links of one large group that connect what its links connect, one for each row at most.
+
+    Only homes link, so a search starts from homes alone, and a row that is none looks for homes
+    alone: comparisons are those between homes and all rows.
+    """
     left, right = [], []
-    open_rows = np.arange(len(fps))
     bits = fps.view(np.uint64)
-    while len(open_rows):
-        todo = [open_rows[0]]
-        open_rows = open_rows[1:]
-        while todo and len(open_rows):
+    own, others = np.flatnonzero(homes), np.flatnonzero(~homes)
+    while len(own):
+        todo, own = [own[0]], own[1:]
+        while todo and (len(own) or len(others)):
             row = todo.pop()
-            near = np.bitwise_count(bits[open_rows] ^ bits[row]) <= THRESHOLD
-            if not homes[row]:
-                near &= homes[open_rows]
-            if near.any():
-                found = open_rows[near]
+            near = np.bitwise_count(bits[own] ^ bits[row]) <= THRESHOLD
+            found, own = own[near], own[~near]
+            if homes[row]:
+                near = np.bitwise_count(bits[others] ^ bits[row]) <= THRESHOLD
+                found, others = np.concatenate([found, others[near]]), others[~near]
+            if len(found):
                 left.append(np.full(len(found), fps[row]))
                 right.append(fps[found])
                 todo += found.tolist()
-                open_rows = open_rows[~near]
     if not left:
         return np.zeros((2, 0), np.int64)
     return np.stack([np.concatenate(left), np.concatenate(right)])
@@ -259,9 +270,8 @@ def near_links(nodes: DataFrame) -> DataFrame:
     return by_anchor.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for every document."""
-    hashed = written(fingerprints(docs), "fingerprints")
+def _classified(hashed: DataFrame) -> DataFrame:
+    """Columns of ``doc_id, fp, ...`` with ``root``, the component's, and ``component_id``."""
     nodes = hashed.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = star_roots(near_links(nodes))
     rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
@@ -269,22 +279,38 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     named = rooted.groupBy(F.col("root").alias("named")).agg(F.min("least").alias("component_id"))
     classes = rooted.join(named, F.col("root") == F.col("named")).select(
-        F.col("fp").alias("class_fp"), "component_id"
+        F.col("fp").alias("class_fp"), "root", "component_id"
     )
-    return hashed.join(classes, F.col("fp") == F.col("class_fp"), "left").select(
+    return hashed.join(classes, F.col("fp") == F.col("class_fp"), "left").drop("class_fp")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` for every document."""
+    return _classified(written(fingerprints(docs), "fingerprints")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id names their component, with all their columns.
+    """One row of each component, with all its columns: that of the least id.
 
-    Rows that repeat an id are the same document and one of them stays. Rows without an id cannot
-    be told from their copies by it, and stay.
+    The row is told by its id and a digest of its text, so of different texts under one id each keeps
+    the place it has in its own component. Rows that repeat both are the same document and one of
+    them stays. Rows without an id cannot be told from their copies by it, and stay.
     """
-    named = near_duplicates(docs).where(F.col("doc_id") == F.col("component_id"))
-    kept = written(named.select(F.col("doc_id").alias("kept_id")).distinct(), "kept-ids")
-    with_id = docs.where(F.col("doc_id").isNotNull())
-    # The join deals rows by id already, so dropping repeats takes no further shuffle.
-    one = with_id.join(kept, with_id["doc_id"] == kept["kept_id"], "left_semi")
-    return one.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
+    digest = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
+    found = _classified(written(fingerprints(docs, {"digest": digest}), "fingerprints"))
+    first = F.min(F.struct("doc_id", "digest")).alias("first")
+    one = found.where(F.col("doc_id").isNotNull()).groupBy("root").agg(first)
+    kept = written(
+        one.select(F.col("first.doc_id").alias("kept_id"), F.col("first.digest").alias("kept_digest"))
+        .distinct(),
+        "kept-ids",
+    )
+    # The digest under a name that no column of the documents can have.
+    name = "digest_" + uuid.uuid4().hex
+    with_id = docs.where(F.col("doc_id").isNotNull()).withColumn(name, digest)
+    same = (with_id["doc_id"] == kept["kept_id"]) & (F.col(name) == kept["kept_digest"])
+    # The join deals rows by id and digest already, so dropping repeats takes no further shuffle.
+    rows = with_id.join(kept, same, "left_semi").dropDuplicates(["doc_id", name]).drop(name)
+    return rows.unionByName(docs.where(F.col("doc_id").isNull()))

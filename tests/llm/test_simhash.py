@@ -121,3 +121,45 @@ def test_empty_table(spark):
     none = documents(spark).where("false")
     assert simhash.near_duplicates(none).count() == 0
     assert simhash.keep_one_of_each(none).count() == 0
+
+
+def test_different_texts_under_one_id_all_stay(spark):
+    a = " ".join(f"alpha{i}" for i in range(60))
+    b = " ".join(f"beta{i}" for i in range(60))
+    rows = [(1, a, 7), (1, b, 8), (1, a, 7), (2, a, 9), (3, b, 1), (None, a, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, digest int")
+    kept = simhash.keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    found = sorted(map(str, kept.collect()))
+    assert found == sorted(map(str, docs.where("doc_id IS NULL OR digest IN (7, 8)").distinct().collect()))
+
+
+def test_forest_connects_what_homes_link():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 62, 6)
+    fps = np.unique(np.concatenate([
+        base[rng.integers(0, 6, 400)] ^ (1 << rng.integers(0, 62, 400)) ^ (1 << rng.integers(0, 62, 400)),
+        base,
+    ]))
+    homes = rng.random(len(fps)) < 0.2
+    near = np.bitwise_count((fps[:, None] ^ fps[None, :]).view(np.uint64)) <= simhash.THRESHOLD
+    near &= homes[:, None] | homes[None, :]
+
+    def classes(pairs):
+        root = {int(f): int(f) for f in fps}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in pairs:
+            root[find(int(a))] = find(int(b))
+        groups = {}
+        for f in root:
+            groups.setdefault(find(f), set()).add(f)
+        return {frozenset(g) for g in groups.values()}
+
+    links = simhash._forest(homes, fps)
+    assert classes(links.T) == classes([(fps[i], fps[j]) for i, j in np.argwhere(near) if i < j])
+    assert links.shape[1] < len(fps)
