@@ -37,3 +37,11 @@ def map_batches(
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch; null becomes empty."""
     return [t if t is not None else "" for t in batch.column(column).to_pylist()]
+
+
+def place_of(df: DataFrame, column: str) -> int:
+    """Place of a column, which is found as Spark finds it: by its name, else whatever its case."""
+    names = df.columns
+    if column not in names and df.sparkSession.conf.get("spark.sql.caseSensitive") == "false":
+        names = [name.lower() for name in names]
+    return names.index(column)

@@ -5,20 +5,25 @@ runs of one item a window of the document is cut, and Smith-Waterman alignment o
 gives a score: matches minus mismatches and gaps along the best local alignment. Edited and
 paraphrased copies keep most of their score; text that shares a phrase by chance does not.
 
-**Every run is a seed,** however many documents hold it: an edited copy may share only runs that
-stand alone, and it may itself be common. What common phrases bring in is left out by the count of
-shared words below, without loss.
+**Rare and frequent seeds.** How many documents hold each three-word run of the items is counted
+exactly, over all documents. A run that at most ``COMMON`` of them hold is rare, and so is the rarest
+of each item: a rare seed opens a comparison wherever it stands. Frequent ones, such as a turn of phrase,
+open one only where two seeds of an item stand within the item's length; an edited copy that is
+itself common is found by these.
 
 **Scale.** Items are few and stated; they go to the tasks in blocks of at most ``BLOCK_WORDS`` words
-on average, whatever their number, and each block is one pass over the documents. There is no
-shuffle of documents: a passage shared by a third of them costs each task its own share.
+on average, whatever their number, and each block is one pass over the documents. That pass counts
+seeds, aligns what pairs of seeds open, and sets windows of single seeds aside until the counts are
+known; these are few and stored. There is no shuffle of documents: a passage shared by a third of them costs
+each task its own share. A stage that drops leaks joins documents with the digests of leaked texts,
+a written table that Spark broadcasts only where it is small.
 
 Before an alignment, the words that item and window have in common are counted; since the score
 can't exceed twice that number, windows that can't reach the limit are left out without loss.
 
 Items of fewer than ``SEED`` words cannot be told from ordinary phrases and match nothing. Null
-texts and null ids of documents: null text matches nothing, a null id is reported as null. Repeated
-documents are reported as often as they occur, repeated items too. Other columns are ignored.
+text matches nothing; a null id, of a document or an item, is reported as null. Repeated documents are
+reported as often as they occur, repeated items too. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.llm.batches import map_batches, texts_of
+from surveyloom.sources.workspace import written
 
 SEED = 3
 COMMON = 0.001
@@ -97,44 +103,8 @@ def build_items(rows: list[tuple[int, str]]) -> Items:
     return items._replace(seeds=seeds, places=[found[k] for k in seeds.tolist()])
 
 
-def alone(items: Items, at: np.ndarray, seed: np.ndarray) -> list[int]:
-    """Seeds of a text that occur somewhere without a neighbour of the same item beside them."""
-    by_place: dict[int, list[tuple[int, int]]] = {
-        int(p): items.places[s] for p, s in zip(at.tolist(), seed.tolist(), strict=True)
-    }
-    out = set()
-    for p, s in zip(at.tolist(), seed.tolist(), strict=True):
-        before, after = by_place.get(p - 1, ()), by_place.get(p + 1, ())
-        if not any((i, k - 1) in before or (i, k + 1) in after for i, k in items.places[s]):
-            out.add(s)
-    return sorted(out)
-
-
-def rare_seeds(docs: DataFrame, items: Items, common: float = COMMON) -> np.ndarray:
-    """Which seeds are rare, from counts over all documents. For looking at a benchmark only: every
-    seed is used, since an edited copy may be common itself and share no rare one.
-    """
-
-    def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            counts = np.zeros(len(items.seeds) + 1, np.int64)
-            counts[-1] = batch.num_rows
-            for text in texts_of(batch):
-                at, seed = items.hits(items.numbers(text))
-                if len(at):
-                    counts[alone(items, at, seed)] += 1
-            some = np.flatnonzero(counts)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(some), pa.array(counts[some])], names=["seed", "n"]
-            )
-
-        return run
-
-    counted = map_batches(docs.select(F.col("text").cast("string")), make, "seed long, n long")
-    # One row for each seed of the block comes back, as the items themselves did.
-    found = {r.seed: r.total for r in counted.groupBy("seed").agg(F.sum("n").alias("total")).collect()}
-    n_docs = found.get(len(items.seeds), 0)
-    counts = np.array([found.get(s, 0) for s in range(len(items.seeds))], np.int64)
+def rare_of(items: Items, counts: np.ndarray, n_docs: int, common: float = COMMON) -> np.ndarray:
+    """Which seeds are rare, given the number of documents that hold each: few, or an item's fewest."""
     rare = counts <= max(1.0, common * n_docs)
     rarest: dict[int, int] = {}
     for seed, places in enumerate(items.places):
@@ -145,6 +115,11 @@ def rare_seeds(docs: DataFrame, items: Items, common: float = COMMON) -> np.ndar
     return rare
 
 
+def rare_seeds(docs: DataFrame, items: Items, common: float = COMMON) -> np.ndarray:
+    """Rare seeds among documents."""
+    return Block(docs, items, common).rare
+
+
 def best_alignment(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
     """Score of the best local alignment, and the end of it in the window.
 
@@ -169,41 +144,153 @@ def limit_of(n_words: int) -> float:
     return LIMIT * MATCH * min(n_words, LONG)
 
 
-def leaks_in(items: Items, text: str) -> Iterator[tuple[int, int, float, int, int]]:
-    """``item, score, share, first word, end`` of the best window of each leaked item."""
-    numbers = items.numbers(text)
-    at, seed = items.hits(numbers)
-    if not len(at):
-        return
-    by_item: dict[int, list[int]] = {}
+class Window(NamedTuple):
+    """Words of a text round seeds of an item, from word ``first`` on."""
+
+    item: int
+    first: int
+    words: np.ndarray
+    #: The seeds in it; None where two stand close enough to open it.
+    alone: list[int] | None
+
+
+def windows_in(items: Items, numbers: np.ndarray, at: np.ndarray, seed: np.ndarray) -> Iterator[Window]:
+    """Windows that share enough words with an item to reach its limit."""
+    by_item: dict[int, list[tuple[int, int]]] = {}
     for p, s in zip(at.tolist(), seed.tolist(), strict=True):
         for item, _ in items.places[s]:
             of = by_item.setdefault(item, [])
-            if not of or of[-1] != p:
-                of.append(p)
-    for item, places in by_item.items():
+            if not of or of[-1][0] != p:
+                of.append((p, s))
+    for item, hits in by_item.items():
         words = items.words[item]
         n, limit = len(words), limit_of(len(words))
         own, times = np.unique(words, return_counts=True)
-        best = (0, 0, 0)
+        places = np.array([p for p, _ in hits])
         cuts = np.flatnonzero(np.diff(places) > 2 * n) + 1
-        for group in np.split(np.array(places), cuts):
-            first = max(0, int(group[0]) - n)
-            window = numbers[first : int(group[-1]) + SEED + n]
+        for group in np.split(np.arange(len(hits)), cuts):
+            first = max(0, int(places[group[0]]) - n)
+            window = numbers[first : int(places[group[-1]]) + SEED + n]
             place = np.minimum(np.searchsorted(own, window), len(own) - 1)
             place = place[own[place] == window]
             shared = np.minimum(np.bincount(place, minlength=len(own)), times).sum()
-            if MATCH * shared < max(limit, best[0]):
+            if MATCH * shared < limit:
                 continue
-            score, end = best_alignment(words, window)
-            if score >= limit and score > best[0]:
-                back, length = best_alignment(words[::-1], window[:end][::-1])
-                best = (score, first + end - length, first + end)
-        if best[0]:
-            yield item, best[0], best[0] / (MATCH * n), best[1], best[2]
+            close = len(group) > 1 and int(np.diff(places[group]).min()) <= n
+            yield Window(item, first, window, None if close else [hits[k][1] for k in group])
+
+
+def leak_in(items: Items, window: Window) -> tuple[int, int, int] | None:
+    """``score, first word, end`` of the best alignment of a window, if it is a leak."""
+    words = items.words[window.item]
+    score, end = best_alignment(words, window.words)
+    if score < limit_of(len(words)):
+        return None
+    _, length = best_alignment(words[::-1], window.words[:end][::-1])
+    return score, window.first + end - length, window.first + end
 
 
 SCHEMA = "doc_id long, item_id long, score long, share double, first_word long, end_word long"
+_FOUND = "row long, doc_id long, digest string, item int, score long, first_word long, end_word long"
+#: What one pass leaves: counts of seeds, leaks, and windows of single seeds.
+_PASS = f"seed long, n long, {_FOUND}, words array<long>, alone array<long>"
+_DOCUMENTS = -1
+
+
+def _arrow(schema: str, rows: list[dict]) -> pa.RecordBatch | None:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(),
+             "array<long>": pa.list_(pa.int64())}
+    fields = [part.split() for part in schema.split(", ")]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r.get(name) for r in rows], kinds[kind]) for name, kind in fields],
+        names=[name for name, _ in fields],
+    )
+
+
+class Block:
+    """One block of items against all documents."""
+
+    def __init__(self, docs: DataFrame, items: Items, common: float = COMMON) -> None:
+        self.items = items
+        self.sent = docs.sparkSession.sparkContext.broadcast(items)
+        self.passed = written(self._pass(docs), "decontamination")
+        counted = self.passed.where("seed IS NOT NULL").groupBy("seed").agg(F.sum("n").alias("n"))
+        # One row for each seed of the block comes back, as the items themselves did.
+        found = {r["seed"]: r["n"] for r in counted.collect()}
+        counts = np.array([found.get(s, 0) for s in range(len(items.seeds))], np.int64)
+        self.rare = rare_of(items, counts, found.get(_DOCUMENTS, 0), common)
+
+    def _pass(self, docs: DataFrame) -> DataFrame:
+        sent = self.sent
+
+        def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+            items = sent.value
+
+            def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+                counts = np.zeros(len(items.seeds), np.int64)
+                rows: list[dict] = []
+                for place, text in enumerate(texts_of(batch)):
+                    numbers = items.numbers(text)
+                    at, seed = items.hits(numbers)
+                    if not len(at):
+                        continue
+                    counts[np.unique(seed)] += 1
+                    known = {
+                        name: batch.column(name)[place].as_py() for name in ("row", "doc_id", "digest")
+                    }
+                    for window in windows_in(items, numbers, at, seed):
+                        if window.alone is not None:
+                            rows.append(known | {
+                                "item": window.item, "first_word": window.first,
+                                "words": window.words.tolist(), "alone": window.alone,
+                            })
+                        elif (leak := leak_in(items, window)) is not None:
+                            rows.append(known | _named(window.item, leak))
+                some = np.flatnonzero(counts).tolist()
+                rows += [{"seed": s, "n": int(counts[s])} for s in some]
+                return _arrow(_PASS, [*rows, {"seed": _DOCUMENTS, "n": batch.num_rows}])
+
+            return run
+
+        text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+        typed = docs.select(
+            F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"),
+            F.sha2(text, 256).alias("digest"), text.alias("text"),
+        )
+        return map_batches(typed, make, _PASS)
+
+    def leaks(self) -> DataFrame:
+        """``_FOUND``: the best window of each leaked item of each document."""
+        sent, rare = self.sent, self.rare
+
+        def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+            items = sent.value
+
+            def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+                rows = []
+                for row in batch.to_pylist():
+                    if not rare[row["alone"]].any():
+                        continue
+                    words = np.array(row["words"], np.int64)
+                    window = Window(row["item"], row["first_word"], words, row["alone"])
+                    if (leak := leak_in(items, window)) is not None:
+                        rows.append(row | _named(window.item, leak))
+                return _arrow(_FOUND, rows)
+
+            return run
+
+        names = [part.split()[0] for part in _FOUND.split(", ")]
+        waiting = self.passed.where("alone IS NOT NULL").select(*names, "words", "alone")
+        found = self.passed.where("score IS NOT NULL").select(*names)
+        both = found.unionByName(map_batches(waiting, make, _FOUND))
+        best = both.groupBy("row", "item").agg(
+            F.max_by(F.struct(*names), F.struct("score", -F.col("first_word"))).alias("b")
+        )
+        return best.select("b.*")
+
+
+def _named(item: int, leak: tuple[int, int, int]) -> dict:
+    return {"item": item, "score": leak[0], "first_word": leak[1], "end_word": leak[2]}
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -213,11 +300,26 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_W
     """
     out = None
     for items in item_blocks(benchmark, block_words):
-        found = _leaks_of_block(docs, items)
+        found = _with_items(Block(docs, items).leaks(), items)
         out = found if out is None else out.unionByName(found)
     return out
 
 
+def _with_items(leaks: DataFrame, items: Items) -> DataFrame:
+    ids, sizes = items.ids, [len(w) for w in items.words]
+
+    def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            return _arrow(SCHEMA, [
+                r | {"item_id": ids[r["item"]], "share": r["score"] / (MATCH * sizes[r["item"]])}
+                for r in batch.to_pylist()
+            ])
+
+        return run
+
+    return map_batches(leaks, make, SCHEMA)
+
+
 def item_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Items]:
     """The test items in blocks of bounded size; at least one, which may be empty."""
     tests = benchmark.select(
@@ -228,8 +330,8 @@ def item_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterato
     blocks = max(1, -(-total // (6 * block_words)))
     for block in range(blocks):
         some = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        rows = sorted((r.item_id if r.item_id is not None else -1, r.text) for r in some.collect())
-        yield build_items(rows)
+        rows = [(r.item_id, r.text) for r in some.collect()]
+        yield build_items(sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])))
 
 
 def drop_leaks(
@@ -237,56 +339,12 @@ def drop_leaks(
 ) -> DataFrame:
     """The rows of ``docs`` without a leak, with all their columns.
 
-    Each row is judged where it is read: nothing is joined or shuffled.
+    Whether a row leaks depends on its text alone, so rows whose text has the digest of a leaked one go.
     """
-    kept = docs
+    leaked = None
     for items in item_blocks(benchmark, block_words):
-        kept = _without_leaks(kept, items)
-    return kept
-
-
-def _without_leaks(docs: DataFrame, items: Items) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(items)
-    text = docs.columns.index("text")
-
-    def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        block = sent.value
-
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            clean = [
-                next(leaks_in(block, t or ""), None) is None
-                for t in batch.column(text).to_pylist()
-            ]
-            return batch.filter(pa.array(clean, pa.bool_()))
-
-        return run
-
-    return map_batches(docs, make, docs.schema)
-
-
-def _leaks_of_block(docs: DataFrame, items: Items) -> DataFrame:
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(items)
-
-    def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        block = sent.value
-
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows = [
-                (doc_id, block.ids[item], *rest)
-                for doc_id, text in zip(
-                    batch.column("doc_id").to_pylist(), texts_of(batch), strict=True
-                )
-                for item, *rest in leaks_in(block, text)
-            ]
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                names=[part.split()[0] for part in SCHEMA.split(", ")],
-            )
-
-        return run
-
-    typed = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return map_batches(typed, make, SCHEMA)
+        found = Block(docs, items).leaks().select("digest")
+        leaked = found if leaked is None else leaked.unionByName(found)
+    leaked = written(leaked.distinct(), "leaked-texts").select(F.col("digest").alias("leaked"))
+    digest = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
+    return docs.join(leaked, digest == F.col("leaked"), "left_anti")

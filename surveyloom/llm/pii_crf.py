@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.llm.batches import map_batches, texts_of
+from surveyloom.llm.batches import map_batches, place_of, texts_of
 from surveyloom.llm.pii_examples import EXAMPLES
 
 KINDS = ("email", "ip", "card", "phone")
@@ -604,7 +604,7 @@ def masked(text: str, spans: list[Span]) -> str:
 def mask_personal_data(docs: DataFrame, examples: tuple[str, ...] = EXAMPLES) -> DataFrame:
     """All rows and columns, with personal data in ``text`` masked; null texts stay null."""
     field = train(examples)
-    at = docs.columns.index("text")
+    at = place_of(docs, "text")
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -120,3 +120,50 @@ def test_common_edited_copies_are_found(spark, n_words):
     found = dc.find_leaks(docs, benchmark).collect()
     assert sorted(r.doc_id for r in found) == list(range(100))
     assert sorted(r.doc_id for r in dc.drop_leaks(docs, benchmark).collect()) == list(range(100, 300))
+
+
+def test_null_items_and_columns_of_another_case(spark):
+    item = " ".join(f"word{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, f"x {item} y"), (2, "nothing")], "doc_id long, Text string")
+    benchmark = spark.createDataFrame([(None, item), (-1, "other words here")], "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in dc.find_leaks(docs, benchmark).collect()] == [(1, None)]
+    kept = dc.drop_leaks(docs, benchmark)
+    assert kept.columns == ["doc_id", "Text"] and [r.doc_id for r in kept.collect()] == [2]
+
+
+def test_a_lone_frequent_phrase_opens_nothing_but_pairs_do(spark):
+    """Each document shares words with the item, but only one of its runs of three."""
+    item = [f"w{i}" for i in range(24)]
+    lone = " ".join(w if i % 3 or i == 3 else "edit" for i, w in enumerate(item))
+    rows = [(i, f"{lone} {i}") for i in range(40)] + [(99, " ".join(item))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = dc.build_items([(5, " ".join(item))])
+    numbers = items.numbers(lone)
+    at, seed = items.hits(numbers)
+    assert len(dc.rare_seeds(docs, items)) == 22 and len(at) >= 1
+    found = dc.find_leaks(docs, spark.createDataFrame([(5, " ".join(item))], "item_id long, text string"))
+    assert 99 in {r.doc_id for r in found.collect()}
+
+
+KINDS = {
+    "replaced": lambda rng, words: [w if rng.random() > 0.2 else "new" for w in words],
+    "dropped": lambda rng, words: [w for w in words if rng.random() > 0.2],
+    "inserted": lambda rng, words: [x for w in words for x in ((w,) if rng.random() > 0.2 else (w, "new"))],
+    "moved": lambda rng, words: words[len(words) // 2:] + words[: len(words) // 2],
+}
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_recall_over_kinds_of_edit(spark, kind):
+    rng = random.Random(kind)
+    bank = [f"{a}{b}" for a in "bcdfghklmnprst" for b in ("ane", "ole", "ith", "ur", "est", "ing", "ay", "o")]
+    items = [[rng.choice(bank) for _ in range(rng.randint(30, 70))] for _ in range(120)]
+    rows = [
+        (i, " ".join(rng.choices(bank, k=40) + KINDS[kind](rng, list(item)) + rng.choices(bank, k=60)))
+        for i, item in enumerate(items)
+    ] + [(1000 + i, " ".join(rng.choices(bank, k=150))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in dc.find_leaks(docs, benchmark).collect()}
+    assert len({(i, i) for i in range(120)} & found) >= 0.95 * 120
+    assert not [pair for pair in found if pair[0] >= 1000]
