@@ -18,8 +18,37 @@ import regex
 # Fixed values of the file format: white space as Unicode defines it, and the cutting pattern.
 SPACE = r"\t-\r \x85\xa0  -     　"
 FILE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Code points that this Python's pattern library takes for letters and the file's
+# library, which goes by an earlier Unicode version, does not.
+NO_LETTERS = (
+    "0558 058B-058C 088F 0C5C 0CDC 208F 209D-209F A7CE-A7CF A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF "
+    "10940-10959 10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DF1 16EA0-16EB8 16EBB-16ED3 "
+    "16FF2-16FF3 187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 "
+    "1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE "
+    "1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD "
+    "323B0-33479 3D000-3FC3F"
+)
+# Capitals whose small letters the library knows and this Python does not.
+LATER_CAPITALS = {
+    0x1C89: 0x1C8A, 0xA7CB: 0x0264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5,
+    0xA7DA: 0xA7DB, 0xA7DC: 0x019B, **{p: p + 0x20 for p in range(0x10D50, 0x10D66)},
+    **{p: p + 0x1B for p in range(0x16EA0, 0x16EB9)},
+}
+
+
+def _pieces_pattern() -> str:
+    """The file's pattern with the letters its library knows."""
+    ranges = "".join(
+        "-".join(f"\\U{int(end, 16):08X}" for end in part.split("-")) for part in NO_LETTERS.split()
+    )
+    letters = rf"[\p{{L}}--[{ranges}]]"
+    pattern = FILE_PATTERN.replace(r"[\p{L}]", letters)
+    return "(?V1)" + pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^{SPACE}\p{{N}}{letters}]")
+
+
 _SPACES = regex.compile(f"[{SPACE}]+")
-_PIECES = regex.compile(FILE_PATTERN.replace(r"\s", SPACE))
+_PIECES = regex.compile(_pieces_pattern())
+_LATER = regex.compile("[" + "".join(map(chr, LATER_CAPITALS)) + "]")
 #: Characters that str.split() takes for white space and Unicode doesn't.
 _SEPARATORS = regex.compile(r"[\x1c-\x1f]")
 
@@ -86,6 +115,8 @@ class WordVocabulary:
         else:
             # The library lower-cases character by character, hence no final sigma.
             lower = unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
+            if _LATER.search(lower):
+                lower = lower.translate(LATER_CAPITALS)
             found = [lower] if lower.isalpha() else _PIECES.findall(lower)
         chars = self._bytes
         return ["".join([chars[b] for b in p.encode()]) for p in found]

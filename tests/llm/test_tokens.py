@@ -110,3 +110,18 @@ def test_empty_table(docs):
     none = docs.where("false")
     assert token_counts.count_tokens(none).count() == 0
     assert bpe_automaton.encoding_digests(none).count() == 0
+
+
+def test_pieces_of_every_code_point(library):
+    """Each between letters and a digit, against the library's own normaliser and cut."""
+    vocabulary = WordVocabulary(read_vocabulary_file())
+    normal, cut = library.normalizer, library.pre_tokenizer
+    wrong = []
+    for point in range(1, 0x110000):
+        if 0xD800 <= point < 0xE000:
+            continue
+        text = f"a{chr(point)}b1{chr(point)}"
+        expected = [piece for piece, _ in cut.pre_tokenize_str(normal.normalize_str(text))]
+        if [p for word in vocabulary.words(text) for p in vocabulary.pieces(word)] != expected:
+            wrong.append(hex(point))
+    assert wrong == []
