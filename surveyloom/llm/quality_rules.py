@@ -57,6 +57,7 @@ BINS_PER_OCTAVE = 16
 FLOORS = (0.05, 0.15, 0.15, 0.7, 0.7)
 DIM = len(FLOORS)
 
+NULLS = {"ignoreNullFields": "false"}
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 VECTOR = ", ".join(f"x{i} long" for i in range(DIM))
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -217,8 +218,9 @@ def group_names(counted: DataFrame) -> DataFrame:
     )
     named = sizes.join(by_lang, F.col("g_lang").eqNullSafe(F.col("small_lang")), "left").select(
         "g_lang", "g_source",
-        F.when(F.col("n") >= MIN_ROWS, F.to_json(F.struct("g_lang", "g_source")))
-        .when(F.col("n_lang") >= MIN_ROWS, F.to_json(F.struct("g_lang")))
+        # With nulls written out, so that a null source is no pool of small ones.
+        F.when(F.col("n") >= MIN_ROWS, F.to_json(F.struct("g_lang", "g_source"), NULLS))
+        .when(F.col("n_lang") >= MIN_ROWS, F.to_json(F.struct("g_lang"), NULLS))
         .otherwise("rest")
         .alias("grp"),
     )

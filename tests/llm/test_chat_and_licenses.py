@@ -132,3 +132,11 @@ def test_standard_headers_plain_and_in_comments(spark):
     found = {r.doc_id: r for r in license_scan.scan_licenses(docs).collect()}
     for i, (name, ids, text) in enumerate(rows):
         assert (found[i].license, found[i].sentence_ids) == (name, ids), text
+
+
+def test_a_conversation_of_the_specimens_number_stays_apart(spark):
+    rows = [(-1, 0, "user", "mine"), (-1, 1, "assistant", "yours"), (3, 0, "user", "x")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = chat_format.conversation_digests(chat_format.with_specimen(turns)).collect()
+    assert sorted((r.conv_id, r.n_turns) for r in found) == [(-1, 2), (-1, 2), (3, 1)]
+    assert len({r.turns_sha256 for r in found}) == 3

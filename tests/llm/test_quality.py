@@ -183,3 +183,12 @@ def test_classifier_takes_odd_rows(docs, spark):
     import zlib
 
     assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in remainder if r.doc_id)
+
+
+def test_a_null_source_is_no_pool_of_small_ones(spark):
+    words = " ".join(f"word{i}" for i in range(40))
+    rows = [(i, words, "en", None if i < 70 else f"s{i}") for i in range(140)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    counted = docs.withColumn("base_failed", F.lit(False))
+    names = {(r.g_lang, r.g_source): r.grp for r in qr.group_names(counted).collect()}
+    assert names["en", None] != names["en", "s70"] == names["en", "s139"]
