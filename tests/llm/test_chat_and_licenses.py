@@ -140,3 +140,73 @@ def test_a_conversation_of_the_specimens_number_stays_apart(spark):
     found = chat_format.conversation_digests(chat_format.with_specimen(turns)).collect()
     assert sorted((r.conv_id, r.n_turns) for r in found) == [(-1, 2), (-1, 2), (3, 1)]
     assert len({r.turns_sha256 for r in found}) == 3
+
+
+BSD_TAIL = """
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+ENDORSE = """
+3. Neither the name of the University nor the names of its contributors may be used to
+   endorse or promote products derived from this software without specific prior
+   written permission."""
+RESERVED_BSD = BSD.replace("A. Person", "A. Person. All rights reserved.")
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version."""
+HEADERS = {
+    "BSD-2-Clause": RESERVED_BSD + BSD_TAIL, "BSD-3-Clause": RESERVED_BSD + BSD_TAIL + ENDORSE,
+    "LGPL-2.1-or-later": LGPL,
+    "AGPL-3.0-or-later": LGPL.replace("Lesser", "Affero").replace("; either\nversion 2.1", ", either\nversion 3"),
+    "GPL-2.0-or-later": LGPL.replace("Lesser ", "").replace("2.1", "2"),
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or "
+    "without fee is hereby granted, provided that the above\ncopyright notice and this permission notice "
+    "appear in all copies.",
+    "0BSD": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or "
+    "without fee is hereby granted.",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms\nof the "
+    "Eclipse Public License 2.0 which is available at\nhttps://www.eclipse.org/legal/epl-2.0/",
+    "Zlib": "Permission is granted to anyone to use this software for any purpose,\nincluding commercial "
+    "applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:",
+    "GPL-3.0": "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007",
+    "MIT": "SPDX-License-Identifier: MIT", "MIT OR Apache-2.0": "SPDX-License-Identifier: MIT OR Apache-2.0",
+    "Proprietary": "Copyright 2020. All rights reserved.",
+    "CC-BY-SA-3.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.",
+    "OFL-1.1": "Licensed under the SIL Open Font License 1.1.",
+}
+
+
+def marked_headers():
+    return [
+        (name, "intro line\n\n" + "\n".join((mark + line).rstrip() for line in text.split("\n")) + "\n\nint x;")
+        for name, text in HEADERS.items() for mark in ("", " * ", "# ", "// ")
+    ]
+
+
+def test_more_licences_plain_wrapped_and_in_comments(spark):
+    rows = marked_headers()
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    found = {r.doc_id: r for r in license_scan.scan_licenses(docs).collect()}
+    assert [(rows[i][1], r.licenses) for i, r in found.items() if r.license != rows[i][0]] == []
+    assert "Proprietary" not in found[0].licenses and found[0].licenses == "BSD-2-Clause"
+
+
+def test_sql_knows_long_sentences_wherever_they_stand(spark):
+    import duckdb
+    from oracle_compare import differences
+
+    texts = [t for _, t in marked_headers()]
+    for header in (MPL, APACHE, MIT, BSD):
+        texts += ["\n".join(mark + line for line in header.split("\n")) for mark in ("", " * ", "# ")]
+    texts += ["word " + MIT.replace("\n", " ") + " and so on", MIT + " " + MIT, None, "", "All rights reserved. x"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    connection = duckdb.connect()
+    connection.register("documents", docs.toPandas())
+    assert differences(license_scan.scan_licenses(docs), connection, license_scan.oracle()) is None
+
+
+def test_number_of_licences_and_notices():
+    known = license_scan.known_sentences()
+    licences = {name for name, _ in license_scan.RULES} | {n[3:] for n in known.values() if n[:3] == "is:"}
+    assert len(licences) >= 60 and len(known) >= 200
