@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from surveyloom.functions.fixed_values import MIN_RESPONDENTS
 from surveyloom.operators import headers as hd
 from surveyloom.plans import gold, silver
-from surveyloom.session import configure
+from surveyloom.session import configured
 from surveyloom.sources import bronze, sinks, workspace
 from surveyloom.sources.mapping import SurveyMapping, read_mapping
 
@@ -104,20 +104,20 @@ def bronze_to_silver(
     Editions given replace those stored, others stay. ``encoding="auto"`` falls back to Latin-1 for
     files that are not UTF-8. Keys are made from answers, so an edition loaded again keeps them.
     """
-    configure(spark)
-    mapping = mapping or read_mapping(spark)
-    landed = land_editions(spark, paths, mapping, encoding, strict)
-    people = silver.align_union(silver.respondents(part.rows, mapping.states) for part in landed)
-    items = [t for t in (silver.technologies(part.rows) for part in landed) if t is not None]
-    # Where no edition asked such a question the table is there, and empty.
-    technologies = silver.align_union(items) if items else spark.createDataFrame([], ANSWERS)
-    years = list(paths)
-    written = {
-        "respondentes": sinks.replace_editions(people, f"{silver_base}/respondentes", years),
-        "tecnologias": sinks.replace_editions(technologies, f"{silver_base}/tecnologias", years),
-    }
-    for part in landed:
-        workspace.delete(spark, part.path)
+    with configured(spark):
+        mapping = mapping or read_mapping(spark)
+        landed = land_editions(spark, paths, mapping, encoding, strict)
+        people = silver.align_union(silver.respondents(p.rows, mapping.states) for p in landed)
+        items = [t for t in (silver.technologies(p.rows) for p in landed) if t is not None]
+        # Where no edition asked such a question the table is there, and empty.
+        technologies = silver.align_union(items) if items else spark.createDataFrame([], ANSWERS)
+        years = list(paths)
+        written = {
+            "respondentes": sinks.replace_editions(people, f"{silver_base}/respondentes", years),
+            "tecnologias": sinks.replace_editions(technologies, f"{silver_base}/tecnologias", years),
+        }
+        for part in landed:
+            workspace.delete(spark, part.path)
     return written
 
 
@@ -130,19 +130,20 @@ def silver_to_gold(
     Every gold figure is that of one edition, so with ``years`` only these are read and replaced;
     without, editions that silver does not hold any more are removed.
     """
-    configure(spark)
-    respondents = sinks.read_table(spark, f"{silver_base}/respondentes")
-    items = spark.read.schema(ANSWERS).parquet(f"{silver_base}/tecnologias")
-    if years is not None:
-        respondents, items = (t.where(F.col("ano").isin(list(years))) for t in (respondents, items))
-    replaced = sinks.editions_in(spark, f"{silver_base}/respondentes") if years is None else years
-    out = {}
-    for name, df in gold.all_tables(respondents, items, minimum, digits).items():
-        path = f"{gold_base}/{name}"
-        out[name] = sinks.replace_editions(sinks.sorted_by(df, gold.GOLD_ORDER[name]), path, replaced)
-        if years is None:
-            gone = set(sinks.editions_in(spark, path)) - set(replaced)
-            sinks.remove_editions(spark, path, gone)
+    with configured(spark):
+        respondents = sinks.read_table(spark, f"{silver_base}/respondentes")
+        items = spark.read.schema(ANSWERS).parquet(f"{silver_base}/tecnologias")
+        replaced = sinks.editions_in(spark, f"{silver_base}/respondentes")
+        if years is not None:
+            replaced = list(years)
+            respondents, items = (t.where(F.col("ano").isin(replaced)) for t in (respondents, items))
+        out = {}
+        for name, df in gold.all_tables(respondents, items, minimum, digits).items():
+            path, ordered = f"{gold_base}/{name}", sinks.sorted_by(df, gold.GOLD_ORDER[name])
+            out[name] = sinks.replace_editions(ordered, path, replaced)
+            if years is None:
+                gone = set(sinks.editions_in(spark, path)) - set(replaced)
+                sinks.remove_editions(spark, path, gone)
     return out
 
 

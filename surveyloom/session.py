@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -15,7 +18,23 @@ SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings to a running session."""
+    """Give the settings to a running session, for frames that are computed later.
+
+    What the caller has set stays as it is.
+    """
     for name, value in SETTINGS.items():
-        spark.conf.set(name, value)
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, value)
     return spark
+
+
+@contextmanager
+def configured(spark: SparkSession) -> Iterator[SparkSession]:
+    """The settings while a job runs; afterwards the session is as it was."""
+    before = {name: spark.conf.get(name, None) for name in SETTINGS}
+    try:
+        yield configure(spark)
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,12 +17,19 @@ STAGING = "_preparo-"
 def shared_folder(spark: SparkSession) -> str:
     """Folder that all executors share: the one in ``spark.checkpoint.dir``, else the warehouse's.
 
-    Both are configuration, so the place never depends on the machine or the kind of master.
+    Both are configuration. Where executors may run on other machines, a warehouse on a local disk
+    is refused: each would write to its own.
     """
     folder = spark.conf.get(SETTING, None)
     if folder:
         return folder.rstrip("/")
-    return f"{spark.conf.get(FALLBACK).rstrip('/')}/_intermediate"
+    warehouse = spark.conf.get(FALLBACK).rstrip("/")
+    one_machine = spark.sparkContext.master.startswith(("local[", "local-cluster[")) or (
+        spark.sparkContext.master == "local"
+    )
+    if not one_machine and urlsplit(warehouse).scheme in ("", "file"):
+        raise ValueError(f"set {SETTING} to a folder that all executors share")
+    return f"{warehouse}/_intermediate"
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:

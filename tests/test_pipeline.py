@@ -331,3 +331,37 @@ def test_failed_replacement_leaves_the_table(spark, tmp_path):
     assert sinks.replace_editions(kept, path, [2023, 2024]) == 1
     assert sinks.editions_in(spark, path) == [2023]
     assert [tuple(r) for r in sinks.read_table(spark, path).select("ano", "id").collect()] == [(2023, 0)]
+
+
+def test_jobs_leave_the_session_as_it_was(spark, stored):
+    from surveyloom.session import SETTINGS, configured
+
+    name = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.set(name, "1234")
+    try:
+        with configured(spark):
+            assert spark.conf.get(name) == "1234"
+        assert spark.conf.get(name) == "1234"
+    finally:
+        spark.conf.unset(name)
+    with configured(spark):
+        assert spark.conf.get(name) == SETTINGS[name]
+    assert spark.conf.get(name, None) is None
+
+
+class _Elsewhere:
+    """A session on a cluster, as far as the choice of a folder looks."""
+
+    def __init__(self, **settings):
+        self.conf = {name.replace("_", "."): value for name, value in settings.items()}
+        self.sparkContext = type("Context", (), {"master": "spark://host:7077"})
+
+
+def test_local_disks_are_refused_on_a_cluster():
+    from surveyloom.sources.workspace import shared_folder
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(_Elsewhere(spark_sql_warehouse_dir="file:/tmp/warehouse"))
+    assert shared_folder(_Elsewhere(spark_sql_warehouse_dir="hdfs://n/w")) == "hdfs://n/w/_intermediate"
+    shared = _Elsewhere(spark_checkpoint_dir="hdfs://n/c/", spark_sql_warehouse_dir="file:/tmp/w")
+    assert shared_folder(shared) == "hdfs://n/c"
