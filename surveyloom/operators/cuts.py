@@ -39,18 +39,22 @@ def cut_histogram(
 ) -> DataFrame:
     """Band histogram of every cut over the respondents with a value, from one scan.
 
-    GROUPING SETS read the table once. Each task combines its rows before the shuffle to (cells of
-    all cuts x bands), a few thousand rows however many respondents it read. Grouping by all
-    dimensions at once first would shrink nothing, since the full crossing has about as many cells
-    as a task has rows.
+    GROUPING SETS read the table once, for the cuts that are part of no other: three pairs and four
+    single ones of the eleven, so a respondent is expanded seven times. Each task combines its rows
+    before the shuffle to (cells of these cuts x bands), a few thousand rows however many
+    respondents it read. Cuts by one dimension of a pair are added up from those cells afterwards.
     """
     present = usable_cuts(df, cuts)
-    dims = list(dict.fromkeys(d for names in present.values() for d in names))
+    whole = [
+        names for names in present.values()
+        if not any(set(names) < set(other) for other in present.values())
+    ]
+    dims = list(dict.fromkeys(d for names in whole for d in names))
     always = [edition, lower, upper, value]
     columns = [edition, *dims, lower, upper, value]
     grouped = (
         df.select(*columns)
-        .groupingSets([[*always, *names] for names in present.values()], *columns)
+        .groupingSets([[*always, *names] for names in whole], *columns)
         .agg(F.grouping_id().alias("conjunto"), F.count(value).alias(COUNT))
         .where(F.col(COUNT) > 0)
     )
@@ -60,22 +64,26 @@ def cut_histogram(
         bits = ("0" if c in always or c in names else "1" for c in columns)
         return int("".join(bits), 2)
 
-    def by_cut(pick) -> Column:
-        chain = F.when(F.lit(False), F.lit(None).cast("string"))
-        for cut, names in present.items():
-            chain = chain.when(F.col("conjunto") == set_id(names), pick(cut, names))
-        return chain
-
-    return grouped.select(
-        F.col(edition).alias("ano"),
-        by_cut(lambda cut, names: F.lit(cut)).alias("recorte"),
-        by_cut(lambda cut, names: F.col(names[0]).cast("string")).alias("dimensao_1"),
-        by_cut(
-            lambda cut, names: F.col(names[1]).cast("string")
-            if len(names) > 1 else F.lit(None).cast("string")
-        ).alias("dimensao_2"),
-        lower, upper, value, COUNT,
+    def cell(cut: str, names: Sequence[str]) -> Column:
+        second = F.col(names[1]) if len(names) > 1 else F.lit(None)
+        return F.struct(
+            F.lit(cut).alias("recorte"), F.col(names[0]).cast("string").alias("dimensao_1"),
+            second.cast("string").alias("dimensao_2"),
+        )
+
+    taken: dict[tuple[str, ...], list[Column]] = {names: [] for names in whole}
+    for cut, names in present.items():
+        source = next(w for w in whole if set(names) <= set(w))
+        taken[source].append(cell(cut, names))
+    cells = F.coalesce(*[
+        F.when(F.col("conjunto") == set_id(names), F.array(*of)) for names, of in taken.items()
+    ])
+    spread = grouped.select(
+        F.col(edition).alias("ano"), F.inline(cells), F.col(lower), F.col(upper), F.col(value), COUNT
     )
+    return spread.groupBy(
+        "ano", "recorte", "dimensao_1", "dimensao_2", lower, upper, value
+    ).agg(F.sum(COUNT).alias(COUNT))
 
 
 def multi_cut(
