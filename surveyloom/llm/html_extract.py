@@ -610,8 +610,8 @@ def wrappers_of(trees: DataFrame) -> DataFrame:
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             grown = []
-            for pages in batch.column("trees").to_pylist():
-                found = [Tree(p["labels"], p["parents"], p["texts"]) for p in pages]
+            for pages in batch.column("trees"):
+                found = [Tree(p["labels"], p["parents"], p["texts"]) for p in pages.as_py()]
                 wrapper = found[0]
                 for page in found[1:]:
                     wrapper = grow(wrapper, page)

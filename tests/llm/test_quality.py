@@ -192,3 +192,48 @@ def test_a_null_source_is_no_pool_of_small_ones(spark):
     counted = docs.withColumn("base_failed", F.lit(False))
     names = {(r.g_lang, r.g_source): r.grp for r in qr.group_names(counted).collect()}
     assert names["en", None] != names["en", "s70"] == names["en", "s139"]
+
+
+def test_boosting_against_a_plain_booster(monkeypatch):
+    """Every split is the best of all, and every leaf the step of its rows, found row by row."""
+    monkeypatch.setattr(qc, "TREES", 4)
+    rng = np.random.default_rng(9)
+    x = np.round(rng.normal(size=(200, 4)), 2)
+    y = ((x[:, 0] + x[:, 1] ** 2 + rng.normal(size=200) / 2) > 0.8).astype(float)
+    trees = qc.grow_trees(x, y)
+    share = (y.sum() + 1) / 202
+    least = min(qc.LEAST_WEIGHT, qc.LEAST_SHARE * 200 * share * (1 - share))
+    edges = [sorted(np.quantile(x[:, f], k / qc.BINS, method="lower") for k in range(1, qc.BINS)) for f in range(4)]
+    score = [float(np.log(share / (1 - share)))] * 200
+    assert trees.base == pytest.approx(score[0])
+
+    def sums(rows, p):
+        return sum(y[r] - p[r] for r in rows), sum(p[r] * (1 - p[r]) for r in rows)
+
+    def gain(rows, p, feature, threshold):
+        left = [r for r in rows if x[r, feature] <= threshold]
+        right = [r for r in rows if x[r, feature] > threshold]
+        (g, h), (gl, hl), (gr, hr) = (sums(part, p) for part in (rows, left, right))
+        if hl < least or hr < least:
+            return 0.0
+        return gl**2 / (hl + qc.PENALTY) + gr**2 / (hr + qc.PENALTY) - g**2 / (h + qc.PENALTY)
+
+    for feature, threshold, leaf in zip(trees.feature, trees.threshold, trees.leaf):
+        p = [1 / (1 + np.exp(-s)) for s in score]
+        at = {0: list(range(200))}
+        for node in range(len(feature)):
+            rows = at.pop(node)
+            best = max((gain(rows, p, f, t) for f in range(4) for t in set(edges[f])), default=0.0)
+            if np.isinf(threshold[node]):
+                assert best <= 1e-9
+            else:
+                assert gain(rows, p, feature[node], threshold[node]) == pytest.approx(best, rel=1e-9)
+            at[2 * node + 1] = [r for r in rows if x[r, feature[node]] <= threshold[node]]
+            at[2 * node + 2] = [r for r in rows if x[r, feature[node]] > threshold[node]]
+        for place, value in enumerate(leaf):
+            rows = at[place + len(feature)]
+            g, h = sums(rows, p)
+            assert value == pytest.approx(qc.LEARNING_RATE * g / (h + qc.PENALTY), abs=1e-12)
+            for r in rows:
+                score[r] += value
+    assert trees.scores(x) == pytest.approx([1 / (1 + np.exp(-s)) for s in score])
