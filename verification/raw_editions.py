@@ -229,7 +229,8 @@ def _reload(spark: SparkSession, sf_dir: str) -> str:
     load({1996: corrected})
     pipeline.drop_editions(spark, [1995], silver, gold)
     load({1998: f"{given['bronze']}/edicao_1998"})
-    for row in spark.sql(f"SHOW TABLES IN {database}").collect():
+    # Temporary views of the session are listed beside the tables of any database.
+    for row in spark.sql(f"SHOW TABLES IN {database}").where("NOT isTemporary").collect():
         sinks.register_partitions(spark, f"`{database}`.`{row['tableName']}`")
     _reloaded[key] = database
     return database
