@@ -195,6 +195,8 @@ _FOUND = "row long, doc_id long, digest string, item int, score long, first_word
 #: What one pass leaves: counts of seeds, leaks, and windows of single seeds.
 _PASS = f"seed long, n long, {_FOUND}, words array<long>, alone array<long>"
 _DOCUMENTS = -1
+#: Of a text's digest, so that the table of leaked texts stays small enough to be sent for longer.
+_DIGEST_DIGITS = 32
 
 
 def _arrow(schema: str, rows: list[dict]) -> pa.RecordBatch | None:
@@ -345,6 +347,8 @@ def drop_leaks(
     for items in item_blocks(benchmark, block_words):
         found = Block(docs, items).leaks().select("digest")
         leaked = found if leaked is None else leaked.unionByName(found)
-    leaked = written(leaked.distinct(), "leaked-texts").select(F.col("digest").alias("leaked"))
-    digest = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
+    short = F.unhex(F.left("digest", F.lit(_DIGEST_DIGITS))).alias("leaked")
+    leaked = written(leaked.select(short).distinct(), "leaked-texts")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    digest = F.unhex(F.left(F.sha2(text, 256), F.lit(_DIGEST_DIGITS)))
     return docs.join(leaked, digest == F.col("leaked"), "left_anti")
