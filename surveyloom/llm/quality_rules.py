@@ -4,17 +4,27 @@ The base rules count words and repetition. What passes them is turned into a vec
 statistics, and a minimum-covariance-determinant estimate for each language and source tells which
 vectors lie too far out, by their Mahalanobis distance.
 
+**Statistics.** Word length, marks (punctuation and symbols), short words and ends of sentences: four
+shares that vary in every clean text. Each is smoothed as if the text had ``PRIOR_WORDS`` more words
+with the median shares of its group, so that short texts do not spread more widely than long ones.
+
 **Estimation.** Vectors are kept in fixed point, so every sum is exact and independent of the order
-of tasks. From several starts, concentration steps repeat: distances under the present centre and
-covariance; of each group the ``SUBSET`` share with the least distances, found on a histogram of
-their logarithms; centre and covariance of these. The start with the least determinant wins. Rows
-never leave their tasks: a step ships one row of counts or sums for each task, group and start. A
-group with a third of all rows is pre-aggregated like any other. The steps go through small tables
-in the shared folder, so a lost executor costs one step.
+of tasks. From several starts (the mean, the median, and small subsets drawn by hash), concentration
+steps repeat: distances under the present centre and covariance; of each group the ``SUBSET`` share
+with the least distances, found on a histogram of their logarithms; centre and covariance of these.
+The start with the least determinant wins. Rows never leave their tasks: a step ships one row of
+counts or sums for each task, group and start. A group with a third of all rows is pre-aggregated
+like any other. The steps go through small tables in the shared folder, so a lost executor costs one
+step.
+
+**Limit.** Squared distances of clean text follow the law of ``DIM`` times an F-ratio of ``DIM`` and as
+many degrees as the estimate has rows; a text goes beyond what a share of ``BEYOND`` of such texts
+exceeds. That is 23.5 for many rows, as by the chi-square law, and more for few.
 
 **Small groups.** A language and source with fewer than ``MIN_ROWS`` rows is estimated with the
-other small ones of its language; if these are still too few, with those of all languages; if even
-these are too few, nothing is rejected there.
+other small ones of its language; if these are still too few, with those of all languages. Every
+estimate leans on that of all central rows together as if it had ``PRIOR_ROWS`` rows more, and that
+one on ``PRIOR_SPREAD`` in the same way, so each row is judged however few there are.
 
 Null text counts as no words and fails the base rules. Null language or source is a value of its
 own. Repeated rows count as often as they occur. An empty table gives an empty result. Other
@@ -42,28 +52,39 @@ WINDOW = 8
 SUBSET = 0.75
 MIN_ROWS = 60
 STEPS = 4
-#: Covariance of all rows over that of the central ``SUBSET`` share, for normal rows of five
+#: Words with the group's median shares that every text is given on top of its own.
+PRIOR_WORDS = 200
+#: Longest short word, in code points.
+SHORT = 3
+DIM = 4
+#: Covariance of all rows over that of the central ``SUBSET`` share, for normal rows of ``DIM``
 #: coordinates.
-CONSISTENCY = 1.412
-#: Greatest squared distance that is kept. Far out, since statistics of short texts spread more
-#: widely than a normal law has it.
-LIMIT = 150.0
+CONSISTENCY = 1.4864
+#: Share of clean texts that the law of the distances leaves beyond the limit.
+BEYOND = 1e-4
+#: Random starts of the search beside the mean and the median, and the rows expected in each.
+RANDOM_STARTS = 3
+START_ROWS = 12
+#: Rows by which an estimate leans on that of all groups, and that one on ``PRIOR_SPREAD``.
+PRIOR_ROWS = 10
+PRIOR_SPREAD = 0.5
+#: Least variance of a coordinate, against singular matrices only.
+RIDGE = 1e-5
 #: Steps of the fixed-point vectors, for one unit.
-SCALE = 256
+SCALE = 1024
 BINS_PER_OCTAVE = 16
-#: Least standard deviations of the coordinates: a statistic that hardly varies in clean text
-#: (no symbols, no repeated line) must not make a single symbol an outlier, nor a repeated heading,
-#: since the base rules judge repetition by itself.
-FLOORS = (0.05, 0.15, 0.15, 0.7, 0.7)
-DIM = len(FLOORS)
 
 NULLS = {"ignoreNullFields": "false"}
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-VECTOR = ", ".join(f"x{i} long" for i in range(DIM))
+SHAPE = "n_marks long, n_short long, n_ends long"
+#: Share of each statistic, as numerator and denominator.
+SHARES = (("word_chars", "n_words"), ("n_marks", "word_chars"), ("n_short", "n_words"),
+          ("n_ends", "n_words"))
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SYMBOLS = "#*$%&|<>"
 _SPACES = " \t\n\x0b\x0c\r"
-_UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]")
+_MARK = re.compile(r"[^\w\s]")
+_END = re.compile(r"[.!?。！？।؟]")
 _UNIT = re.compile(r"\x1c|\x1d|\x1e|\x1f|[\x85\xa0  -     　]")
 
 
@@ -107,30 +128,14 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
     return len(words), len(text) - spaces, symbols, repeated, repeated_words(words)
 
 
-def vector_of(text: str, counts: tuple[int, int, int, int, int]) -> list[int]:
-    """Transformed statistics in fixed point.
-
-    In order: logarithms of the mean word length and of four shares (in hundredths, one added):
-    symbols, upper case, repeated words, repeated lines.
-    """
-    n_words, word_chars, n_symbols, n_dup_lines, n_repeat = counts
-    chars, words = max(word_chars, 1), max(n_words, 1)
-    upper = len(_UPPER.findall(text))
-    lines = text.count("\n") + 1
-    x = np.log(
-        [
-            chars / words,
-            1 + 100 * n_symbols / chars,
-            1 + 100 * upper / chars,
-            1 + 100 * n_repeat / words,
-            1 + 100 * n_dup_lines / lines,
-        ]
-    )
-    return np.rint(x * SCALE).astype(np.int64).tolist()
+def shape_counts(text: str) -> tuple[int, int, int]:
+    """``n_marks, n_short, n_ends``: what the statistics need beside the base counts."""
+    short = sum([len(w) <= SHORT for w in words_of(text)])
+    return len(_MARK.findall(text)), short, len(_END.findall(text))
 
 
 def document_counts(docs: DataFrame, carried: Column) -> DataFrame:
-    """``carried, lang, source``, the base counts, ``base_failed`` and the vector ``x0..``.
+    """``carried, lang, source``, the base counts, those of ``SHAPE`` and ``base_failed``.
 
     ``carried`` is what a caller wants to find again beside the verdict of a row: its id, or all of
     its columns as one struct, which no name can clash with.
@@ -139,12 +144,10 @@ def document_counts(docs: DataFrame, carried: Column) -> DataFrame:
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = texts_of(batch)
-            counts = [base_counts(t) for t in texts]
-            vectors = [vector_of(t, c) for t, c in zip(texts, counts, strict=True)]
             columns = [batch.column(c) for c in ("carried", "lang", "source")]
-            table = np.array([[*c, *v] for c, v in zip(counts, vectors, strict=True)], np.int64)
+            table = np.array([[*base_counts(t), *shape_counts(t)] for t in texts], np.int64)
             columns += [pa.array(table[:, i]) for i in range(table.shape[1])]
-            names = [part.split()[0] for part in f"{BASE}, {VECTOR}".split(", ")]
+            names = [part.split()[0] for part in f"{BASE}, {SHAPE}".split(", ")]
             return pa.RecordBatch.from_arrays(columns, names=["carried", "lang", "source", *names])
 
         return run
@@ -156,7 +159,7 @@ def document_counts(docs: DataFrame, carried: Column) -> DataFrame:
     )
     schema = StructType(
         [*typed.schema.fields[:3],
-         *[StructField(part.split()[0], LongType()) for part in f"{BASE}, {VECTOR}".split(", ")]]
+         *[StructField(part.split()[0], LongType()) for part in f"{BASE}, {SHAPE}".split(", ")]]
     )
     counted = map_batches(typed, make, schema)
     failed = (F.col("n_words") < MIN_WORDS) | (
@@ -168,8 +171,7 @@ def document_counts(docs: DataFrame, carried: Column) -> DataFrame:
 def apply_rules(docs: DataFrame) -> DataFrame:
     """``doc_id``, the base counts, ``base_failed``, ``distance`` and ``kept``.
 
-    ``distance`` is the squared robust distance; null where the base rules fail or no estimate
-    exists.
+    ``distance`` is the squared robust distance; null where the base rules fail.
     """
     counted = written(document_counts(docs, F.col("doc_id").cast("long")), "quality-counts")
     judged = _judged(counted, *_estimates(counted))
@@ -192,7 +194,7 @@ def keep_good(docs: DataFrame) -> DataFrame:
 
 def _estimates(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The group of each language and source, and the estimate of each group."""
-    groups = group_names(counted)
+    groups = with_medians(counted, group_names(counted))
     estimates = estimate(with_group(counted, groups).where(~F.col("base_failed")))
     return groups, written(estimates, "quality-estimates")
 
@@ -201,7 +203,7 @@ def _judged(rows: DataFrame, groups: DataFrame, estimates: DataFrame) -> DataFra
     judged = with_group(rows, groups).join(estimates, "grp", "left").withColumn(
         "distance", F.when(~F.col("base_failed"), squared_distance())
     )
-    kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= LIMIT)
+    kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= F.col("limit"), F.lit(True))
     return judged.withColumn("kept", kept)
 
 
@@ -227,12 +229,39 @@ def group_names(counted: DataFrame) -> DataFrame:
     return written(named, "quality-groups")
 
 
+def with_medians(counted: DataFrame, named: DataFrame) -> DataFrame:
+    """Adds ``share0..``, the medians of each group, to the names of groups."""
+    passed = counted.where(~F.col("base_failed"))
+    same = passed["lang"].eqNullSafe(F.col("g_lang")) & passed["source"].eqNullSafe(
+        F.col("g_source")
+    )
+    medians = passed.join(named, same).groupBy("grp").agg(
+        *[F.percentile_approx(F.col(a) / F.col(b), 0.5, 1000).alias(f"share{i}")
+          for i, (a, b) in enumerate(SHARES)]
+    )
+    return written(named.join(medians, "grp"), "quality-shares")
+
+
 def with_group(counted: DataFrame, groups: DataFrame) -> DataFrame:
-    """Adds ``grp``; null where no row of the language and source passed the base rules."""
+    """Adds ``grp`` and the vector ``x0..`` in fixed point.
+
+    Both are null where no row of the language and source passed the base rules. The vector holds
+    the logarithms of the mean word length and of three shares in hundredths, one added: marks,
+    short words, ends of sentences.
+    """
     same = counted["lang"].eqNullSafe(F.col("g_lang")) & counted["source"].eqNullSafe(
         F.col("g_source")
     )
-    return counted.join(groups, same, "left").drop("g_lang", "g_source")
+    joined = counted.join(groups, same, "left")
+    x = {}
+    for i, (a, b) in enumerate(SHARES):
+        # Characters come by the word, so their weight is that of as many words.
+        weight = PRIOR_WORDS * (F.col("share0") if b == "word_chars" else F.lit(1.0))
+        share = (F.col(a) + weight * F.col(f"share{i}")) / (F.col(b) + weight)
+        value = F.log(share) if i == 0 else F.log(1 + 100 * share)
+        x[f"x{i}"] = F.round(value * SCALE).cast("long")
+    kept = [c for c in joined.columns if c not in groups.columns or c == "grp"]
+    return joined.withColumns(x).select(*kept, *x)
 
 
 def squared_distance() -> Column:
@@ -253,12 +282,14 @@ def _sums() -> list[Column]:
     return [*out, F.array(*products).alias("p")]
 
 
-ESTIMATE = "grp string, start int, centre array<double>, precision array<double>, logdet double"
+ESTIMATE = (
+    "grp string, start int, n long, centre array<double>, cov array<double>, "
+    "precision array<double>, logdet double"
+)
 
 
 def _fit(sums: DataFrame) -> DataFrame:
-    """Centre, precision and determinant of every row of sums; a handful of small matrices."""
-    floors = np.array(FLOORS)
+    """Centre, covariance and determinant of every row of sums; a handful of small matrices."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         upper = np.triu_indices(DIM)
@@ -268,60 +299,116 @@ def _fit(sums: DataFrame) -> DataFrame:
                 centre = np.asarray(r.s, float) / r.n / SCALE
                 cov = np.zeros((DIM, DIM))
                 cov[upper] = np.asarray(r.p, float) / r.n / SCALE**2
-                cov = cov + np.triu(cov, 1).T - np.outer(centre, centre)
-                if r.diagonal:
-                    cov = np.diag(np.diag(cov))
-                cov *= r.factor
-                cov += np.diag(np.maximum(floors**2 - np.diag(cov), 1e-6))
+                cov = (cov + np.triu(cov, 1).T - np.outer(centre, centre)) * r.factor
+                cov += RIDGE * np.eye(DIM)
                 sign, logdet = np.linalg.slogdet(cov)
-                rows.append((r.grp, r.start, centre, np.linalg.inv(cov).ravel(), logdet))
-            yield pd.DataFrame(rows, columns=["grp", "start", "centre", "precision", "logdet"])
+                precision = np.linalg.inv(cov).ravel()
+                rows.append((r.grp, r.start, r.n, centre, cov.ravel(), precision, logdet))
+            names = ["grp", "start", "n", "centre", "cov", "precision", "logdet"]
+            yield pd.DataFrame(rows, columns=names)
 
     return sums.mapInPandas(run, ESTIMATE)
 
 
 def estimate(rows: DataFrame) -> DataFrame:
-    """``grp, centre, precision`` of each group, by concentration steps from two starts.
+    """``grp, centre, precision, limit`` of each group, by concentration steps from several starts.
 
     Start 0 is the mean and covariance of all rows, start 1 the coordinate-wise median with the
-    spread of the rows between the outer eighths.
+    spread of the rows between the outer eighths, the others some ``START_ROWS`` rows each, drawn
+    by a hash of the vector and the number of the start.
     """
     rows = rows.where(F.col("grp").isNotNull()).select("grp", *[f"x{i}" for i in range(DIM)])
-    middle = rows.groupBy("grp").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[
-            F.percentile_approx(f"x{i}", [0.125, 0.5, 0.875], 1000).alias(f"q{i}")
-            for i in range(DIM)
-        ],
-    ).where(F.col("n") >= MIN_ROWS)
+    middle = written(
+        rows.groupBy("grp").agg(
+            F.count(F.lit(1)).alias("total"),
+            *[
+                F.percentile_approx(f"x{i}", [0.125, 0.5, 0.875], 1000).alias(f"q{i}")
+                for i in range(DIM)
+            ],
+        ),
+        "quality-middle",
+    )
     spread = [((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / (2.3 * SCALE)) for i in range(DIM)]
-    variance = [F.greatest(s * s, F.lit(f * f)) for s, f in zip(spread, FLOORS, strict=True)]
     diagonal = [
-        (1 / variance[i] if i == j else F.lit(0.0)) for i in range(DIM) for j in range(DIM)
+        (1 / (spread[i] * spread[i] + RIDGE) if i == j else F.lit(0.0))
+        for i in range(DIM) for j in range(DIM)
     ]
+    none = F.array(*[F.lit(0.0)] * DIM * DIM)
     robust = middle.select(
-        "grp", F.lit(1).alias("start"),
+        "grp", F.lit(1).alias("start"), F.col("total").alias("n"),
         F.array(*[F.col(f"q{i}")[1] / SCALE for i in range(DIM)]).alias("centre"),
-        F.array(*diagonal).alias("precision"), F.lit(0.0).alias("logdet"),
+        none.alias("cov"), F.array(*diagonal).alias("precision"), F.lit(0.0).alias("logdet"),
     )
-    classic = _fit(
-        rows.groupBy("grp").agg(*_sums()).where(F.col("n") >= MIN_ROWS)
-        .select("*", F.lit(0).alias("start"), F.lit(False).alias("diagonal"),
-                F.lit(1.0).alias("factor"))
+    numbers = F.array(F.lit(0), *[F.lit(2 + i) for i in range(RANDOM_STARTS)])
+    # Between 0 and 1, the same for equal vectors.
+    drawn = F.pmod(F.xxhash64("start", *[f"x{i}" for i in range(DIM)]), F.lit(1 << 52)) / 2.0**52
+    sums = (
+        rows.join(middle.select("grp", "total"), "grp")
+        .withColumn("start", F.explode(numbers))
+        .where((F.col("start") == 0) | (drawn * F.col("total") < START_ROWS))
+        .groupBy("grp", "start").agg(*_sums())
     )
-    now = written(classic.unionByName(robust), "quality-starts")
+    now = _fit(sums.withColumn("factor", F.lit(1.0))).unionByName(robust)
+    now = written(now, "quality-starts")
     for step in range(STEPS):
         now = written(_concentrate(rows, now, last=step == STEPS - 1), f"quality-step{step}")
-    best = now.groupBy("grp").agg(F.min_by(F.struct("centre", "precision"),
-                                           F.struct("logdet", "start")).alias("b"))
-    return best.select("grp", "b.centre", "b.precision")
+    best = now.groupBy("grp").agg(
+        F.min_by(F.struct("n", "centre", "cov"), F.struct("logdet", "start")).alias("b")
+    )
+    return _shrunk(written(best.select("grp", "b.*"), "quality-best"))
+
+
+def limit_of(degrees: float) -> float:
+    """Squared distance that a share of ``BEYOND`` exceeds, for so many degrees of the estimate.
+
+    For four statistics the tail of the F-ratio is ``w**a * (1 + a * (1 - w))`` with half the
+    degrees as ``a`` and ``w = degrees / (degrees + squared distance)``.
+    """
+    low, high, a = 0.0, 1.0, degrees / 2
+    for _ in range(60):
+        w = (low + high) / 2
+        low, high = (low, w) if w**a * (1 + a * (1 - w)) > BEYOND else (w, high)
+    return degrees * (1 - low) / low
+
+
+def _shrunk(best: DataFrame) -> DataFrame:
+    """``grp, centre, precision, limit``, each leaning on the estimate of all groups together.
+
+    The driver sees one row of sums, however many groups there are.
+    """
+    pairs = [(i, j) for i in range(DIM) for j in range(DIM)]
+    n, c, v = F.col("n"), F.col("centre"), F.col("cov")
+    total = best.agg(
+        F.sum("n"), *[F.sum(n * c[i]) for i in range(DIM)],
+        *[F.sum(n * (v[i * DIM + j] + c[i] * c[j])) for i, j in pairs],
+    ).first()
+    rows = float(total[0] or 1)
+    values = np.array([x or 0.0 for x in total[1:]]) / rows
+    mean, square = values[:DIM], values[DIM:].reshape(DIM, DIM)
+    wide = np.eye(DIM) * PRIOR_SPREAD**2
+    common = (rows * (square - np.outer(mean, mean)) + PRIOR_ROWS * wide) / (rows + PRIOR_ROWS)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for r in frame.itertuples(index=False):
+                own = r.n / (r.n + PRIOR_ROWS)
+                centre = own * np.asarray(r.centre) + (1 - own) * mean
+                cov = own * np.asarray(r.cov).reshape(DIM, DIM) + (1 - own) * common
+                limit = limit_of(r.n + PRIOR_ROWS)
+                out.append((r.grp, centre, np.linalg.inv(cov).ravel(), limit))
+            yield pd.DataFrame(out, columns=["grp", "centre", "precision", "limit"])
+
+    return best.mapInPandas(
+        run, "grp string, centre array<double>, precision array<double>, limit double"
+    )
 
 
 def _concentrate(rows: DataFrame, now: DataFrame, last: bool) -> DataFrame:
     """One concentration step; the last one scales the covariance to that of all rows."""
     octave = F.log2(F.greatest(F.col("d"), F.lit(2.0**-20)))
     binned = (
-        rows.join(now, "grp")
+        rows.join(now.select("grp", "start", "centre", "precision"), "grp")
         .withColumn("d", squared_distance())
         .select("grp", "start", F.floor(octave * BINS_PER_OCTAVE).cast("int").alias("bin"),
                 *[f"x{i}" for i in range(DIM)])
@@ -345,4 +432,4 @@ def _concentrate(rows: DataFrame, now: DataFrame, last: bool) -> DataFrame:
     # Rows inside the ellipsoid spread less than all rows do.
     factor = F.lit(CONSISTENCY if last else 1.0)
     sums = central.groupBy("grp", "start").agg(*_sums())
-    return _fit(sums.select("*", factor.alias("factor"), F.lit(False).alias("diagonal")))
+    return _fit(sums.withColumn("factor", factor))

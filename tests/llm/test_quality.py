@@ -1,11 +1,13 @@
 """Quality rules and classifier: counts and estimates against brute force, odd rows, accuracy."""
 
+import math
 import random
 import re
 from pathlib import Path
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from surveyloom.llm import quality_classifier as qc
 from surveyloom.llm import quality_rules as qr
@@ -61,66 +63,139 @@ def docs(spark):
     return spark.createDataFrame(full, SCHEMA).repartition(4)
 
 
-def brute_estimate(x):
-    """Concentration steps on one group, written with plain sorting and numpy."""
-    floors = np.array(qr.FLOORS) ** 2
+def median(values):
+    return sorted(values)[int(np.ceil(0.5 * len(values))) - 1]
+
+
+def brute_vectors(counts, shapes):
+    """Fixed-point vectors of one group: every text with 200 words of median shares on top."""
+    sides = [[(c[1], c[0]), (s[0], c[1]), (s[1], c[0]), (s[2], c[0])]
+             for c, s in zip(counts, shapes, strict=True)]
+    middle = [median([row[i][0] / row[i][1] for row in sides]) for i in range(4)]
+    out = []
+    for row in sides:
+        x = []
+        for i, (part, whole) in enumerate(row):
+            weight = qr.PRIOR_WORDS * (middle[0] if i == 1 else 1)
+            share = (part + weight * middle[i]) / (whole + weight)
+            x.append(round(qr.SCALE * np.log(share if i == 0 else 1 + 100 * share)))
+        out.append(x)
+    return np.array(out)
+
+
+def spark_hash(start, vector):
+    seed = xxhash.xxh64_intdigest(int(start).to_bytes(4, "little"), seed=42)
+    for value in vector:
+        seed = xxhash.xxh64_intdigest(int(value).to_bytes(8, "little", signed=True), seed=seed)
+    return seed
+
+
+def brute_estimate(fixed):
+    """Centre, covariance and rows of one group: concentration steps with plain sorting."""
+    x = fixed / qr.SCALE
 
     def fit(rows, factor=1.0):
         cov = np.cov(rows.T, bias=True) * factor
-        cov += np.diag(np.maximum(floors - np.diag(cov), 1e-6))
-        return rows.mean(axis=0), cov
-
-    def distance(centre, cov):
-        d = x - centre
-        return np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov), d)
+        return rows.mean(axis=0), cov + qr.RIDGE * np.eye(qr.DIM), len(rows)
 
     ordered = np.sort(x, axis=0)
     q = [ordered[int(np.ceil(p * len(x))) - 1] for p in (0.125, 0.5, 0.875)]
-    robust = q[1], np.diag(np.maximum(((q[2] - q[0]) / 2.3) ** 2, floors))
+    starts = [fit(x), (q[1], np.diag(((q[2] - q[0]) / 2.3) ** 2 + qr.RIDGE), 0)]
+    for start in range(2, 2 + qr.RANDOM_STARTS):
+        drawn = np.array([spark_hash(start, v) % 2**52 / 2.0**52 for v in fixed])
+        chosen = x[drawn * len(x) < qr.START_ROWS]
+        starts += [fit(chosen)] if len(chosen) else []
     results = []
-    for centre, cov in (fit(x), robust):
+    for estimate in starts:
         for step in range(qr.STEPS):
-            d = distance(centre, cov)
+            d = distances(x, estimate[0], estimate[1])
             bins = np.floor(np.log2(np.maximum(d, 2.0**-20)) * qr.BINS_PER_OCTAVE)
             cut = np.sort(bins)[int(np.ceil(qr.SUBSET * len(x))) - 1]
-            last = step == qr.STEPS - 1
-            centre, cov = fit(x[bins <= cut], qr.CONSISTENCY if last else 1.0)
-        results.append((np.linalg.slogdet(cov)[1], distance(centre, cov)))
+            estimate = fit(x[bins <= cut], qr.CONSISTENCY if step == qr.STEPS - 1 else 1.0)
+        results.append((np.linalg.slogdet(estimate[1])[1], estimate))
     return min(results, key=lambda r: r[0])[1]
 
 
+def distances(x, centre, cov):
+    d = x - centre
+    return np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov), d)
+
+
 def test_distances_are_those_of_plain_concentration_steps(docs):
     found = qr.apply_rules(docs).collect()
     assert len(found) == docs.count()
     by_text = {}
     for row in docs.collect():
-        counts = qr.base_counts(row.text or "")
-        by_text.setdefault(row.doc_id, (row, counts, qr.vector_of(row.text or "", counts)))
+        text = row.text or ""
+        by_text.setdefault(row.doc_id, (row, qr.base_counts(text), qr.shape_counts(text)))
     groups = {}
-    for row, counts, vector in by_text.values():
+    for row, counts, shape in by_text.values():
         if counts[0] >= 20 and 100 * counts[4] <= 30 * counts[0]:
             times = 3 if row.doc_id == 1 else 1
-            groups.setdefault((row.lang, row.source), []).extend([(row.doc_id, vector)] * times)
-    assert sum(len(g) >= qr.MIN_ROWS for g in groups.values()) >= 4
+            groups.setdefault((row.lang, row.source), []).extend([(row.doc_id, counts, shape)] * times)
+    large = [g for g in groups.values() if len(g) >= qr.MIN_ROWS]
+    assert len(large) >= 4
+    members = [*large, [m for g in groups.values() if len(g) < qr.MIN_ROWS for m in g]]
+    vectors = [brute_vectors([c for _, c, _ in g], [s for _, _, s in g]) for g in members]
+    estimates = [brute_estimate(v) for v in vectors]
+    # All groups together, and how far each leans on that.
+    rows = sum(n for _, _, n in estimates)
+    mean = sum(n * c for c, _, n in estimates) / rows
+    square = sum(n * (v + np.outer(c, c)) for c, v, n in estimates) / rows - np.outer(mean, mean)
+    k = qr.PRIOR_ROWS
+    common = (rows * square + k * qr.PRIOR_SPREAD**2 * np.eye(qr.DIM)) / (rows + k)
     got = {r.doc_id: r for r in found}
-    for members in groups.values():
-        if len(members) < qr.MIN_ROWS:
-            continue
-        expected = brute_estimate(np.array([v for _, v in members], float) / qr.SCALE)
-        for (doc_id, _), d in zip(members, expected):
+    for group, fixed, (centre, cov, n) in zip(members, vectors, estimates, strict=True):
+        centre, cov = (n * centre + k * mean) / (n + k), (n * cov + k * common) / (n + k)
+        expected = distances(fixed / qr.SCALE, centre, cov)
+        for (doc_id, _, _), d in zip(group, expected, strict=True):
             assert got[doc_id].distance == pytest.approx(d, rel=1e-6, abs=1e-9)
-            assert got[doc_id].kept == (d <= qr.LIMIT)
+            assert got[doc_id].kept == (d <= qr.limit_of(n + qr.PRIOR_ROWS))
     junk = [got[i] for i in range(0, 700, 29)]
     assert not any(r.kept for r in junk)
     clean = [got[i].kept for i in range(700) if i % 29]
     assert all(clean)
     for i in (2000, 2001, 2002, 2003):
         assert got[i].base_failed and not got[i].kept and got[i].distance is None
-    # Too few to be estimated with anyone: kept.
-    assert all(got[1000 + i].kept and got[1000 + i].distance is None for i in range(5))
+    # A handful of rows is judged by what it shares with all others.
+    assert all(got[1000 + i].kept and got[1000 + i].distance > 0 for i in range(5))
     assert got[None].kept and got[2004].kept
 
 
+def test_limit_and_consistency_are_those_of_the_chi_square_law():
+    def within(x, degrees):
+        """Share of a chi-square law of an even number of degrees."""
+        terms = [(x / 2) ** k / math.factorial(k) for k in range(degrees // 2)]
+        return 1 - math.exp(-x / 2) * sum(terms)
+
+    # Many rows: the chi-square law. Few: the F-ratio, its density summed up in small steps.
+    assert within(qr.limit_of(1e7), qr.DIM) == pytest.approx(1 - qr.BEYOND, abs=1e-8)
+    for degrees in (11, 30, 200):
+        f = (np.arange(4_000_000) + 0.5) / 4000
+        g = math.lgamma((4 + degrees) / 2) - math.lgamma(2) - math.lgamma(degrees / 2)
+        density = np.exp(g) * (4 / degrees) ** 2 * f * (1 + 4 * f / degrees) ** (-(4 + degrees) / 2)
+        beyond = density[4 * f > qr.limit_of(degrees)].sum() / 4000
+        assert beyond == pytest.approx(qr.BEYOND, rel=0.01)
+    low, high = 0.0, 50.0
+    for _ in range(80):
+        mid = (low + high) / 2
+        low, high = (mid, high) if within(mid, qr.DIM) < qr.SUBSET else (low, mid)
+    assert qr.CONSISTENCY == pytest.approx(qr.SUBSET / within(low, qr.DIM + 2), rel=1e-4)
+
+
+@given_tables
+def test_clean_documents_stay_and_junk_goes(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    judged = qr.apply_rules(docs).where(~F.col("base_failed")).join(labels, "doc_id")
+    share = {r.quality: r.share for r in judged.groupBy("quality").agg(
+        F.avg(F.col("kept").cast("int")).alias("share")).collect()}
+    assert share[1] > 0.995 and share[0] < 0.05
+    # The distances follow the law, so the limit is no matter of taste.
+    middle = judged.where("quality = 1").agg(F.percentile("distance", 0.5).alias("m")).first().m
+    assert 2.0 < middle < 4.5
+
+
 def test_stage_keeps_rows_and_columns(docs):
     kept = qr.keep_good(docs)
     assert kept.columns == docs.columns
