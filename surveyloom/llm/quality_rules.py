@@ -73,6 +73,10 @@ RIDGE = 1e-5
 #: Steps of the fixed-point vectors, for one unit.
 SCALE = 1024
 BINS_PER_OCTAVE = 16
+#: Most rows of a table of groups, of some hundred bytes each, that are sent to every task; the
+#: rows of a group are spread over so many tasks beyond.
+BROADCAST_ROWS = 100_000
+SALTS = 64
 
 NULLS = {"ignoreNullFields": "false"}
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -200,7 +204,7 @@ def _estimates(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _judged(rows: DataFrame, groups: DataFrame, estimates: DataFrame) -> DataFrame:
-    judged = with_group(rows, groups).join(estimates, "grp", "left").withColumn(
+    judged = meet(with_group(rows, groups), estimates, {"grp": "grp"}, "left").withColumn(
         "distance", F.when(~F.col("base_failed"), squared_distance())
     )
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= F.col("limit"), F.lit(True))
@@ -229,13 +233,30 @@ def group_names(counted: DataFrame) -> DataFrame:
     return written(named, "quality-groups")
 
 
+def meet(rows: DataFrame, small: DataFrame, keys: dict[str, str], how: str = "inner") -> DataFrame:
+    """Joins rows with a written table of groups; ``keys`` gives its column for each of the rows.
+
+    Up to ``BROADCAST_ROWS`` groups, rows stay where they are. Beyond, they are dealt by group and
+    a number of the task they come from, so that a group with a third of all rows is many tasks.
+    """
+    small = small.withColumnsRenamed({right: f"met_{right}" for right in keys.values()})
+    same = F.lit(True)
+    for left, right in keys.items():
+        same = same & F.col(left).eqNullSafe(F.col(f"met_{right}"))
+    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        joined = rows.join(F.broadcast(small), same, how)
+    else:
+        salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+        small = small.withColumn("met_salt", F.explode(salts))
+        rows = rows.withColumn("met_deal", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+        joined = rows.join(small, same & (F.col("met_deal") == F.col("met_salt")), how)
+    return joined.drop(*[f"met_{right}" for right in keys.values()], "met_deal", "met_salt")
+
+
 def with_medians(counted: DataFrame, named: DataFrame) -> DataFrame:
     """Adds ``share0..``, the medians of each group, to the names of groups."""
     passed = counted.where(~F.col("base_failed"))
-    same = passed["lang"].eqNullSafe(F.col("g_lang")) & passed["source"].eqNullSafe(
-        F.col("g_source")
-    )
-    medians = passed.join(named, same).groupBy("grp").agg(
+    medians = meet(passed, named, {"lang": "g_lang", "source": "g_source"}).groupBy("grp").agg(
         *[F.percentile_approx(F.col(a) / F.col(b), 0.5, 1000).alias(f"share{i}")
           for i, (a, b) in enumerate(SHARES)]
     )
@@ -249,10 +270,7 @@ def with_group(counted: DataFrame, groups: DataFrame) -> DataFrame:
     the logarithms of the mean word length and of three shares in hundredths, one added: marks,
     short words, ends of sentences.
     """
-    same = counted["lang"].eqNullSafe(F.col("g_lang")) & counted["source"].eqNullSafe(
-        F.col("g_source")
-    )
-    joined = counted.join(groups, same, "left")
+    joined = meet(counted, groups, {"lang": "g_lang", "source": "g_source"}, "left")
     x = {}
     for i, (a, b) in enumerate(SHARES):
         # Characters come by the word, so their weight is that of as many words.
@@ -343,7 +361,7 @@ def estimate(rows: DataFrame) -> DataFrame:
     # Between 0 and 1, the same for equal vectors.
     drawn = F.pmod(F.xxhash64("start", *[f"x{i}" for i in range(DIM)]), F.lit(1 << 52)) / 2.0**52
     sums = (
-        rows.join(middle.select("grp", "total"), "grp")
+        meet(rows, middle.select("grp", "total"), {"grp": "grp"})
         .withColumn("start", F.explode(numbers))
         .where((F.col("start") == 0) | (drawn * F.col("total") < START_ROWS))
         .groupBy("grp", "start").agg(*_sums())
@@ -408,7 +426,7 @@ def _concentrate(rows: DataFrame, now: DataFrame, last: bool) -> DataFrame:
     """One concentration step; the last one scales the covariance to that of all rows."""
     octave = F.log2(F.greatest(F.col("d"), F.lit(2.0**-20)))
     binned = (
-        rows.join(now.select("grp", "start", "centre", "precision"), "grp")
+        meet(rows, now.select("grp", "start", "centre", "precision"), {"grp": "grp"})
         .withColumn("d", squared_distance())
         .select("grp", "start", F.floor(octave * BINS_PER_OCTAVE).cast("int").alias("bin"),
                 *[f"x{i}" for i in range(DIM)])
@@ -428,7 +446,7 @@ def _concentrate(rows: DataFrame, now: DataFrame, last: bool) -> DataFrame:
     )
     # Written, so that its size is known and rows are not shuffled to meet a few numbers.
     cut = written(cut, "quality-cut")
-    central = binned.join(cut, ["grp", "start"]).where(F.col("bin") <= F.col("cut"))
+    central = meet(binned, cut, {"grp": "grp", "start": "start"}).where(F.col("bin") <= F.col("cut"))
     # Rows inside the ellipsoid spread less than all rows do.
     factor = F.lit(CONSISTENCY if last else 1.0)
     sums = central.groupBy("grp", "start").agg(*_sums())

@@ -162,6 +162,16 @@ def test_distances_are_those_of_plain_concentration_steps(docs):
     assert got[None].kept and got[2004].kept
 
 
+def test_many_groups_give_the_same_as_few(docs, monkeypatch):
+    few = {r.doc_id: r for r in qr.apply_rules(docs).collect()}
+    monkeypatch.setattr(qr, "BROADCAST_ROWS", 0)
+    many = qr.apply_rules(docs).collect()
+    assert len(many) == docs.count()
+    for r in many:
+        assert r.kept == few[r.doc_id].kept
+        assert r.distance == pytest.approx(few[r.doc_id].distance)
+
+
 def test_limit_and_consistency_are_those_of_the_chi_square_law():
     def within(x, degrees):
         """Share of a chi-square law of an even number of degrees."""
