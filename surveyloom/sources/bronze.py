@@ -19,6 +19,12 @@ FALLBACK_ENCODING = "ISO-8859-1"
 YEAR_IN_NAME = re.compile(r"(?<!\d)\d{4}(?!\d)")
 #: Column that tells the edition of a row's file.
 EDITION = "edicao_do_arquivo"
+#: Fields that are quoted as a whole or hold no quote, between commas.
+_FIELD = r'(?:(?:"[^"]*+")++|[^",]*+)'
+_WHOLE_LINE = rf"^{_FIELD}(?:,{_FIELD})*+\z"
+_QUOTED = '"[^"]*+"'
+#: A line of white space alone is a row to one reader and none to the other.
+_BLANK = r"^[\x00-\x20]++\z"
 
 
 @dataclass(frozen=True)
@@ -30,6 +36,8 @@ class RawFile:
     year: int
     encoding: str
     header: str
+    splittable: bool = False
+    """Whether every line is a row by itself, so that tasks can share the file."""
 
     @property
     def path(self) -> str:
@@ -41,8 +49,9 @@ def inspect_files(
 ) -> list[RawFile]:
     """Edition, encoding and header digest of every file, from one pass over the text.
 
-    A file is UTF-8 where every line is, else Latin-1. One row for each file comes back, as from any
-    listing of a folder.
+    A file is UTF-8 where every line is, else Latin-1. It can be split where every line is made of whole
+    fields, as many as in any other line: then no field holds a line break. One row for each file comes
+    back, as from any listing of a folder.
     """
     editions = [
         spark.read.text(given).select(
@@ -53,13 +62,20 @@ def inspect_files(
     ]
     lines = reduce(DataFrame.unionAll, editions)
     first = F.min_by(F.struct("value"), F.struct("file_block_start", "place"))
+    whole = F.col("value").rlike(_WHOLE_LINE) & ~F.col("value").rlike(_BLANK)
+    bare = F.regexp_replace("value", _QUOTED, "")
+    commas = F.when(F.col("value") != "", F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))))
+    # A set, since with it Spark aggregates by hash; the text of ``first`` alone would have every line
+    # of every file sorted.
     files = lines.groupBy("year", "file_path").agg(
-        F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
+        F.collect_set(F.is_valid_utf8("value")).alias("utf8"),
         F.sha2(first["value"].cast("binary"), 256).alias("header"),
+        (F.bool_and(whole) & F.min(commas).eqNullSafe(F.max(commas))).alias("splittable"),
     )
     return [
         RawFile(
-            r["file_path"], r["year"], "UTF-8" if r["utf8"] else FALLBACK_ENCODING, r["header"]
+            r["file_path"], r["year"], "UTF-8" if all(r["utf8"]) else FALLBACK_ENCODING,
+            r["header"], r["splittable"],
         )
         for r in files.orderBy("file_path").collect()
     ]
@@ -86,7 +102,7 @@ def read_survey_csv_any(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_survey_csv(
-    spark: SparkSession, path: str | list[str], encoding: str = "UTF-8"
+    spark: SparkSession, path: str | list[str], encoding: str = "UTF-8", splittable: bool = False
 ) -> DataFrame:
     """All columns as text; quoted fields may hold commas, quotes and line breaks.
 
@@ -94,11 +110,12 @@ def read_survey_csv(
     order, make the read fail instead of mixing answers up.
 
     A file with line breaks inside fields cannot be split, so parallelism comes from the number
-    of files: land an edition as many files rather than one.
+    of files: land such an edition as many files rather than one. ``splittable`` says that no field
+    of these files holds a line break, as ``inspect_files`` finds; any number of tasks then share a file.
     """
     return (
         spark.read.option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", not splittable)
         .option("escape", '"')
         .option("encoding", encoding)
         .option("mode", "PERMISSIVE")
@@ -130,7 +147,10 @@ def number_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     earlier = Window.partitionBy("arquivo").orderBy("bloco").rowsBetween(
         Window.unboundedPreceding, Window.currentRow - 1
     )
-    offsets = blocks.withColumn("antes", F.coalesce(F.sum("linhas").over(earlier), F.lit(0)))
+    # Stored, so that Spark knows that there are few and does not shuffle the lines to meet them.
+    offsets = written(
+        blocks.withColumn("antes", F.coalesce(F.sum("linhas").over(earlier), F.lit(0))), "blocos"
+    )
     return landed.join(offsets, ["arquivo", "bloco"]).select(
         "arquivo",
         (F.col("antes") + F.col("lugar") - F.col("primeiro") + 1).alias("linha"),
@@ -197,12 +217,27 @@ def group_files(
 
 
 def read_group(spark: SparkSession, group: RawGroup) -> DataFrame:
-    """All files of a group in one read; ``edicao_do_arquivo`` is the edition of a row's file."""
-    raw = read_survey_csv(spark, [file.path for file in group.files], group.encoding)
+    """All files of a group; ``edicao_do_arquivo`` is the edition of a row's file.
+
+    One read, or two where some files have line breaks in fields: those that do not are split.
+    """
     address = F.col("_metadata.file_path")
     of_year = {y: [f.address for f in group.files if f.year == y] for y in group.editions}
     cases = [F.when(address.isin(files), F.lit(year)) for year, files in of_year.items()]
-    return raw.select("*", F.coalesce(*cases).alias(EDITION))
+    # The look at the lines is one at ASCII bytes, which these two encodings share.
+    lines_known = group.encoding.upper() in ("UTF-8", FALLBACK_ENCODING)
+    kinds: dict[bool, list[str]] = {}
+    for file in group.files:
+        kinds.setdefault(file.splittable and lines_known, []).append(file.path)
+    return reduce(
+        DataFrame.unionAll,
+        [
+            read_survey_csv(spark, files, group.encoding, splittable).select(
+                "*", F.coalesce(*cases).alias(EDITION)
+            )
+            for splittable, files in kinds.items()
+        ],
+    )
 
 
 def project_columns(

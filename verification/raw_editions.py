@@ -91,19 +91,29 @@ def write_mapping(spark: SparkSession, years: list[int], path: str) -> None:
     spark.createDataFrame([(json.dumps(config),)], "value string").write.text(path)
 
 
+_raw: dict[tuple, tuple[dict[str, str], dict[int, str]]] = {}
 _done: dict[tuple, dict[str, str]] = {}
 
 
-def pipeline_folders(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Raw files to gold; the folders of silver and gold."""
+def raw_files(spark: SparkSession, sf_dir: str) -> tuple[dict[str, str], dict[int, str]]:
+    """Raw files and mapping as a user has them before any job; all folders, and those of editions."""
     key = star.version(spark, sf_dir)
-    if key not in _done:
+    if key not in _raw:
         base = new_table_path(spark, "pesquisa")
         folders = {
             name: f"{base}/{name}" for name in ("bronze", "mapeamento", "silver", "gold", "csv")
         }
         paths = write_editions(spark, sf_dir, folders["bronze"])
         write_mapping(spark, list(paths), folders["mapeamento"])
+        _raw[key] = folders, paths
+    return _raw[key]
+
+
+def pipeline_folders(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Raw files to gold; the folders of silver and gold."""
+    key = star.version(spark, sf_dir)
+    if key not in _done:
+        folders, paths = raw_files(spark, sf_dir)
         pipeline.bronze_to_silver(
             spark, paths, folders["silver"], read_mapping(spark, folders["mapeamento"]), "auto"
         )
@@ -167,7 +177,7 @@ def content_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Data lines of the raw files of each edition, and how many have a place of their own."""
-    bronze_folder = pipeline_folders(spark, sf_dir)["bronze"]
+    bronze_folder = raw_files(spark, sf_dir)[0]["bronze"]
     lines = bronze.read_raw_lines(spark, f"{bronze_folder}/*")
     edition = F.regexp_extract("arquivo", r"edicao_(\d{4})/", 1).cast("int")
     placed = lines.groupBy(edition.alias("ano"), "arquivo", "linha").agg(
