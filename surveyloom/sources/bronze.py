@@ -301,21 +301,29 @@ def with_content_key(landed: DataFrame, edition: str = "ano", block: int = 100_0
         F.col("_metadata.row_index").alias("linha_"),
         answers_digest(answers).alias("digesto_"),
     )
-    keys = written(placed.select(edition, "digesto_", "arquivo_", "linha_"), "digestos").withColumn(
-        "bloco_", F.floor(F.col("linha_") / block)
-    )
+    keys = written(
+        placed.select(edition, F.unhex("digesto_").alias("digesto_"), "arquivo_", "linha_"), "digestos"
+    ).withColumn("bloco_", F.floor(F.col("linha_") / block))
     content, where = [edition, "digesto_"], ["arquivo_", "bloco_"]
-    counts = keys.groupBy(*content, *where).agg(F.count(F.lit(1)).alias("linhas"))
-    same = Window.partitionBy(*content)
-    earlier = same.orderBy(*where).rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
-    repeated = counts.select(
-        *content, *where, F.sum("linhas").over(same).alias("todas"),
-        F.coalesce(F.sum("linhas").over(earlier), F.lit(0)).alias("antes"),
-    ).where("todas > 1").drop("todas")
+    # Stored, so that Spark knows how few they may be. Only these rows go on; of the others no more
+    # than edition and digest is shuffled.
+    several = written(
+        keys.groupBy(*content).agg(F.count(F.lit(1)).alias("linhas")).where("linhas > 1").select(*content),
+        "iguais",
+    )
+    # Stored too: a row that fills a third of the table may then be spread over the tasks of the join.
+    equal = written(keys.join(several, content), "linhas_iguais")
+    counts = equal.groupBy(*content, *where).agg(F.count(F.lit(1)).alias("linhas"))
+    earlier = Window.partitionBy(*content).orderBy(*where).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow - 1
+    )
+    before = counts.select(
+        *content, *where, F.coalesce(F.sum("linhas").over(earlier), F.lit(0)).alias("antes")
+    )
     # An edition is never null here, nor is a digest: plain equality will do.
     in_block = Window.partitionBy(*content, *where).orderBy("linha_")
     numbered = written(
-        keys.join(repeated, [*content, *where]).select(
+        equal.join(before, [*content, *where]).select(
             "arquivo_", "linha_", (F.col("antes") + F.row_number().over(in_block)).alias("vez_")
         ),
         "repetidas",
