@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +13,12 @@ from surveyloom.functions.sql_functions import register_functions
 from surveyloom.operators import grouped, sketches
 from surveyloom.operators.ranks import rank_in_groups
 from surveyloom.plans import gold
-from surveyloom.plans.sql_reports import REPORTS, run_report
+from surveyloom.plans.sql_reports import REPORTS, report_sql, run_report
 from surveyloom.sources import sinks
 from verification import star_survey as star
 
 _databases: dict[tuple, str] = {}
+_published: set[tuple[str, str]] = set()
 
 
 def location_of(stored: DataFrame) -> str:
@@ -23,38 +26,47 @@ def location_of(stored: DataFrame) -> str:
     return stored.inputFiles()[0].split("/ano=")[0]
 
 
-def database(spark: SparkSession, sf_dir: str) -> str:
-    """Database with the stored silver and gold tables of the view, registered once."""
-    key = star.version(spark, sf_dir)
-    if key in _databases:
-        return _databases[key]
-    name = f"relatorios_{uuid.uuid4().hex}"
-    people = star.survey_respondents(spark, sf_dir)
+def database(spark: SparkSession, sf_dir: str, wanted: Collection[str]) -> str:
+    """Database with stored silver and gold tables of the view; each is registered when first wanted."""
+    name = _databases.setdefault(star.version(spark, sf_dir), f"relatorios_{uuid.uuid4().hex}")
+
+    def people() -> DataFrame:
+        return star.survey_respondents(spark, sf_dir)
+
     tables = {
-        "gold_perfil_mercado": lambda: gold.profile(people, digits=2),
-        "gold_remuneracao": lambda: gold.pay(people, digits=2),
-        "gold_diversidade": lambda: gold.diversity(people, digits=2),
+        "gold_perfil_mercado": lambda: gold.profile(people(), digits=2),
+        "gold_remuneracao": lambda: gold.pay(people(), digits=2),
+        "gold_diversidade": lambda: gold.diversity(people(), digits=2),
         "gold_tecnologias": lambda: gold.technology_of_lists(
             star.survey_answer_lists(spark, sf_dir), star.edition_members(spark, sf_dir)
         ),
-        "gold_adocao_ia": lambda: gold.ai_adoption(people),
-        "gold_impacto_ia": lambda: gold.ai_impact(people, digits=2),
-        "gold_modelo_trabalho": lambda: gold.work_model(people, digits=2),
-        "silver_respondentes": lambda: people,
+        "gold_adocao_ia": lambda: gold.ai_adoption(people()),
+        "gold_impacto_ia": lambda: gold.ai_impact(people(), digits=2),
+        "gold_modelo_trabalho": lambda: gold.work_model(people(), digits=2),
+        "silver_respondentes": people,
         "silver_tecnologias": lambda: star.survey_answers(spark, sf_dir),
     }
-    for table, build in tables.items():
-        df = build()
+    for table in wanted:
+        if (name, table) in _published:
+            continue
+        df = tables[table]()
         if not table.startswith("silver_"):
             df = star.stored(f"catalogo_{table}", lambda *_, df=df: df, spark, sf_dir)
         sinks.publish(spark, name, table, df, location_of(df))
-    _databases[key] = name
+        _published.add((name, table))
     return name
 
 
+def tables_of(report: str) -> set[str]:
+    """Tables that the text of a report names, with the profile where its columns follow the editions."""
+    text = report_sql(report, "silver_", "gold_", editions=[0])
+    named = set(re.findall(r"\b(?:silver|gold)_\w+", text))
+    return named if isinstance(REPORTS[report], str) else named | {"gold_perfil_mercado"}
+
+
 def _report(name: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        place = database(spark, sf_dir)
+        place = database(spark, sf_dir, tables_of(name))
         return run_report(spark, name, f"{place}.silver_", f"{place}.gold_")
 
     run.__name__ = f"sql_{name}"
