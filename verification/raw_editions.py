@@ -191,15 +191,17 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def edition_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of all editions in one folder, told apart by the year in their names."""
-    base, given = new_table_path(spark, "nomes"), pipeline_folders(spark, sf_dir)["bronze"]
+    base = new_table_path(spark, "nomes")
     raw = star.stored("brutos", star.raw_survey, spark, sf_dir)
-    for year in star.editions_of(raw):
+    years = star.editions_of(raw)
+    for year in years:
         source = f"{base}-{year}"
         _write_csv(_as_files(raw, year), source)
         for number, name in enumerate(workspace.children(spark, source)):
             if name.endswith(".csv"):
                 workspace.move(spark, f"{source}/{name}", f"{base}/pesquisa_{year}_{number}.csv")
-    mapping = read_mapping(spark, f"{given.rsplit('/', 1)[0]}/mapeamento")
+    write_mapping(spark, list(years), f"{base}-mapeamento")
+    mapping = read_mapping(spark, f"{base}-mapeamento")
     landed = pipeline.land_editions(spark, bronze.editions_by_name(spark, base), mapping)
     people = align_union(part.rows.select("ano", "cargo") for part in landed)
     return people.groupBy("ano").agg(
@@ -219,7 +221,7 @@ def _reload(spark: SparkSession, sf_dir: str) -> str:
     key = star.version(spark, sf_dir)
     if key in _reloaded:
         return _reloaded[key]
-    given = pipeline_folders(spark, sf_dir)
+    given = raw_files(spark, sf_dir)[0]
     base = new_table_path(spark, "recarga")
     silver, gold, corrected = f"{base}/silver", f"{base}/gold", f"{base}/edicao_1996"
     mapping = read_mapping(spark, given["mapeamento"])
