@@ -14,7 +14,7 @@ from surveyloom.functions.text import normalise
 # Pattern of a number inside a band and the wordings of "no answer" and "up to".
 NUMBER_PATTERN = r"(\d[\d\.\s]*)"
 NO_ANSWER_PATTERN = r"nao.*(informar|receb|aplica)|(informar|receb|aplica).*nao"
-UP_TO_PATTERN = r"^menos de|^ate|abaixo"
+UP_TO_BEGINNINGS, UP_TO_FRAGMENT = ("menos de", "ate"), "abaixo"
 
 
 def band_numbers(text: Column) -> Column:
@@ -25,7 +25,20 @@ def band_numbers(text: Column) -> Column:
 
 
 def _found_numbers(normalised: Column) -> Column:
-    return F.regexp_extract_all(F.translate(normalised, ",", "."), F.lit(NUMBER_PATTERN), 1)
+    return F.regexp_extract_all(
+        F.replace(normalised, F.lit(","), F.lit(".")), F.lit(NUMBER_PATTERN), 1
+    )
+
+
+def _no_answer(normalised: Column) -> Column:
+    return normalised.contains("nao") & normalised.rlike(NO_ANSWER_PATTERN)
+
+
+def _up_to(normalised: Column) -> Column:
+    low = normalised.contains(UP_TO_FRAGMENT)
+    for beginning in UP_TO_BEGINNINGS:
+        low = low | normalised.startswith(beginning)
+    return low
 
 
 def _nth_number(found: Column, index: int) -> Column:
@@ -52,8 +65,8 @@ def with_band_limits(df: DataFrame, normalised: str) -> DataFrame:
         {
             "primeiro_numero": _nth_number(F.col("numeros_da_faixa"), 0),
             "segundo_numero": _nth_number(F.col("numeros_da_faixa"), 1),
-            "sem_resposta": text.rlike(NO_ANSWER_PATTERN),
-            "faixa_ate": text.rlike(UP_TO_PATTERN),
+            "sem_resposta": _no_answer(text),
+            "faixa_ate": _up_to(text),
         }
     )
     helpers = ["primeiro_numero", "segundo_numero", "sem_resposta", "faixa_ate"]
@@ -67,7 +80,7 @@ def limits_of_normalised(normalised: Column) -> Column:
     return F.struct(
         *_limits(
             _nth_number(found, 0), _nth_number(found, 1),
-            normalised.rlike(NO_ANSWER_PATTERN), normalised.rlike(UP_TO_PATTERN),
+            _no_answer(normalised), _up_to(normalised),
         )
     )
 

@@ -11,27 +11,34 @@ separates items only outside ``()`` and ``[]``. Three ways, cheapest first, chos
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from surveyloom.functions.text import is_missing, strip_spaces
 
-_ANY_BRACKET = r"[()\[\]]"
 _SIMPLE_BRACKETS = r"^[^()\[\]]*+(?:[(\[][^()\[\]]*+[)\]][^()\[\]]*+)*+\z"
 _TOP_LEVEL_COMMA = r",(?![^()\[\]]*[)\]])"
 _MARK = "\x01"
 
 
+def _has_bracket(text: Column) -> Column:
+    return reduce(or_, [text.contains(bracket) for bracket in "()[]"])
+
+
 def _depth_after(piece: Column, depth: Column) -> Column:
     """Bracket depth after a piece; a stray closing bracket never takes it below zero."""
     brackets = F.split(F.regexp_replace(piece, r"[^()\[\]]", ""), "")
-    return F.aggregate(
+    counted = F.aggregate(
         brackets,
         depth,
         lambda d, c: F.when(c.isin("(", "["), d + 1)
         .when(c.isin(")", "]"), F.greatest(d - 1, F.lit(0)))
         .otherwise(d),
     )
+    return F.when(_has_bracket(piece), counted).otherwise(depth)
 
 
 def _nested_split(text: Column) -> Column:
@@ -53,10 +60,12 @@ def _nested_split(text: Column) -> Column:
 def split_pieces(value: Column) -> Column:
     """Text between top-level commas, neither stripped nor cleared of blanks."""
     # The mark cannot be typed into a form; blank it so that it never splits an item.
-    text = F.translate(value.cast("string"), _MARK, " ")
+    given = value.cast("string")
+    marked = given.contains(_MARK)
+    text = F.when(marked, F.translate(given, _MARK, " ")).otherwise(given)
     return (
         F.when(is_missing(value), F.array().cast("array<string>"))
-        .when(~text.rlike(_ANY_BRACKET), F.split(text, ","))
+        .when(~_has_bracket(text), F.split(text, ","))
         .when(text.rlike(_SIMPLE_BRACKETS), F.split(text, _TOP_LEVEL_COMMA))
         .otherwise(_nested_split(text))
     )

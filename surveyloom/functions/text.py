@@ -24,6 +24,7 @@ _WIDE_SPACES = (
     "    　"
 )
 _ANY_SPACE = rf"[{_ASCII_SPACE}\x85   -     　]"
+_NO_SPACE = f"[^{_ANY_SPACE[1:]}"
 _EDGE_SPACES = rf"^{_ANY_SPACE}++|{_ANY_SPACE}++\z"
 # Cheap test that lets most texts pass: both ends are visible ASCII characters.
 _MAY_HAVE_EDGE_SPACES = r"^[^!-~]|[^!-~]\z"
@@ -155,12 +156,13 @@ def fold_accents(text: Column) -> Column:
     """
     holds = text.rlike(_MAY_EXPAND)
     expanded = F.when(
-        holds & text.rlike(_EXPANDS), _replace_each(text, _EXPANDS, _expansion)
+        text.rlike(_EXPANDS), _replace_each(text, _EXPANDS, _expansion)
     ).otherwise(text)
     # No expansion holds a syllable, so what is cut here was in the text.
-    decomposed = F.when(
-        holds & text.rlike(_SYLLABLE), _replace_each(expanded, _SYLLABLE, _jamo)
+    syllables = F.when(
+        text.rlike(_SYLLABLE), _replace_each(expanded, _SYLLABLE, _jamo)
     ).otherwise(expanded)
+    decomposed = F.when(holds, syllables).otherwise(text)
     # More bytes than characters: not ASCII. Told without decoding the text.
     wide = F.octet_length(text) > F.length(text)
     return F.when(
@@ -169,9 +171,18 @@ def fold_accents(text: Column) -> Column:
 
 
 def strip_spaces(text: Column) -> Column:
-    """Trim every kind of space, which ``trim`` (ASCII blank only) does not."""
-    edged = text.rlike(_MAY_HAVE_EDGE_SPACES)
-    return F.when(edged, F.regexp_replace(text, _EDGE_SPACES, "")).otherwise(text)
+    """Trim every kind of space, which ``trim`` (ASCII blank only) does not.
+
+    Blanks go first, so that few texts meet the pattern.
+    """
+    trimmed = F.trim(text)
+    edged = trimmed.rlike(_MAY_HAVE_EDGE_SPACES)
+    return F.when(edged, F.regexp_replace(trimmed, _EDGE_SPACES, "")).otherwise(trimmed)
+
+
+def holds_text(text: Column) -> Column:
+    """Whether ``strip_spaces`` leaves anything, known at the first character that is no space."""
+    return text.rlike(_NO_SPACE)
 
 
 def normalise(value: Column) -> Column:
@@ -234,7 +245,7 @@ def to_integer(value: Column) -> Column:
 
     The cast alone would take ``34d`` for a number.
     """
-    text = F.regexp_replace(value.cast("string"), _EDGE_SPACES, "")
+    text = strip_spaces(value.cast("string"))
     return F.when(text.rlike(_NUMBER), text.try_cast("double").try_cast("int"))
 
 

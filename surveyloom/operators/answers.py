@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveyloom.functions.multi import split_pieces, split_top_level
-from surveyloom.functions.text import strip_spaces
+from surveyloom.functions.text import holds_text, strip_spaces
 from surveyloom.operators.shares import rate
 
 
@@ -37,13 +37,18 @@ def answer_lists(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str])
 
 
 def melt_answers(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
-    """Long table ``(keys, categoria, tecnologia)`` with one row per item named."""
-    pieces = answer_texts(df, keys, columns).select(
-        *keys, "categoria", F.explode(split_pieces(F.col("resposta"))).alias("item")
-    )
-    return pieces.select(*keys, "categoria", strip_spaces(F.col("item")).alias("tecnologia")).where(
-        F.col("tecnologia") != ""
+    """Long table ``(keys, categoria, tecnologia)`` with one row per item named.
+
+    The split is compiled in a projection of its own; in a generator it would be interpreted. An outer
+    generator keeps the optimizer from splitting again to see whether there are items. Blank items are
+    dropped unstripped.
+    """
+    split = answer_texts(df, keys, columns).select(
+        *keys, "categoria", split_pieces(F.col("resposta")).alias("itens")
     )
+    items = split.select(*keys, "categoria", F.explode_outer("itens").alias("item"))
+    named = items.where(holds_text(F.col("item")))
+    return named.select(*keys, "categoria", strip_spaces(F.col("item")).alias("tecnologia"))
 
 
 def _rank_within_category() -> Column:

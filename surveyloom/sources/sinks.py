@@ -77,17 +77,24 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def buckets_for(people: int, people_a_bucket: int = 200_000, least: int = 16) -> int:
+    """Number of buckets that follows the number of people, so that no bucket grows with the table."""
+    return max(least, -(-people // people_a_bucket))
+
+
 def store_in_buckets(
     df: DataFrame, table: str, key: str = "id_respondente", buckets: int = 200,
-    partition_by: Sequence[str] = ("ano",),
+    partition_by: Sequence[str] = ("ano",), dealt: bool = False,
 ) -> DataFrame:
     """Store a catalog table in buckets by a key, sorted, and return it.
 
     Tables with equal buckets join on the key without a shuffle, as often as they are read. The rows
     of a bucket meet in one task before they are written, so a bucket is one file in each partition.
+    ``dealt`` says that they have met: ``df`` was derived row by row from
+    ``repartition(buckets, key)``, which spreads the derivation too.
     """
-    dealt = df.repartition(buckets, key)
-    writer = dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    rows = df if dealt else df.repartition(buckets, key)
+    writer = rows.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
     writer.partitionBy(*partition_by).saveAsTable(table)
     return df.sparkSession.table(table)
 

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from surveyloom.functions.multi import split_top_level
 from surveyloom.functions.sql_functions import register_functions
 from surveyloom.operators import sketches
+from surveyloom.operators.answers import melt_answers
 from surveyloom.operators.grouped import median_of_bands
 from surveyloom.operators.ranks import rank_in_groups
 from surveyloom.plans.sql_reports import REPORTS, report_sql, run_report
@@ -92,6 +93,57 @@ def test_buckets_join_without_a_shuffle(spark):
     assert joined.count() == 5000
 
 
+def test_bucket_join_derives_silver_in_as_many_tasks_as_the_people_ask_for(spark, monkeypatch):
+    from surveyloom.plans.silver import RESPONDENT_COLUMNS
+    from verification import sql_layer
+    from verification import star_survey as star
+
+    path = "/root/testdata/sf0.001"
+    monkeypatch.setattr(sql_layer, "_buckets", {})
+    monkeypatch.setattr(star, "_stored", {})
+    asked = []
+    monkeypatch.setattr(sinks, "buckets_for", lambda people: asked.append(people) or 23)
+    result = sorted(map(tuple, sql_layer.silver_join_buckets(spark, path).collect()))
+    # No other copy of silver is written first.
+    assert asked == [star.table(spark, path, "orders").count()] and star._stored == {}
+    [place] = sql_layer._buckets.values()
+    people, items = spark.table(f"{place}.respondentes"), spark.table(f"{place}.tecnologias")
+    for stored, plain in (
+        (people, star.derived_respondents(spark, path)), (items, star.derived_answers(spark, path)),
+    ):
+        plain = plain.select(*stored.columns)
+        assert stored.exceptAll(plain).count() == 0 and plain.exceptAll(stored).count() == 0
+        kept = {f.rsplit("/", 1)[-1].rsplit("_", 1)[-1][:5] for f in stored.inputFiles()}
+        assert kept == {f"{n:05d}" for n in range(23)}
+        # A bucket is one file in each edition: its rows met before they were written.
+        assert len(stored.inputFiles()) <= 23 * len(star.editions_of(stored))
+    assert set(people.columns) == set(star.derived_respondents(spark, path).columns) <= set(RESPONDENT_COLUMNS)
+    # Silver that is stored already is dealt to the buckets, with the same result.
+    star.survey_respondents(spark, path), star.survey_answers(spark, path)
+    monkeypatch.setattr(sql_layer, "_buckets", {})
+    monkeypatch.setattr(sql_layer, "respondents", None)
+    assert sorted(map(tuple, sql_layer.silver_join_buckets(spark, path).collect())) == result
+
+
+def test_buckets_follow_the_people():
+    assert sinks.buckets_for(0) == sinks.buckets_for(900_000) == 16
+    assert sinks.buckets_for(9_000_000) == 45 and sinks.buckets_for(54_000_001) == 271
+
+
+def test_a_text_of_answers_is_split_once(spark):
+    texts = ["a (b, c), d", " \u00a0, x ,\t", "f((a,b),c), Oracle) DB, [x,(y,z]), q", None, "nan", ",,", "a\x01b, c"]
+    df = spark.createDataFrame([(2024, str(n), t) for n, t in enumerate(texts)], "ano int, id string, q string")
+    melted = melt_answers(df, ["ano", "id"], {"q": "q"})
+    plan = plan_of(melted)
+    assert plan.count("(?![^()") == 1 and "explode(CASE" not in plan
+    found = {}
+    for row in melted.collect():
+        found.setdefault(int(row["id"]), []).append(row["tecnologia"])
+    assert found == {
+        0: ["a (b, c)", "d"], 1: ["x"], 2: ["f((a,b),c)", "Oracle) DB", "[x,(y,z])", "q"], 6: ["a b", "c"],
+    }
+
+
 def ranks(spark, df, order):
     expected = df.withColumn(
         "posicao", F.row_number().over(Window.partitionBy("g").orderBy(*order))

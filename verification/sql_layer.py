@@ -13,6 +13,7 @@ from surveyloom.functions.sql_functions import register_functions
 from surveyloom.operators import grouped, sketches
 from surveyloom.operators.ranks import rank_in_groups
 from surveyloom.plans import gold
+from surveyloom.plans.silver import respondents
 from surveyloom.plans.sql_reports import REPORTS, report_sql, run_report
 from surveyloom.sources import sinks
 from verification import star_survey as star
@@ -105,18 +106,23 @@ _buckets: dict[tuple, str] = {}
 def silver_join_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mentions and people by level and question, over silver stored in buckets by respondent.
 
-    Join and count of each person's mentions follow the buckets; only level totals are shuffled. Keys
+    Raw answers are dealt to the buckets, and silver is derived and stored there, whole, in one job a
+    table; silver that is stored already is dealt instead. Buckets follow the number of people. Join
+    and count of each person's mentions follow the buckets; only level totals are shuffled. Keys
     are unique over editions, so the key alone joins.
     """
     key = star.version(spark, sf_dir)
     if key not in _buckets:
         name = f"baldes_{uuid.uuid4().hex}"
         spark.sql(f"CREATE DATABASE {name}")
-        for table, df in (
-            ("respondentes", star.survey_respondents(spark, sf_dir)),
-            ("tecnologias", star.survey_answers(spark, sf_dir)),
+        buckets = sinks.buckets_for(star.table(spark, sf_dir, "orders").count())
+        for table, raw, rules in (
+            ("respondentes", star.raw_survey, respondents),
+            ("tecnologias", star.order_answers, star.melted),
         ):
-            sinks.store_in_buckets(df, f"{name}.{table}", buckets=16)
+            silver = star.if_stored(table, spark, sf_dir)
+            df = rules(raw(spark, sf_dir).repartition(buckets, "id_respondente")) if silver is None else silver
+            sinks.store_in_buckets(df, f"{name}.{table}", buckets=buckets, dealt=silver is None)
         _buckets[key] = name
     people = spark.table(f"{_buckets[key]}.respondentes").select("ano", "id_respondente", "senioridade")
     items = spark.table(f"{_buckets[key]}.tecnologias").select("id_respondente", "categoria")

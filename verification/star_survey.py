@@ -188,6 +188,11 @@ def derived_respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _stored: dict[tuple, DataFrame] = {}
 
+
+def melted(texts: DataFrame) -> DataFrame:
+    """Long table of the answers in a table of multi-answer texts."""
+    return melt_answers(texts, _KEYS, _SAME)
+
 SOURCES = ("orders", "customer", "nation", "region", "lineitem", "part")
 
 
@@ -212,6 +217,11 @@ def stored(
     return _stored[key]
 
 
+def if_stored(name: str, spark: SparkSession, sf_dir: str) -> DataFrame | None:
+    """The table where ``stored`` has written it already."""
+    return _stored.get((*version(spark, sf_dir), name))
+
+
 def survey_respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored("respondentes", derived_respondents, spark, sf_dir)
 
@@ -231,7 +241,7 @@ _SAME = {name: name for name in ANSWER_COLUMNS}
 
 def derived_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long table of the answers given in the orders, split from the raw texts."""
-    return melt_answers(order_answers(spark, sf_dir), _KEYS, _SAME)
+    return melted(order_answers(spark, sf_dir))
 
 
 def derived_answer_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
